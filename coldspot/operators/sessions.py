@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldspot import schemas as S
-from coldspot.functions.columns import is_read_event, starts_with_any
+from coldspot.functions.columns import day_of_epoch, is_read_event, starts_with_any
 
 
 def valid_traces(traces: DataFrame) -> DataFrame:
@@ -58,20 +58,27 @@ def read_accesses(traces: DataFrame, contents: DataFrame,
 
 def build_sessions(traces: DataFrame, contents: DataFrame,
                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                   sort: bool = False) -> DataFrame:
+                   sort: bool = False, by_day: bool = False) -> DataFrame:
     """Sessions ``scope, name, uuid, fileops, timeentryunix`` (W1: A1 over J1).
 
+    ``by_day=True`` adds ``trace_date`` (UTC day of the event) to the session
+    key, as a daily run over one day of the log produces; such a table is
+    stored partitioned by ``trace_date`` and rerun days replace their
+    partition (``writers.replace_partitions``).
+
     ``sort=True`` orders by time as the reference's output does; nothing
     downstream needs the order, so stored sessions are left unsorted.
     """
+    day = [day_of_epoch(S.TIMEENTRYUNIX).alias(S.TRACE_DATE)] if by_day else []
+    day_key = [S.TRACE_DATE] if by_day else []
     per_file = (valid_traces(traces)
                 .filter(is_read_event(S.EVENTTYPE))
-                .select(S.FILENAME, _clean_uuid(), S.TIMEENTRYUNIX)
-                .groupBy(S.FILENAME, S.UUID)
+                .select(*day, S.FILENAME, _clean_uuid(), S.TIMEENTRYUNIX)
+                .groupBy(*day_key, S.FILENAME, S.UUID)
                 .agg(F.count(F.lit(1)).alias("_n"), F.max(S.TIMEENTRYUNIX).alias("_t")))
     files = dataset_files(contents).filter(starts_with_any(S.SCOPE, scope_prefixes))
     joined = per_file.join(files, per_file[S.FILENAME] == files[S.CHILD_NAME])
-    sessions = (joined.groupBy(S.SCOPE, S.NAME, S.UUID)
+    sessions = (joined.groupBy(*day_key, S.SCOPE, S.NAME, S.UUID)
                 .agg(F.sum("_n").alias(S.FILEOPS), F.max("_t").alias(S.TIMEENTRYUNIX)))
     if sort:
         sessions = sessions.orderBy(S.TIMEENTRYUNIX)

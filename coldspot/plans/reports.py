@@ -37,6 +37,12 @@ def sessions(cat: Catalogue, scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PRE
     return SE.build_sessions(cat.traces, cat.contents, scope_prefixes, sort=sort)
 
 
+def sessions_by_day(cat: Catalogue,
+                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES) -> DataFrame:
+    """Sessions keyed by ``trace_date`` as well (daily runs; S13)."""
+    return SE.build_sessions(cat.traces, cat.contents, scope_prefixes, by_day=True)
+
+
 # --------------------------------------------------------------------------
 # Shared: per-dataset volume on disk endpoints
 # --------------------------------------------------------------------------
