@@ -1,0 +1,123 @@
+"""Unused data: P13, F5-F11, A9-A12, O5, O6, R1, H10, H11, H16, H17."""
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from coldspot.functions import columns as C
+from coldspot.operators import unused as U
+from conftest import rows
+
+REPORT = "2024-02-01"
+LIST = "scope string, name string, bytes long, created_at long, age_days int"
+
+
+def _epoch(day):
+    return (dt.date.fromisoformat(day) - dt.date(1970, 1, 1)).days * 86400 + 3600
+
+
+def _unused(spark):
+    return spark.createDataFrame([
+        ("data1", "data1.1.s.m.log_r1", 100, _epoch("2024-01-10"), 0),
+        ("mc1", "mc1.1.s.m.log_r2", 50, _epoch("2024-01-20"), 0),     # log in a second project
+        ("data1", "data1.2.s.m.AOD_r1", 70, _epoch("2023-12-31"), 0),
+        ("data1", "data1.3.s.m.AOD_r1", None, _epoch("2023-12-01"), 0),  # null bytes -> 0
+        ("mc1", "mc1.4.s.m.HITS_r1", 70, _epoch("2024-01-02"), 0),     # ties with data1*AOD*
+        ("mc1", "mc1.short", 5, _epoch("2024-01-02"), 0),              # fewer than 5 parts
+    ], LIST)
+
+
+def test_unused_list_filter_and_age(spark):
+    vol = spark.createDataFrame([
+        ("d", "a", 0, 10, 1706745600.0 - 0.5), ("d", "b", 1, 10, 1.0), ("d", "c", 0, 10, 1706832000.0 + 10),
+    ], "scope string, name string, op_events long, bytes long, created_at double")
+    got = [tuple(r) for r in U.unused_list(vol, REPORT).collect()]
+    assert got == [("d", "a", 10, 1706745599, 1), ("d", "c", 10, 1706832010, 0)]
+
+
+@pytest.mark.parametrize("name,project,datatype", [
+    ("data16_13TeV.00001.stream.merge.AOD_r1", "data16_13TeV", "AOD"),
+    ("mc.1.2.3.log", "mc", "log"),
+    ("a.b", "a", "unknown"),
+    ("a.b.c.d.", "a", ""),
+])
+def test_name_parts(spark, name, project, datatype):
+    r = spark.range(1).select(C.project_of(F.lit(name)).alias("p"),
+                              C.datatype_of(F.lit(name)).alias("d")).first()
+    assert (r.p, r.d) == (project, datatype)
+
+
+def test_malformed_drop_and_fail(spark):
+    cube = U.unused_cube(_unused(spark), malformed="drop")
+    assert "unknown" not in {r.datatype for r in cube.collect()}
+    with pytest.raises(Exception):
+        U.unused_cube(_unused(spark), malformed="fail").collect()
+
+
+@pytest.mark.parametrize("day,week,month,year", [
+    ("2016-01-01", "2015-12-28", "2016-01-01", "2016-01-01"),
+    ("2016-02-29", "2016-02-29", "2016-02-01", "2016-01-01"),
+    ("2015-12-31", "2015-12-28", "2015-12-01", "2015-01-01"),
+    ("2024-01-31", "2024-01-29", "2024-01-01", "2024-01-01"),
+])
+def test_created_bins(spark, day, week, month, year):
+    sec = _epoch(day)
+    d = C.day_of_epoch(F.lit(sec))
+    r = spark.range(1).select(d.alias("d"), C.truncate_day(d, "week").alias("w"),
+                              C.truncate_day(d, "month").alias("m"),
+                              C.truncate_day(d, "year").alias("y"),
+                              C.truncate_day(d, "hour").alias("bad")).first()
+    assert (str(r.d), str(r.w), str(r.m), str(r.y), r.bad) == (day, week, month, year, None)
+
+
+def test_cube_and_totals(spark):
+    cube = U.unused_cube(_unused(spark))
+    assert rows(cube.filter("project = 'data1' AND datatype = 'AOD'"), "created_day", "n_datasets", "size") == \
+        [(dt.date(2023, 12, 1), 1, 0), (dt.date(2023, 12, 31), 1, 70)]
+    merged = dict(rows(U.ident_totals(cube, merge_log=True), "ident", "size"))
+    assert merged == {"log": 150, "data1*AOD*": 70, "mc1*HITS*": 70, "mc1*unknown*": 5}
+    plain = dict(rows(U.ident_totals(cube, merge_log=False), "ident", "size"))
+    assert plain["data1*log*"] == 100 and plain["mc1*log*"] == 50
+
+
+def test_top_ties_broken_by_ident(spark):
+    top = U.top_idents(U.ident_totals(U.unused_cube(_unused(spark))), 2)
+    assert [tuple(r) for r in top.collect()] == [(1, "log", 150), (2, "data1*AOD*", 70)]
+
+
+def test_topn_other_and_wide(spark):
+    cube = U.unused_cube(_unused(spark))
+    top = U.top_idents(U.ident_totals(cube), 2)
+    long_form = U.topn_other(cube, top, REPORT)
+    got = rows(long_form, "created_at", "age_days", "ident", "volume")
+    assert got == sorted([
+        (dt.date(2023, 12, 1), 62, "data1*AOD*", 70), (dt.date(2024, 1, 1), 31, "log", 150),
+        (dt.date(2024, 1, 1), 31, "other", 75),
+    ], key=repr)
+    wide = U.topn_wide(long_form, top)
+    assert wide.columns == ["created_at", "age_days", "log", "data1*AOD*", "other"]
+    assert [tuple(r) for r in wide.collect()] == [
+        (dt.date(2024, 1, 1), 31, 150, 0, 75), (dt.date(2023, 12, 1), 62, 0, 70, 0)]
+
+
+def test_log_outside_top_goes_to_other(spark):
+    cube = U.unused_cube(_unused(spark).filter("name NOT LIKE 'data1.1%'"))
+    top = U.top_idents(U.ident_totals(cube), 1)
+    got = {r.ident for r in U.topn_other(cube, top, REPORT).collect()}
+    assert got == {"data1*AOD*", "other"}
+
+
+def test_full_stats_no_log_merge_and_order(spark):
+    full = U.full_stats(U.unused_cube(_unused(spark)), REPORT)
+    got = [(str(r.created_at), r.ident, r.volume) for r in full.collect()]
+    assert got == [("2024-01-01", "mc1*unknown*", 5), ("2024-01-01", "mc1*log*", 50),
+                   ("2024-01-01", "mc1*HITS*", 70), ("2024-01-01", "data1*log*", 100),
+                   ("2023-12-01", "data1*AOD*", 70)]
+
+
+def test_sum_of_top_and_other_equals_full(spark):
+    cube = U.unused_cube(_unused(spark))
+    top = U.top_idents(U.ident_totals(cube), 2)
+    a = U.topn_other(cube, top, REPORT).agg(F.sum("volume")).first()[0]
+    b = U.full_stats(cube, REPORT).agg(F.sum("volume")).first()[0]
+    assert a == b == 295
