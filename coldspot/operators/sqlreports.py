@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from coldspot import schemas as S
 from coldspot.functions.columns import unit_divisor
+from coldspot.plans.sizing import cut_lineage
 
 # TOP-N unused idents of the last N months (W6). The join with the top list is
 # a semi join on a unique key; the minimum age is a scalar subquery (the
@@ -34,11 +35,18 @@ SELECT period, SUM(volume) AS volume, month FROM {volumes} GROUP BY period, mont
 
 
 def unused_topn_report(report: DataFrame, top_n: int = 10, last_months: int = 11,
-                       unit: str | int = "TB") -> DataFrame:
+                       unit: str | int = "TB", materialise: bool = True) -> DataFrame:
     """``created_at, ident, size`` for the ``top_n`` idents by total volume,
     bins younger than the newest bin + ``last_months`` * 31 days, size in
     ``unit`` ('TB', 'PB' or a divisor). ``report`` is the full monthly stats
-    (``created_at, age_days, ident, volume``)."""
+    (``created_at, age_days, ident, volume``).
+
+    The query reads ``report`` three times (rows, top-N subquery, minimum
+    age); with ``materialise`` it is written once to the shared checkpoint
+    folder first, so a computed report is not recomputed per reference.
+    Pass ``materialise=False`` for a report already read from files."""
+    if materialise:
+        report = cut_lineage(report)
     spark = report.sparkSession
     return spark.sql(
         UNUSED_TOPN_SQL,

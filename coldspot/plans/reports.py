@@ -26,6 +26,7 @@ from coldspot.operators import histogram as H
 from coldspot.operators import sessions as SE
 from coldspot.operators import unused as U
 from coldspot.operators import volume as V
+from coldspot.plans.sizing import cut_lineage
 from coldspot.sources.testbed import Catalogue
 
 
@@ -128,10 +129,16 @@ def unused_full_stats(unused: DataFrame, report_date: str | _dt.date,
 
 def unused_topn(unused: DataFrame, report_date: str | _dt.date, n: int = S.DEFAULT_TOP_N,
                 grain: str = "month", malformed: str = "unknown",
-                wide: bool = False) -> DataFrame:
+                wide: bool = False, materialise: bool = True) -> DataFrame:
     """TOP-N + other by creation bin; long form, or wide (one column per
-    top ident in rank order, then ``other``)."""
+    top ident in rank order, then ``other``).
+
+    The cube feeds both the ranking and the binning; with ``materialise`` it
+    is written once to the shared checkpoint folder (it is an aggregate, far
+    smaller than the never-used list) so the list is computed once."""
     cube = U.unused_cube(unused, malformed)
+    if materialise:
+        cube = cut_lineage(cube)
     top = U.top_idents(U.ident_totals(cube, merge_log=True), n)
     long_form = U.topn_other(cube, top, report_date, grain, merge_log=True)
     return U.topn_wide(long_form, top) if wide else long_form

@@ -22,3 +22,18 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast hint for a frame whose row count is bounded by construction
     (a ``limit(n)`` result, a one-row aggregate, a fixed bin spine)."""
     return F.broadcast(df)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    the written copy (reliable ``checkpoint``, never a local one).
+
+    Used where one aggregated result feeds several branches of a plan (e.g.
+    a report referenced by a subquery and a join): without it every branch
+    recomputes the whole chain from the source tables. The folder is the one
+    the cluster names in ``spark.checkpoint.dir``; see ``session.checkpoint_dir``.
+    """
+    from coldspot.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
