@@ -1,0 +1,48 @@
+"""Incremental daily sessions with Structured Streaming (file source, watermark, append)."""
+import json
+import os
+
+from coldspot.operators import sessions as SE
+from coldspot.streaming import sessions as ST
+from conftest import rows
+
+CONTENTS = "scope string, name string, child_name string, did_type string, child_type string"
+DAY = 86400.0
+
+
+def _put(folder, name, events):
+    with open(os.path.join(folder, name), "w") as f:
+        for ts, fn, et, uu in events:
+            f.write(json.dumps({"traceTimeentryUnix": ts, "filename": fn, "eventType": et, "uuid": uu}) + "\n")
+
+
+def test_closed_days_are_appended_once(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
+    os.makedirs(src)
+    contents = spark.createDataFrame([("data1", "data1.a", "f1", "D", "F"),
+                                      ("mc1", "mc1.b", "f1", "D", "F")], CONTENTS)
+    day1 = [(100.0, "f1", "get", "u1"), (200.0, "f1", "download", "u1"), (300.0, "f1", "put", "u2"),
+            (400.0, None, "get", "u3")]
+    day2 = [(DAY + 7200, "f1", "get", "u2")]
+    _put(src, "traces.1.json", day1 + day2)
+
+    def run():
+        q = ST.start_daily_sessions(ST.daily_sessions(ST.read_trace_stream(spark, src), contents), out, ck)
+        q.awaitTermination()
+
+    run()
+    got = rows(spark.read.parquet(out), "trace_date", "name", "uuid", "fileops", "timeentryunix")
+    assert [(str(d), n, u, f, t) for d, n, u, f, t in got] == [
+        ("1970-01-01", "data1.a", "u1", 2, 200.0), ("1970-01-01", "mc1.b", "u1", 2, 200.0)]
+
+    _put(src, "traces.2.json", [(3 * DAY, "f1", "get", "u9")])
+    run()
+    got = rows(spark.read.parquet(out), "trace_date", "name", "uuid")
+    assert [(str(d), n, u) for d, n, u in got] == [
+        ("1970-01-01", "data1.a", "u1"), ("1970-01-01", "mc1.b", "u1"),
+        ("1970-01-02", "data1.a", "u2"), ("1970-01-02", "mc1.b", "u2")]
+
+    # Equal to the batch form for the closed days.
+    batch_t = spark.createDataFrame(day1 + day2, "timeentryunix double, filename string, eventtype string, uuid string")
+    batch = SE.build_sessions(batch_t, contents, by_day=True)
+    assert rows(batch, "trace_date", "name", "uuid") == got
