@@ -73,7 +73,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app_name="coldspot-bench")
     queries = RG.QUERIES
     t_cat = timed(lambda: TB.catalogue(spark, sf_dir))
