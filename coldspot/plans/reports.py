@@ -142,3 +142,22 @@ def unused_topn(unused: DataFrame, report_date: str | _dt.date, n: int = S.DEFAU
     top = U.top_idents(U.ident_totals(cube, merge_log=True), n)
     long_form = U.topn_other(cube, top, report_date, grain, merge_log=True)
     return U.topn_wide(long_form, top) if wide else long_form
+
+
+# --------------------------------------------------------------------------
+# Named tables for SQL users
+# --------------------------------------------------------------------------
+def register_views(cat: Catalogue, sessions_df: DataFrame | None = None,
+                   prefix: str = "") -> list[str]:
+    """Register the catalogue (and sessions) as temporary views
+    ``<prefix>traces``, ``<prefix>contents``, ... so reports can also be written
+    in Spark SQL. Returns the view names."""
+    names = []
+    for field in ("traces", "contents", "dids", "rses", "dslocks"):
+        name = f"{prefix}{field}"
+        getattr(cat, field).createOrReplaceTempView(name)
+        names.append(name)
+    if sessions_df is not None:
+        sessions_df.createOrReplaceTempView(f"{prefix}sessions")
+        names.append(f"{prefix}sessions")
+    return names

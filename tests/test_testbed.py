@@ -109,3 +109,18 @@ def test_unused_topn_unit(spark, small):
     cube = U.unused_cube(R.unused_datasets(sess, cat, TB.REPORT_DATE, sort=False))
     top = U.top_idents(U.ident_totals(cube), 5)
     assert [r["rank"] for r in top.collect()] == [1, 2, 3, 4, 5]
+
+
+def test_register_views_for_sql(spark, small):
+    cat, sess = small
+    names = R.register_views(cat, sess, prefix="cs_")
+    assert names[-1] == "cs_sessions"
+    n = spark.sql("SELECT count(*) AS n FROM cs_sessions s JOIN cs_dids d USING (scope, name)").first().n
+    assert n == sess.join(cat.dids, ["scope", "name"]).count()
+
+
+def test_normalise_columns(spark):
+    from coldspot.functions.columns import normalise_columns
+    df = spark.createDataFrame([(1, "a")], "CREATED_AT long, `Mixed Name` string")
+    assert normalise_columns(df).columns == ["created_at", "mixed name"]
+    assert normalise_columns(df, ["CREATED_AT"]).columns == ["created_at"]
