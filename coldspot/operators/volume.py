@@ -78,13 +78,23 @@ def _passes(cutoff: float | None) -> F.Column:
     return ts > F.lit(cutoff) if cutoff else ts.isNotNull()
 
 
+def _prune_days(sessions: DataFrame, cutoff: float | None) -> DataFrame:
+    """On sessions stored by ``trace_date`` (daily runs), a session passing the
+    cutoff lies on or after the cutoff's UTC day: that partition filter is
+    implied by the exact filter and lets the scan skip older days."""
+    if not cutoff or S.TRACE_DATE not in sessions.columns:
+        return sessions
+    first_day = F.date_from_unix_date(F.lit(int(cutoff // S.DAY_SECONDS)))
+    return sessions.filter(F.col(S.TRACE_DATE) >= first_day)
+
+
 def access_counts(sessions: DataFrame, cutoff: float | None = None) -> DataFrame:
     """Sessions with a uuid per dataset, among sessions passing the cutoff (A3).
 
     A dataset appears when at least one session passes, even if none of them
     has a uuid (its count is then 0).
     """
-    return (sessions.filter(_passes(cutoff))
+    return (_prune_days(sessions, cutoff).filter(_passes(cutoff))
             .groupBy(S.SCOPE, S.NAME)
             .agg(F.count(S.UUID).alias(S.OP_EVENTS)))
 
@@ -128,6 +138,12 @@ def period_access_counts(sessions: DataFrame,
         passes = _passes(cut)
         aggs.append(F.count(F.when(passes, F.col(S.UUID))).alias(f"_u{i}"))
         aggs.append(F.count(F.when(passes, F.lit(1))).alias(f"_n{i}"))
+    # Only sessions passing some cutoff matter; with an infinite period that
+    # is every session with a time, otherwise days before the earliest cutoff
+    # are pruned.
+    cuts = list(cutoffs.values())
+    if all(cuts):
+        sessions = _prune_days(sessions, min(cuts))
     return sessions.groupBy(S.SCOPE, S.NAME).agg(*aggs)
 
 

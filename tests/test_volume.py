@@ -125,3 +125,30 @@ def test_one_pass_equals_per_period(spark, cuts):
         single = V.dataset_volume(prim, V.access_counts(sess, cut), cut)
         assert rows(one.filter(one.period == label), "name", "op_events", "bytes") == \
             rows(single, "name", "op_events", "bytes"), label
+
+
+def test_day_partitions_pruned_by_cutoff(spark, tmp_dir):
+    import os
+    from coldspot.sources import writers as WR
+    from coldspot.operators import sessions as SE
+    traces = spark.createDataFrame(
+        [(d * 86400.0 + 60, "f1", "get", f"u{d}") for d in range(10)],
+        "timeentryunix double, filename string, eventtype string, uuid string")
+    contents = spark.createDataFrame([("data1", "data1.a", "f1", "D", "F")],
+                                     "scope string, name string, child_name string, did_type string, child_type string")
+    path = os.path.join(tmp_dir, "sessions")
+    WR.replace_partitions(SE.build_sessions(traces, contents, by_day=True), path)
+    stored = spark.read.parquet(path)
+    cut = 7 * 86400.0 + 30        # passes days 7, 8, 9 only
+    counts = V.access_counts(stored, cut)
+    assert rows(counts, "name", "op_events") == [("data1.a", 3)]
+    assert rows(V.access_counts(stored, None), "name", "op_events") == [("data1.a", 10)]
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        counts.explain("formatted")
+    assert "PartitionFilters: [isnotnull(trace_date" in buf.getvalue()
+    assert "1970-01-08" in buf.getvalue()
+    one = V.period_access_counts(stored, {"a": cut, "b": 8 * 86400.0})
+    assert rows(one, "_u0", "_u1") == [(3, 2)]
