@@ -37,14 +37,21 @@ def write_popularity(df: DataFrame, path: str, header: bool = False) -> None:
      .mode("overwrite").save(path))
 
 
+def write_dated(df: DataFrame, path: str, report_date: str | _dt.date, fmt: str = "parquet",
+                extra_partitions: Sequence[str] = ()) -> None:
+    """A report of one report date, partitioned by ``report_date`` (and
+    ``extra_partitions``); a rerun replaces only that date's partitions."""
+    out = df.withColumn(S.REPORT_DATE, F.lit(str(report_date)).cast("date"))
+    w = _text(out, "\t") if fmt == "tsv" else out.write.format(fmt)
+    (w.partitionBy(S.REPORT_DATE, *extra_partitions).option("partitionOverwriteMode", "dynamic")
+     .mode("overwrite").save(path))
+
+
 def write_unused(df: DataFrame, path: str, report_date: str | _dt.date,
                  fmt: str = "tsv") -> None:
     """Never-used list of one report date (S11): replaces only that date's
     partition."""
-    out = df.withColumn(S.REPORT_DATE, F.lit(str(report_date)).cast("date"))
-    w = _text(out, "\t") if fmt == "tsv" else out.write.format(fmt)
-    (w.partitionBy(S.REPORT_DATE).option("partitionOverwriteMode", "dynamic")
-     .mode("overwrite").save(path))
+    write_dated(df, path, report_date, fmt)
 
 
 def write_stats(df: DataFrame, path: str,
