@@ -66,15 +66,28 @@ def daily_sessions(traces: DataFrame, contents: DataFrame,
 
 def start_daily_sessions(sessions: DataFrame, out_path: str, checkpoint: str,
                          available_now: bool = True,
-                         processing_time: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None,
+                         state_partitions: int | None = None) -> StreamingQuery:
     """Append closed days to parquet partitioned by ``trace_date``.
 
     ``available_now`` processes what has arrived and stops (a scheduled
-    daily run); otherwise a ``processing_time`` trigger keeps it running."""
+    daily run); otherwise a ``processing_time`` trigger keeps it running.
+    ``state_partitions`` sets the number of state-store partitions on the
+    first start (it is then fixed by the checkpoint); by default the
+    session's shuffle partitions are used."""
     writer = (sessions.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).partitionBy(S.TRACE_DATE))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(out_path)
+    if not state_partitions:
+        return writer.start(out_path)
+    spark = sessions.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start(out_path)
+    finally:
+        spark.conf.set(key, previous)
