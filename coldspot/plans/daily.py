@@ -24,7 +24,7 @@ from coldspot.plans import reports as R
 from coldspot.session import tune
 from coldspot.sources import readers as RD
 from coldspot.sources import writers as WR
-from coldspot.sources.testbed import Catalogue
+from coldspot.sources.catalogue import Catalogue
 
 SNAPSHOT_COLUMNS = {
     "contents": (S.SCOPE, S.NAME, S.CHILD_NAME, S.DID_TYPE, S.CHILD_TYPE),

@@ -27,7 +27,7 @@ from coldspot.operators import sessions as SE
 from coldspot.operators import unused as U
 from coldspot.operators import volume as V
 from coldspot.plans.sizing import cut_lineage
-from coldspot.sources.testbed import Catalogue
+from coldspot.sources.catalogue import Catalogue
 
 
 # --------------------------------------------------------------------------

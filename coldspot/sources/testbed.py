@@ -13,13 +13,14 @@ grows with the test scale.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import epoch_seconds
+from coldspot.sources.catalogue import Catalogue
 
 # ---------------------------------------------------------------------------
 # Fixed values of the derivation rules
@@ -43,24 +44,6 @@ EVENT_TYPES = (("view", "get"), ("click", "get_sm"), ("purchase", "download"), (
 OTHER_EVENT_TYPE = "upload"
 
 
-@dataclass(frozen=True)
-class Catalogue:
-    """The five input tables of the reports, lower-case columns.
-
-    traces   : timeentryunix double, filename, eventtype, uuid string
-    contents : scope, name, child_name, did_type, child_type string
-    dids     : created_at long (ms), scope, name string, transient int
-    rses     : id, rse string
-    dslocks  : rse_id, scope, name string, bytes long
-    """
-
-    traces: DataFrame
-    contents: DataFrame
-    dids: DataFrame
-    rses: DataFrame
-    dslocks: DataFrame
-
-
 # Columns of the driver tables that the derivation reads, declared so that no
 # schema-inference job runs and only these columns are scanned.
 TABLE_SCHEMAS = {
