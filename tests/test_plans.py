@@ -34,6 +34,7 @@ def test_session_filters_reach_the_scans(spark, cat):
     p = plan(R.sessions(cat))
     (tr,) = scans(p, "traces")
     assert "IsNotNull(filename)" in tr and "IsNotNull(eventtype)" in tr
+    assert "IsNotNull(timeentryunix)" in tr and "StringStartsWith(eventtype,get)" in tr
     (co,) = scans(p, "contents")
     assert "StringStartsWith(scope,data)" in co and "EqualTo(did_type,D)" in co
     assert re.search(r"ReadSchema: struct<scope:string,name:string,child_name:string,did_type:string,child_type:string>", co)
