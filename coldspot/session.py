@@ -32,6 +32,21 @@ def tune(spark: SparkSession, overwrite: bool = False) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, largest_shuffle_bytes: int,
+                  partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> int:
+    """Set the shuffle partition count so that the largest shuffle of a run
+    (for the reports: the per-file reduction of the access log, at most the
+    bytes of its four columns) lands in partitions of about
+    ``partition_bytes``, which fit executor memory without spilling; AQE then
+    coalesces the smaller shuffles towards the same advisory size.
+    Returns the count set."""
+    n = -(-int(largest_shuffle_bytes) // int(partition_bytes))
+    n = max(spark.sparkContext.defaultParallelism, min(n, max_partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    return n
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "coldspot", event_log_dir: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off)."""
@@ -82,5 +97,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["tune", "local_session", "checkpoint_dir", "scratch_path", "local_path",
-           "RECOMMENDED_CONF"]
+__all__ = ["tune", "size_shuffles", "local_session", "checkpoint_dir", "scratch_path",
+           "local_path", "RECOMMENDED_CONF"]

@@ -124,3 +124,16 @@ def test_normalise_columns(spark):
     df = spark.createDataFrame([(1, "a")], "CREATED_AT long, `Mixed Name` string")
     assert normalise_columns(df).columns == ["created_at", "mixed name"]
     assert normalise_columns(df, ["CREATED_AT"]).columns == ["created_at"]
+
+
+def test_size_shuffles(spark):
+    from coldspot.session import size_shuffles
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        assert size_shuffles(spark, 10 * (256 << 20)) == max(10, spark.sparkContext.defaultParallelism)
+        assert size_shuffles(spark, 100 << 40) == 100_000
+        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
