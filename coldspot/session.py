@@ -10,25 +10,23 @@ from pyspark.sql import SparkSession
 # Runtime settings the reports rely on. Applied with ``tune`` only where the
 # cluster has not set them already.
 RECOMMENDED_CONF = {
-    # Calendar days and epochs are UTC throughout.
-    "spark.sql.session.timeZone": "UTC",
     # Adaptive execution: coalesce small shuffle partitions, split skewed ones,
     # and turn joins whose measured side is small into broadcast joins.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Partition replacement of dated outputs (sessions per trace day).
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def tune(spark: SparkSession, overwrite: bool = False) -> SparkSession:
-    """Apply ``RECOMMENDED_CONF`` where unset (or everywhere with ``overwrite``)."""
+    """Apply ``RECOMMENDED_CONF`` where unset (or everywhere with ``overwrite``).
+
+    The session time zone is left alone: every calendar computation of the
+    library is epoch arithmetic in UTC (days = floor(seconds / 86400)), so
+    results do not depend on it. Writers set partition-overwrite per write."""
     for key, value in RECOMMENDED_CONF.items():
         if overwrite or spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    # The time zone decides calendar days: always UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -63,6 +61,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                    .config("spark.eventLog.dir", event_log_dir))
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
+    builder = builder.config("spark.sql.session.timeZone", "UTC")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
