@@ -102,3 +102,62 @@ def test_popularity_brute_force(spark, sessions, dids, locks, cutoff):
     one = V.dataset_volume_periods(prim, V.period_access_counts(s, {"p": cutoff}), {"p": cutoff})
     got_one = [tuple(x)[1:] for x in access_histogram(one, by_period=True).collect()]
     assert got_one == got
+
+
+# ---------------------------------------------------------------------------
+# Unused statistics: cube -> ident totals -> top-N + other, full stats
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from coldspot.operators import unused as U  # noqa: E402
+
+REPORT = "2024-02-01"
+unused_row = st.tuples(
+    st.sampled_from(["p1", "p2", "p3"]),
+    st.sampled_from(["AOD", "log", "HITS", None]),          # None: name without a 5th part
+    st.one_of(st.none(), st.integers(min_value=0, max_value=9)),
+    st.sampled_from([_dt.date(2023, 11, 30), _dt.date(2023, 12, 1), _dt.date(2024, 1, 15), _dt.date(2024, 1, 31)]),
+)
+
+
+def py_unused_stats(items, n):
+    cube = defaultdict(int)
+    for name, size, day in items:
+        parts = name.split(".")
+        dtype = parts[4].split("_")[0] if len(parts) >= 5 else "unknown"
+        cube[(parts[0], dtype, day)] += size or 0
+    merged = lambda p, d: "log" if d == "log" else f"{p}*{d}*"
+    totals = defaultdict(int)
+    for (p, d, _), sz in cube.items():
+        totals[merged(p, d)] += sz
+    top = [k for k, _ in sorted(totals.items(), key=lambda kv: (-kv[1], kv[0]))[:n]]
+    report = _dt.date.fromisoformat(REPORT)
+    other, full = defaultdict(int), defaultdict(int)
+    for (p, d, day), sz in cube.items():
+        month = day.replace(day=1)
+        key = merged(p, d) if merged(p, d) in top else "other"
+        other[(month, (report - month).days, key)] += sz
+        full[(month, (report - month).days, f"{p}*{d}*")] += sz
+    as_rows = lambda dd: sorted(((*k, v) for k, v in dd.items()), key=repr)
+    return top, as_rows(other), as_rows(full)
+
+
+@SETTINGS
+@given(st.lists(unused_row, min_size=1, max_size=15), st.integers(min_value=1, max_value=4))
+def test_unused_statistics_brute_force(spark, rows_, n):
+    items = []
+    for i, (proj, dtype, size, day) in enumerate(rows_):
+        name = f"{proj}.{i}.s.m.{dtype}_r1" if dtype else f"{proj}.{i}"
+        items.append((name, size, day))
+    epoch = _dt.date(1970, 1, 1)
+    df = spark.createDataFrame(
+        [("s", name, size, (day - epoch).days * 86400 + 3600, 0) for name, size, day in items],
+        "scope string, name string, bytes long, created_at long, age_days int")
+    cube = U.unused_cube(df)
+    top = U.top_idents(U.ident_totals(cube), n)
+    e_top, e_other, e_full = py_unused_stats(items, n)
+    assert [r.ident for r in top.orderBy("rank").collect()] == e_top
+    got_other = sorted((tuple(r) for r in U.topn_other(cube, top, REPORT).collect()), key=repr)
+    assert got_other == e_other
+    got_full = sorted((tuple(r) for r in U.full_stats(cube, REPORT).collect()), key=repr)
+    assert got_full == e_full
