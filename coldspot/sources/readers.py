@@ -33,7 +33,16 @@ def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str],
     """One catalogue dump (``contents``, ``dids``, ``rses``, ``dslocks``) with
     ``columns`` projected and lower-cased (S2, P1). ``fmt`` is any Spark
     source: ``avro`` needs the spark-avro package on the classpath."""
-    return spark.read.format(fmt).load(path).select(*lower_case_columns(columns))
+    try:
+        df = spark.read.format(fmt).load(path)
+    except Exception as exc:  # noqa: BLE001 - re-raised with the remedy
+        if fmt == "avro" and "avro" in str(exc).lower():
+            raise RuntimeError(
+                "reading Avro dumps needs the spark-avro package on the classpath "
+                "(--packages org.apache.spark:spark-avro_2.13:<spark version>); "
+                "or convert the dumps and pass fmt='parquet'") from exc
+        raise
+    return df.select(*lower_case_columns(columns))
 
 
 def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -123,3 +123,14 @@ def test_replace_partitions_keeps_other_days(spark, tmp_dir):
     WR.replace_partitions(rerun, path)
     back = spark.read.parquet(path)
     assert rows(back, "name", "fileops") == [("a", 1), ("c", 5)]
+
+
+def test_avro_without_package_explains(spark, tmp_dir):
+    # Without the spark-avro package the reader names it; with the package an
+    # empty folder fails for another reason.
+    try:
+        RD.read_snapshot(spark, tmp_dir, ["id"], fmt="avro")
+    except RuntimeError as exc:
+        assert "spark-avro" in str(exc)
+    except Exception:  # noqa: BLE001
+        pass
