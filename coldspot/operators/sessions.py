@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import day_of_epoch, is_read_event, starts_with_any
+from coldspot.operators.skew import HOT, hot_keys, salted_join
+from coldspot.plans.sizing import broadcast_if_bounded
 
 
 def valid_traces(traces: DataFrame) -> DataFrame:
@@ -60,7 +62,9 @@ def read_accesses(traces: DataFrame, contents: DataFrame,
 
 def build_sessions(traces: DataFrame, contents: DataFrame,
                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                   sort: bool = False, by_day: bool = False) -> DataFrame:
+                   sort: bool = False, by_day: bool = False,
+                   salt_buckets: int = 0, hot_file_rows: int | None = None,
+                   hot_files: DataFrame | None = None) -> DataFrame:
     """Sessions ``scope, name, uuid, fileops, timeentryunix`` (W1: A1 over J1).
 
     ``by_day=True`` adds ``trace_date`` (UTC day of the event) to the session
@@ -70,6 +74,12 @@ def build_sessions(traces: DataFrame, contents: DataFrame,
 
     ``sort=True`` orders by time as the reference's output does; nothing
     downstream needs the order, so stored sessions are left unsorted.
+
+    Hot files: by default AQE splits a skewed file-name join at run time.
+    With ``salt_buckets > 1`` the split is explicit (``operators.skew``): the
+    hot files are ``hot_files`` (one column of names) or, with
+    ``hot_file_rows``, every file with at least that many (file, user) rows
+    (found by an extra aggregation over the reduced log). Results are equal.
     """
     day = [day_of_epoch(S.TIMEENTRYUNIX).alias(S.TRACE_DATE)] if by_day else []
     day_key = [S.TRACE_DATE] if by_day else []
@@ -79,7 +89,8 @@ def build_sessions(traces: DataFrame, contents: DataFrame,
                 .groupBy(*day_key, S.FILENAME, S.UUID)
                 .agg(F.count(F.lit(1)).alias("_n"), F.max(S.TIMEENTRYUNIX).alias("_t")))
     files = dataset_files(contents).filter(starts_with_any(S.SCOPE, scope_prefixes))
-    joined = per_file.join(files, per_file[S.FILENAME] == files[S.CHILD_NAME])
+    hot = _hot_files(per_file, salt_buckets, hot_file_rows, hot_files)
+    joined = salted_join(per_file, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets, S.UUID)
     sessions = (joined.groupBy(*day_key, S.SCOPE, S.NAME, S.UUID)
                 .agg(F.sum("_n").alias(S.FILEOPS), F.max("_t").alias(S.TIMEENTRYUNIX)))
     if sort:
@@ -87,6 +98,18 @@ def build_sessions(traces: DataFrame, contents: DataFrame,
     return sessions
 
 
+def _hot_files(per_file: DataFrame, salt_buckets: int, hot_file_rows: int | None,
+               hot_files: DataFrame | None) -> DataFrame | None:
+    if salt_buckets <= 1:
+        return None
+    if hot_files is not None:
+        return broadcast_if_bounded(hot_files.select(F.col(hot_files.columns[0]).alias(HOT)),
+                                    10_000)
+    if hot_file_rows:
+        return hot_keys(per_file, S.FILENAME, hot_file_rows)
+    return None
+
+
 def union_sessions(*frames: DataFrame, regroup: bool = False) -> DataFrame:
     """Bag union of session tables (U1): a session present in two inputs
     counts twice. ``regroup=True`` merges such duplicates instead."""

@@ -27,6 +27,8 @@ from pyspark.sql.streaming import StreamingQuery
 from coldspot import schemas as S
 from coldspot.functions.columns import is_read_event, lower_case_columns, starts_with_any
 from coldspot.operators.sessions import dataset_files, valid_traces
+from coldspot.operators.skew import HOT, salted_join
+from coldspot.plans.sizing import broadcast_if_bounded
 
 DAY = "1 day"
 
@@ -45,10 +47,15 @@ def read_trace_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 def daily_sessions(traces: DataFrame, contents: DataFrame,
                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                   lateness: str = "1 hour") -> DataFrame:
+                   lateness: str = "1 hour", hot_files: DataFrame | None = None,
+                   salt_buckets: int = 0) -> DataFrame:
     """Streaming sessions per UTC day: ``trace_date, scope, name, uuid,
     fileops, timeentryunix`` (equal to the batch ``build_sessions(...,
-    by_day=True)`` for every closed day)."""
+    by_day=True)`` for every closed day).
+
+    AQE does not run in streaming queries, so a hot file is split
+    explicitly: ``hot_files`` (one column of file names, e.g. from the
+    previous day's batch run) are salted over ``salt_buckets``."""
     events = (valid_traces(traces)
               .filter(is_read_event(S.EVENTTYPE))
               .select(S.FILENAME,
@@ -57,7 +64,10 @@ def daily_sessions(traces: DataFrame, contents: DataFrame,
                       F.timestamp_seconds(F.col(S.TIMEENTRYUNIX)).alias("_event_time"))
               .withWatermark("_event_time", lateness))
     files = dataset_files(contents).filter(starts_with_any(S.SCOPE, scope_prefixes))
-    joined = events.join(files, events[S.FILENAME] == files[S.CHILD_NAME])
+    hot = None
+    if hot_files is not None and salt_buckets > 1:
+        hot = broadcast_if_bounded(hot_files.select(F.col(hot_files.columns[0]).alias(HOT)), 10_000)
+    joined = salted_join(events, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets, S.UUID)
     agg = (joined.groupBy(F.window("_event_time", DAY).alias("_w"), S.SCOPE, S.NAME, S.UUID)
            .agg(F.count(F.lit(1)).alias(S.FILEOPS), F.max(S.TIMEENTRYUNIX).alias(S.TIMEENTRYUNIX)))
     day = F.date_from_unix_date((F.unix_seconds(F.col("_w.start")) / 86400).cast("int"))

@@ -70,3 +70,43 @@ def test_hot_file_split_and_exact(spark):
     # 41 datasets hold the hot file; each sees every user of it.
     hot_users = traces.filter("filename = 'hot'").select("uuid").distinct().count()
     assert sess.filter(F.col("name").startswith("data1.x")).count() == 40 * hot_users
+
+
+def test_explicit_salting_is_exact_and_spreads_the_hot_file(spark):
+    from coldspot.operators.skew import hot_keys
+    traces, contents = _inputs(spark)
+    plain = rows(SE.build_sessions(traces, contents))
+    auto = SE.build_sessions(traces, contents, salt_buckets=8, hot_file_rows=1000)
+    assert rows(auto) == plain
+    given = spark.createDataFrame([("hot",)], "f string")
+    assert rows(SE.build_sessions(traces, contents, salt_buckets=8, hot_files=given)) == plain
+    # Only the hot file is detected; its rows land on all 8 salts.
+    per_file = traces.groupBy("filename", "uuid").count()
+    assert [r._hot for r in hot_keys(per_file, "filename", 1000).collect()] == ["hot"]
+    p = auto._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in p and "Generate explode" in p
+
+
+def test_streaming_salting_equals_plain(spark, tmp_dir):
+    import json
+    import os
+    from coldspot.streaming import sessions as ST
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "t.json"), "w") as f:
+        for i in range(300):
+            fn = "hot" if i % 3 == 0 else f"f{i % 7}"
+            f.write(json.dumps({"traceTimeentryUnix": 60.0 * i, "filename": fn, "eventType": "get",
+                                "uuid": f"u{i % 11}"}) + "\n")
+        f.write(json.dumps({"traceTimeentryUnix": 3 * 86400.0, "filename": "f1", "eventType": "get",
+                            "uuid": "u0"}) + "\n")
+    _, contents = _inputs(spark, 10)
+    outs = []
+    for k, buckets in enumerate((0, 4)):
+        out, ck = os.path.join(tmp_dir, f"o{k}"), os.path.join(tmp_dir, f"c{k}")
+        hot = spark.createDataFrame([("hot",)], "f string")
+        stream = ST.daily_sessions(ST.read_trace_stream(spark, src), contents,
+                                   hot_files=hot, salt_buckets=buckets)
+        ST.start_daily_sessions(stream, out, ck, state_partitions=4).awaitTermination()
+        outs.append(rows(spark.read.parquet(out)))
+    assert outs[0] == outs[1] and len(outs[0]) > 0
