@@ -66,6 +66,12 @@ def write_stats(df: DataFrame, path: str,
     renamed.write.option("header", True).format("csv").mode("overwrite").save(path)
 
 
+def write_topn_wide(df: DataFrame, path: str) -> None:
+    """Wide TOP-N table as CSV with the report's header: ``Created at, Age
+    (days)``, then the ident columns in rank order and ``other``."""
+    write_stats(df, path, header=list(S.FULL_STATS_HEADER[:2]) + df.columns[2:])
+
+
 def replace_partitions(df: DataFrame, path: str, partition_col: str = S.TRACE_DATE,
                        fmt: str = "parquet") -> None:
     """Replace only the ``partition_col`` partitions present in ``df`` (S13):

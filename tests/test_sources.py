@@ -134,3 +134,12 @@ def test_avro_without_package_explains(spark, tmp_dir):
         assert "spark-avro" in str(exc)
     except Exception:  # noqa: BLE001
         pass
+
+
+def test_write_topn_wide_header(spark, tmp_dir):
+    wide = spark.createDataFrame([(dt.date(2024, 1, 1), 31, 5, 7)],
+                                 "created_at date, age_days int, `log` long, other long")
+    WR.write_topn_wide(wide, os.path.join(tmp_dir, "wide"))
+    part = [p for p in os.listdir(os.path.join(tmp_dir, "wide")) if p.endswith(".csv")][0]
+    with open(os.path.join(tmp_dir, "wide", part)) as f:
+        assert f.readline().strip() == "Created at,Age (days),log,other"
