@@ -44,8 +44,13 @@ def read_catalogue(spark: SparkSession, traces_path: str | Sequence[str],
 def run_daily(spark: SparkSession, traces_path: str | Sequence[str], dumps: Mapping[str, str],
               out_root: str, report_date: str | _dt.date, fmt: str = "avro",
               months: Sequence[int] = S.DEFAULT_PERIOD_MONTHS,
-              top_n: int = S.DEFAULT_TOP_N, grain: str = "month") -> dict[str, str]:
-    """Run every report for ``report_date``; returns the output paths."""
+              top_n: int = S.DEFAULT_TOP_N, grain: str = "month",
+              csv: bool = True) -> dict[str, str]:
+    """Run every report for ``report_date``; returns the output paths.
+
+    With ``csv`` the full statistics and the wide TOP-N table are also
+    published as CSV with the report headers, one folder per date
+    (``full_monthly/<date>``, ``topn_wide/<date>``)."""
     tune(spark)
     root = out_root.rstrip("/")
     paths = {k: f"{root}/{k}" for k in ("sessions", "popularity", "unused", "full_stats", "topn")}
@@ -70,4 +75,15 @@ def run_daily(spark: SparkSession, traces_path: str | Sequence[str], dumps: Mapp
     # 4. Unused statistics from the stored list.
     WR.write_dated(R.unused_full_stats(unused, report_date, grain), paths["full_stats"], report_date)
     WR.write_dated(R.unused_topn(unused, report_date, top_n, grain), paths["topn"], report_date)
+
+    # 5. CSV publications from the stored tables.
+    if csv:
+        day = F.col(S.REPORT_DATE) == F.lit(str(report_date)).cast("date")
+        full = spark.read.parquet(paths["full_stats"]).filter(day).drop(S.REPORT_DATE)
+        paths["full_monthly_csv"] = f"{root}/full_monthly/{report_date}"
+        WR.write_stats(full.select(S.CREATED_AT, S.AGE_DAYS, S.IDENT, S.VOLUME),
+                       paths["full_monthly_csv"])
+        paths["topn_wide_csv"] = f"{root}/topn_wide/{report_date}"
+        WR.write_topn_wide(R.unused_topn(unused, report_date, top_n, grain, wide=True),
+                           paths["topn_wide_csv"])
     return paths

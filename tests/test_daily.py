@@ -38,5 +38,11 @@ def test_daily_run_matches_the_reports(spark, tmp_dir):
     topn = spark.read.parquet(paths["topn"]).filter(day)
     assert rows(topn, "created_at", "ident", "volume") == rows(
         R.unused_topn(RG.q_unused_list(spark, SF_SMALL), TB.REPORT_DATE), "created_at", "ident", "volume")
+    # CSV publications read back with the report readers.
+    from coldspot.sources import readers as RD
+    back = RD.read_full_monthly(spark, paths["full_monthly_csv"])
+    assert rows(back, "created_at", "ident", "volume") == rows(full, "created_at", "ident", "volume")
+    wide = spark.read.option("header", True).csv(paths["topn_wide_csv"])
+    assert wide.columns[:2] == ["Created at", "Age (days)"] and wide.columns[-1] == "other"
     # Sessions stored by day: each day is one partition.
     assert spark.read.parquet(paths["sessions"]).count() == RG.q_sessions_by_day(spark, SF_SMALL).count()
