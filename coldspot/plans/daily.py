@@ -3,9 +3,11 @@ catalogue dumps to every report, each written partitioned by its date.
 
 1. sessions of the new trace day(s) replace their ``trace_date`` partitions
    of the stored session table;
-2. the popularity bins of all periods (one pass over the stored sessions);
-3. the never-used list;
-4. the unused statistics (full, TOP-N + other) from the stored list.
+2. the per-dataset disk volume (replicas x endpoints x catalogue), written
+   once and read by both following reports;
+3. the popularity bins of all periods (one pass over the stored sessions);
+4. the never-used list;
+5. the unused statistics (full, TOP-N + other) from the stored list.
 
 Every step writes a table and the next step reads it back, so lineage never
 grows past one step and a rerun of the same date replaces its own partitions.
@@ -53,32 +55,36 @@ def run_daily(spark: SparkSession, traces_path: str | Sequence[str], dumps: Mapp
     (``full_monthly/<date>``, ``topn_wide/<date>``)."""
     tune(spark)
     root = out_root.rstrip("/")
-    paths = {k: f"{root}/{k}" for k in ("sessions", "popularity", "unused", "full_stats", "topn")}
+    paths = {k: f"{root}/{k}" for k in ("sessions", "primary", "popularity", "unused",
+                                         "full_stats", "topn")}
     cat = read_catalogue(spark, traces_path, dumps, fmt)
 
     # 1. Sessions of the new day(s), replacing their partitions.
     WR.replace_partitions(R.sessions_by_day(cat), paths["sessions"])
     sessions = RD.read_sessions(spark, paths["sessions"])  # every stored day (bag union)
 
-    # 2. Popularity bins of all periods, one pass.
+    day = F.col(S.REPORT_DATE) == F.lit(str(report_date)).cast("date")
+
+    # 2. Per-dataset disk volume, once.
+    WR.write_dated(R.primary(cat), paths["primary"], report_date)
+    prim = spark.read.parquet(paths["primary"]).filter(day).drop(S.REPORT_DATE)
+
+    # 3. Popularity bins of all periods, one pass.
     periods = R.Periods.of_months(report_date, months)
-    WR.write_dated(R.popularity_bins(sessions, cat, periods), paths["popularity"], report_date,
-                   extra_partitions=(S.PERIOD,))
+    WR.write_dated(R.popularity_bins(sessions, cat, periods, prim=prim), paths["popularity"],
+                   report_date, extra_partitions=(S.PERIOD,))
 
-    # 3. Never-used list.
-    WR.write_dated(R.unused_datasets(sessions, cat, report_date, sort=False), paths["unused"],
-                   report_date)
-    unused = (spark.read.parquet(paths["unused"])
-              .filter(F.col(S.REPORT_DATE) == F.lit(str(report_date)).cast("date"))
-              .drop(S.REPORT_DATE))
+    # 4. Never-used list.
+    WR.write_dated(R.unused_datasets(sessions, cat, report_date, sort=False, prim=prim),
+                   paths["unused"], report_date)
+    unused = spark.read.parquet(paths["unused"]).filter(day).drop(S.REPORT_DATE)
 
-    # 4. Unused statistics from the stored list.
+    # 5. Unused statistics from the stored list.
     WR.write_dated(R.unused_full_stats(unused, report_date, grain), paths["full_stats"], report_date)
     WR.write_dated(R.unused_topn(unused, report_date, top_n, grain), paths["topn"], report_date)
 
-    # 5. CSV publications from the stored tables.
+    # 6. CSV publications from the stored tables.
     if csv:
-        day = F.col(S.REPORT_DATE) == F.lit(str(report_date)).cast("date")
         full = spark.read.parquet(paths["full_stats"]).filter(day).drop(S.REPORT_DATE)
         paths["full_monthly_csv"] = f"{root}/full_monthly/{report_date}"
         WR.write_stats(full.select(S.CREATED_AT, S.AGE_DAYS, S.IDENT, S.VOLUME),

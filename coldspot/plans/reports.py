@@ -79,10 +79,13 @@ class Periods:
 
 
 def popularity_periods(sess: DataFrame, cat: Catalogue, periods: Periods,
-                       scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES) -> DataFrame:
-    """``period, access_num, volume`` for every period, one pass."""
+                       scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
+                       prim: DataFrame | None = None) -> DataFrame:
+    """``period, access_num, volume`` for every period, one pass.
+    ``prim`` is a stored ``primary`` table to reuse (else it is computed)."""
     counts = V.period_access_counts(sess, periods.cutoffs)
-    vol = V.dataset_volume_periods(primary(cat, scope_prefixes), counts, periods.cutoffs)
+    prim = prim if prim is not None else primary(cat, scope_prefixes)
+    vol = V.dataset_volume_periods(prim, counts, periods.cutoffs)
     return H.access_histogram(vol, by_period=True)
 
 
@@ -94,29 +97,35 @@ def popularity_periods_separately(sess: DataFrame, cat: Catalogue, periods: Peri
 
 
 def popularity_bins(sess: DataFrame, cat: Catalogue, periods: Periods,
-                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES) -> DataFrame:
+                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
+                    prim: DataFrame | None = None) -> DataFrame:
     """``period, bin, volume``: bins -1..15 per period, dense."""
-    return H.dense_bins(popularity_periods(sess, cat, periods, scope_prefixes), periods.labels)
+    return H.dense_bins(popularity_periods(sess, cat, periods, scope_prefixes, prim),
+                        periods.labels)
 
 
 def popularity_pivot(sess: DataFrame, cat: Catalogue, periods: Periods,
-                     scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES) -> DataFrame:
+                     scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
+                     prim: DataFrame | None = None) -> DataFrame:
     """``bin, label, vol_<period>...``."""
-    return H.pivot_periods(popularity_bins(sess, cat, periods, scope_prefixes), periods.labels)
+    return H.pivot_periods(popularity_bins(sess, cat, periods, scope_prefixes, prim),
+                           periods.labels)
 
 
 # --------------------------------------------------------------------------
 # W4
 # --------------------------------------------------------------------------
 def volume_alltime(sess: DataFrame, cat: Catalogue,
-                   scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES) -> DataFrame:
-    return V.dataset_volume_alltime(primary(cat, scope_prefixes), V.access_counts(sess, None))
+                   scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
+                   prim: DataFrame | None = None) -> DataFrame:
+    prim = prim if prim is not None else primary(cat, scope_prefixes)
+    return V.dataset_volume_alltime(prim, V.access_counts(sess, None))
 
 
 def unused_datasets(sess: DataFrame, cat: Catalogue, report_date: str | _dt.date,
                     scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                    sort: bool = True) -> DataFrame:
-    return U.unused_list(volume_alltime(sess, cat, scope_prefixes), report_date, sort=sort)
+                    sort: bool = True, prim: DataFrame | None = None) -> DataFrame:
+    return U.unused_list(volume_alltime(sess, cat, scope_prefixes, prim), report_date, sort=sort)
 
 
 # --------------------------------------------------------------------------
