@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldspot.plans.sizing import broadcast_if_bounded, row_count_at_most
+from coldspot.plans.sizing import cut_lineage
 
 SALT = "_salt"
 HOT = "_hot"
@@ -22,14 +22,17 @@ HOT = "_hot"
 
 def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 10_000) -> DataFrame | None:
     """Keys of ``df`` with at least ``min_rows`` rows, as a one-column frame
-    ``_hot``; ``None`` when there is none. The list is broadcast only if it has
-    at most ``max_keys`` rows (otherwise the keys are not hot enough to matter
-    and ``None`` is returned: the plain join handles them, exactly)."""
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") >= min_rows).select(F.col(key).alias(HOT)))
-    if hot.isEmpty() or not row_count_at_most(hot, max_keys):
+    ``_hot``; ``None`` when there is none. The list is computed once (one
+    aggregation, written to the shared checkpoint folder) and broadcast only
+    if it has at most ``max_keys`` rows; otherwise the keys are not hot
+    enough to matter and ``None`` is returned (the plain join handles them,
+    exactly)."""
+    hot = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") >= min_rows).select(F.col(key).alias(HOT)))
+    n = hot.limit(max_keys + 1).count()
+    if n == 0 or n > max_keys:
         return None
-    return broadcast_if_bounded(hot, max_keys)
+    return F.broadcast(hot)  # at most max_keys rows, counted above
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
