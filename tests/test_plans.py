@@ -73,3 +73,16 @@ def test_topn_report_reads_its_input_once(spark):
     p = plan(RG.q_unused_topn_report(spark, SF_SMALL))
     # The full statistics are checkpointed: no scan of the catalogue remains.
     assert not scans(p, "traces") and not scans(p, "dslocks")
+
+
+def test_one_pass_report_stays_in_codegen(spark, cat):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = R.popularity_periods(R.sessions(cat), cat, RG.PERIODS)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    # '*(n)' marks operators inside a whole-stage codegen stage.
+    assert re.search(r"\*\(\d+\) Generate stack", p)
+    assert re.search(r"\*\(\d+\) SortMergeJoin .*LeftOuter", p)
