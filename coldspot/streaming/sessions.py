@@ -14,6 +14,13 @@ replaces that day's output. The same result as a stream:
 State holds only the sessions of the days still open (bounded by the allowed
 lateness), never the history. Events later than the watermark are dropped by
 Spark, as a closed day has already been written.
+
+Cost per micro-batch: the static file list takes part in every batch's join
+(a sort-merge join shuffles it each time; AQE does not run in streaming). A
+daily ``availableNow`` run pays that once, like the batch job. For frequent
+triggers, store the file list as a table bucketed by ``child_name`` so that
+only the batch's events are shuffled, and use ``hot_files`` salting for hot
+files.
 """
 
 from __future__ import annotations
