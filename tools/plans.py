@@ -14,7 +14,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from coldspot import registry as RG  # noqa: E402
-from coldspot.session import local_session  # noqa: E402
+from coldspot.session import local_session, scratch_path  # noqa: E402
+from coldspot.sources import testbed as TB  # noqa: E402
+from coldspot.streaming import sessions as ST  # noqa: E402
 
 KEYS = ["sessions", "popularity_all_periods", "unused_list", "unused_topn_other",
         "unused_topn_report", "latest_snapshot"]
@@ -61,6 +63,18 @@ def main() -> None:
     for key in KEYS:
         df = RG.QUERIES[key](spark, sf_dir)
         out += [f"## {key}", "", "```", condense(formatted(df)), "```", ""]
+
+    # The daily-session stream (plan of one micro-batch: watermark, partial
+    # aggregation before the stateful exchange, state store restore/save).
+    cat = TB.catalogue(spark, sf_dir)
+    src = scratch_path(spark, "plans-stream") + "/traces"
+    TB.traces_source(cat.traces).write.mode("overwrite").json(src)
+    stream = ST.daily_sessions(ST.read_trace_stream(spark, src), cat.contents)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        stream.explain()
+    text = re.sub(r"\[file:[^\]]*\]|\[/[^\]]*\]", "[...]", buf.getvalue())
+    out += ["## stream_daily_sessions (streaming)", "", "```", text.rstrip(), "```", ""]
     with open("PLANS.md", "w") as f:
         f.write("\n".join(out))
 
