@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,12 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BATCH_CHARS = 2 << 20
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package: from --py-files on a cluster, else from here.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,7 +48,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
         if not n:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         start = 0
         while start < n:
