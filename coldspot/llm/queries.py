@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bpe, packing, quality, tokencount
+from coldspot.llm import bpe, langid, packing, quality, tokencount, toxicity
 from coldspot.llm.common import table, tokenizer_path
 
 
@@ -12,10 +12,20 @@ def op1_quality_rules(spark, sf_dir):
     return quality.assess(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op2_language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return langid.predict(documents, langid.train(documents))
+
+
 def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op8_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -28,6 +38,6 @@ def op9_token_counts(spark, sf_dir):
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_packing, op8_byte_bpe, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op6_toxicity, op8_byte_bpe, op9_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}
