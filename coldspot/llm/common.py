@@ -12,13 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coldspot.session import scratch_path
+
 # White space of the word rule: space and U+0009..U+000D. Everything else is word.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 # A task handles at most this many characters of text at a time, plus one text.
 BATCH_CHARS = 2 << 20
 
-
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -28,6 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder of ``spark.checkpoint.dir`` and read back:
+    later steps neither repeat the work nor depend on the executors that did it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def tokenizer_path(name: str) -> str:
     """Path of a public vocabulary file: folder ``TOKENIZERS_DIR`` if set, else the
     installed ``public_tokenizers`` package."""

@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bpe, langid, packing, quality, tokencount, toxicity
+from coldspot.llm import bpe, langid, packing, quality, sharding, tokencount, topk, toxicity
 from coldspot.llm.common import table, tokenizer_path
 
 
@@ -21,6 +21,10 @@ def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
@@ -38,6 +42,12 @@ def op9_token_counts(spark, sf_dir):
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op6_toxicity, op8_byte_bpe, op9_token_counts)}
+def op10_exact_topk(spark, sf_dir):
+    vectors = topk.quantise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.search(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op6_toxicity, op8_byte_bpe, op9_token_counts,
+                              op10_exact_topk)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_sharding": sharding.oracle_sql(), "op10_exact_topk": topk.ORACLE_SQL}
