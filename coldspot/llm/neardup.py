@@ -357,3 +357,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         F.least("class_component", "own_component", "doc_id"))
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+    GROUP BY ALL) p JOIN sizes m ON m.doc_id = p.a JOIN sizes n ON n.doc_id = p.b
+  WHERE 100 * p.c >= 75 * (m.n + n.n - p.c)),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_of AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id <= coalesce(m, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""

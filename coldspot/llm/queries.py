@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bpe, langid, packing, quality, sharding, tokencount, topk, toxicity
+from coldspot.llm import bpe, langid, neardup, packing, quality, sharding, tokencount, topk, toxicity
 from coldspot.llm.common import table, tokenizer_path
 
 
@@ -30,6 +30,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op7_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -47,7 +51,9 @@ def op10_exact_topk(spark, sf_dir):
     return topk.search(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op6_toxicity, op8_byte_bpe, op9_token_counts,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op6_toxicity, op7_minhash_near_dedup,
+                              op8_byte_bpe, op9_token_counts,
                               op10_exact_topk)}
 
-ORACLE_SQL: dict[str, str] = {"op4_sharding": sharding.oracle_sql(), "op10_exact_topk": topk.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_sharding": sharding.oracle_sql(), "op7_minhash_near_dedup": neardup.ORACLE_SQL,
+                              "op10_exact_topk": topk.ORACLE_SQL}

@@ -99,8 +99,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
 _CRC32 = """
 xor(4294967295::UBIGINT, list_reduce(
   flatten(list_transform(regexp_extract_all(hex(encode(t)), '..'),
-    x -> [strpos('123456789ABCDEF', x[2])::UBIGINT, strpos('123456789ABCDEF', x[1])::UBIGINT])),
-  (c, h) -> xor(c >> 4, ([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    lambda x: [strpos('123456789ABCDEF', x[2])::UBIGINT, strpos('123456789ABCDEF', x[1])::UBIGINT])),
+  lambda c, h: xor(c >> 4, ([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
     3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108
     ]::UBIGINT[])[(xor(c, h) & 15)::INT + 1]),
   4294967295::UBIGINT))"""

@@ -127,12 +127,12 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding::DOUBLE[], x -> floor(256 * x)::BIGINT) AS terms FROM embeddings
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS terms FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         list_sum(list_transform(list_zip(q.terms, c.terms), p -> p[1] * p[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(q.terms, c.terms), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
