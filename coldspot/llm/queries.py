@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bpe, langid, neardup, packing, quality, sharding, tokencount, topk, toxicity
+from coldspot.llm import bpe, langid, neardup, packing, quality, secrets, sharding, tokencount, topk, toxicity
 from coldspot.llm.common import table, tokenizer_path
 
 
@@ -25,6 +25,11 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return secrets.scan(documents, *secrets.fit(documents, table(spark, sf_dir, "pages")))
+
+
 def op6_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
@@ -51,7 +56,8 @@ def op10_exact_topk(spark, sf_dir):
     return topk.search(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op6_toxicity, op7_minhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op5_secret_scan,
+                              op6_toxicity, op7_minhash_near_dedup,
                               op8_byte_bpe, op9_token_counts,
                               op10_exact_topk)}
 
