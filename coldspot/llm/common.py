@@ -85,6 +85,16 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch, list], dict], schema:
     return df.mapInArrow(run, schema)
 
 
+def filter_texts(docs: DataFrame, keep: Callable[[list], np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, for which ``keep(texts)`` is true."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches):
+            yield part.filter(pa.array(np.asarray(keep(texts), bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _arrow_schema(struct) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

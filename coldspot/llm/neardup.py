@@ -359,6 +359,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, without the documents that ``near_duplicates`` does
+    not keep; of rows that repeat a doc_id, one. Rows of a null doc_id stay."""
+    found = near_duplicates(docs, **options)
+    found = stored(found.select("doc_id", "kept"), "kept")
+    left = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if not repeated.isEmpty():
+        left = left.join(repeated, "doc_id", "left_anti").unionByName(
+            left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return left.select(docs.columns)
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

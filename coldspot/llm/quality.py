@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldspot.llm.common import (WORD_PATTERN, Sparse, class_weights, fit_logistic, fit_platt, labelled_texts,
-                                 map_texts, sigmoid)
+from coldspot.llm.common import (WORD_PATTERN, Sparse, class_weights, filter_texts, fit_logistic, fit_platt,
+                                 labelled_texts, map_texts, sigmoid)
 
 WORD_BUCKETS = 1 << 14
 CHAR_BUCKETS = 1 << 15
@@ -208,3 +208,18 @@ def assess(docs: DataFrame, model: QualityModel | None, keep_from: float = KEEP_
         return out | {"doc_id": part.column(0), "quality": quality, "kept": ~out["base_failed"] & (quality >= keep_from)}
 
     return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCHEMA)
+
+
+def filtered(docs: DataFrame, model: QualityModel | None, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``assess`` keeps. Decided row by row, so null
+    and repeated doc_ids are no special case."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts):
+        texts = [t or "" for t in texts]
+        words = Words(texts)
+        own = shared.value
+        quality = own.probability(texts, words) if own else np.ones(len(texts))
+        return ~base_columns(texts, words)["base_failed"] & (quality >= keep_from)
+
+    return filter_texts(docs, keep)
