@@ -1,0 +1,171 @@
+"""Byte-level BPE, token counts and packing against the public tokenizers themselves."""
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from coldspot.llm import bpe, packing, queries, tokencount
+from coldspot.llm.common import tokenizer_path
+
+from .conftest import DATA, ODD_TEXTS
+
+RANKS = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+WORDS = tokenizer_path("word_bpe_49k.json")
+PIECES = tokenizer_path("piece_bpe_32k.model")
+ANY_TEXT = st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t\x1c\x85 　.,'_▁aAbBsStT019ß²½éÀΣİ中😀<|")), st.characters(
+    blacklist_categories=("Cs",))), max_size=60)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def words():
+    return packing.WordIds(WORDS)
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return tokencount.UnigramCounter(tokencount.read_pieces(PIECES))
+
+
+@pytest.fixture(scope="module")
+def unigram():
+    t = Tokenizer(models.Unigram(tokencount.read_pieces(PIECES), unk_id=0, byte_fallback=True))
+    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    return t
+
+
+ENCODER = bpe.TextEncoder(RANKS, public_tokenizers.PATTERN)
+
+
+@given(ANY_TEXT)
+@settings(max_examples=300, deadline=None)
+def test_bpe_equals_tiktoken(reference, text):
+    assert np.frombuffer(ENCODER.packed(text), "<u4").tolist() == reference.encode_ordinary(text)
+
+
+@given(st.binary(min_size=1, max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_bpe_pieces_of_any_bytes(reference, piece):
+    assert ENCODER.encoder.encode(piece) == reference._encode_single_piece(piece)
+
+
+def test_bpe_long_piece(reference):
+    piece = b"ab" * 20_000 + b"a" * 5000
+    assert ENCODER.encoder.encode(piece) == reference._encode_single_piece(piece)
+
+
+def test_bpe_query(spark, reference, documents):
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    rows = queries.op8_byte_bpe(spark, DATA).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = reference.encode_ordinary(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_bpe_edge_cases(odd, empty):
+    rows = bpe.digests(bpe.decode(bpe.encode(odd, RANKS, public_tokenizers.PATTERN), RANKS)).collect()
+    assert len(rows) == len(ODD_TEXTS)
+    expect = sorted((d if d is not None else -1, hashlib.sha256((t or "").encode()).hexdigest()) for d, t, _, _ in ODD_TEXTS)
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["decoded_sha256"]) for r in rows) == expect
+    assert bpe.decode(bpe.encode(empty, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
+
+
+@given(ANY_TEXT)
+@settings(max_examples=300, deadline=None)
+def test_count_equals_unigram_tokenizer(counter, unigram, text):
+    assert counter.count(text) == len(unigram.encode(text, add_special_tokens=False).ids)
+
+
+def test_count_ties():
+    # "ab" + "c" and "a" + "bc" score alike: the longest last piece wins; the count is 2,
+    # and one piece of the same score is not taken over two found first.
+    c = tokencount.UnigramCounter([("<unk>", 0.0), ("a", -1.0), ("b", -1.0), ("c", -1.0), ("ab", -2.0), ("bc", -2.0),
+                                   ("abc", -3.0), ("▁", 0.0)])
+    t = Tokenizer(models.Unigram([("<unk>", 0.0), ("a", -1.0), ("b", -1.0), ("c", -1.0), ("ab", -2.0), ("bc", -2.0),
+                                  ("abc", -3.0), ("▁", 0.0)], unk_id=0))
+    t.pre_tokenizer = pre_tokenizers.Metaspace()
+    for text in ("abc", "ab", "abab", "cabc", "aabbcc"):
+        assert c.count(text) == len(t.encode(text).ids), text
+
+
+def test_count_query_and_edge_cases(spark, documents, unigram, odd, empty):
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    for r in queries.op9_token_counts(spark, DATA).collect():
+        assert r["n_tokens"] == len(unigram.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
+    got = sorted((r["doc_id"] or -1, r["n_tokens"]) for r in tokencount.count_tokens(odd, PIECES).collect())
+    assert got == sorted((d or -1, len(unigram.encode(t or "").ids)) for d, t, _, _ in ODD_TEXTS)
+    assert tokencount.count_tokens(empty, PIECES).count() == 0
+
+
+@given(ANY_TEXT)
+@settings(max_examples=300, deadline=None)
+def test_word_ids_equal_tokenizer(words, text):
+    assert np.frombuffer(words.packed([text])[0], "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def check_packing(rows, texts, tokenizer, window=4096):
+    """Every id of every document in exactly one piece; sequences gapless."""
+    want = defaultdict(list)
+    for d, t in texts:
+        want[d].append(tokenizer.encode(t or "", add_special_tokens=False).ids + [2])
+    sequences, docs = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        docs[r["doc_id"]].append(r)
+    padding = total = 0
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at <= window
+        total += at
+        padding += 0 if at & (at - 1) == 0 else window - at
+    assert docs.keys() == want.keys()
+    for d, pieces in docs.items():
+        assert sum(p["length"] for p in pieces) == sum(map(len, want[d]))
+        if len(want[d]) == 1:
+            ids, at = want[d][0], 0
+            for p in sorted(pieces, key=lambda p: p["start"]):
+                assert p["start"] == at and p["doc_tokens"] == len(ids)
+                assert p["ids_crc32"] == zlib.crc32(np.asarray(ids[at:at + p["length"]], "<u4").tobytes())
+                at += p["length"]
+    return padding, total
+
+
+def test_packing_query(spark, documents, words):
+    texts = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    padding, total = check_packing(queries.op3_packing(spark, DATA).collect(), texts, words.tokenizer)
+    assert padding <= 0.01 * total
+
+
+def test_packing_edge_cases_and_blocks(odd, empty, words):
+    texts = [(d, t) for d, t, _, _ in ODD_TEXTS]
+    check_packing(packing.pack(odd, WORDS).collect(), texts, words.tokenizer)
+    check_packing(packing.pack(odd, WORDS, window=64, block_tokens=100).collect(), texts, words.tokenizer, 64)
+    assert packing.pack(empty, WORDS).count() == 0
+
+
+def test_least_squares_solves_an_exact_histogram():
+    # 10 documents of 3 units, 10 of 5, 6 of 4: window 8 is filled by (3, 5) and (4, 4).
+    counts = np.zeros(9)
+    counts[[3, 5, 4]] = 10, 10, 6
+    columns = packing.combinations(np.flatnonzero(counts), 8)
+    x = packing.least_squares(columns, counts)
+    used = {tuple(sorted(c.items())): round(v) for c, v in zip(columns, x) if v > 0.5}
+    assert used == {((3, 1), (5, 1)): 10, ((4, 2),): 3}
+    assert all(sum(length * times for length, times in c.items()) == 8 for c in columns)
