@@ -11,7 +11,8 @@ URL, and the neighbouring words (names of secrets, words of examples, assignment
 The forest (Spark ML) is trained on a bounded sample of labelled findings: ``finding``
 rows with label 1 or 0. ``label_findings`` makes such labels where none are given: formats
 of known vendors and assigned values are 1, parts of paths and addresses, examples, other
-candidates of web pages, and ordinary long words are 0.
+candidates of web pages, and ordinary long words are 0; ``example_findings`` adds forms
+of which a corpus may hold too few.
 """
 
 from __future__ import annotations
@@ -143,6 +144,34 @@ def ordinary_words(docs: DataFrame, rows: int = PER_LABEL) -> DataFrame:
     return words.select("doc_id", "finding", F.lit(" ").alias("before"), F.lit(" ").alias("after"), F.lit(0).alias("label"))
 
 
+def example_findings(docs: DataFrame, rows: int = PER_LABEL // 2) -> DataFrame:
+    """Labelled findings of forms that a corpus may hold too few of. The keys are digests of
+    a bounded sample of doc_ids, so they differ: keys assigned to names and vendor formats
+    (1); digests in paths, addresses and after words that announce an id, and placeholders
+    (0)."""
+    total = max(1, docs.count())
+    ids = docs.where(F.col("doc_id").isNotNull() & (unit_hash("doc_id", F.lit(13)) < min(1.0, rows / total))).select(
+        F.col("doc_id").cast("long").alias("doc_id")).limit(2 * rows)
+    digest = F.sha2(F.concat(F.lit("key:"), F.col("doc_id").cast("string")), 512)
+    mixed = F.regexp_replace(F.base64(F.unhex(digest)), "[+/=\n\r]", "")
+    ids = ids.select("doc_id", digest.alias("hex"), mixed.alias("mixed"), F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(30)).cast("int").alias("n"))
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), F.pmod("n", F.lit(len(values))))
+    start, size = F.lit(1), F.col("n") + 10
+    named = pick(["the password=", 'of token = "', "with secret: '", "set api_key = ", 'auth_key="', "passwd: "])
+    rows = [
+        (1, F.substring("mixed", start, size), named, pick([" ", '"', "'"])),
+        (1, F.substring("hex", start, size + 8), named, pick([" ", '" the', "'"])),
+        (1, F.concat(F.lit("AKIA"), F.upper(F.substring("mixed", start, F.lit(16)))), pick([" ", "of ", "= "]), F.lit(" ")),
+        (1, F.concat(F.lit("ghp_"), F.substring("mixed", start, F.lit(36))), pick([" ", "of ", ": "]), F.lit(" ")),
+        (0, F.substring("hex", start, size + 8), pick(["https://cdn.example.net/assets/", "src/build/", "commit ", "sha256:", "id=", "see #"]),
+         pick([".js", "/", " "])),
+        (0, F.substring("mixed", start, size), pick(["https://example.net/v/", "watch?v=", "user.", "image/"]), pick([" ", ".png", "@mail.example.com", "/"])),
+        (0, F.concat(pick(["your-password-", "example-key-", "changeme", "dummy-token-"]), F.substring("n", 1, 2)), named, F.lit(" ")),
+    ]
+    return ids.select(F.explode(F.array(*[F.struct(F.lit(label).alias("label"), f.alias("finding"), b.alias("before"), a.alias("after"))
+                                          for label, f, b, a in rows])).alias("x")).select("x.finding", "x.before", "x.after", "x.label")
+
+
 def train(labelled: DataFrame, language: Language, per_label: int = PER_LABEL, trees: int = 40, depth: int = 6):
     """A forest from labelled findings (finding, before, after, label): at most ``per_label``
     of each label, taken by hash. None if the labels are all alike."""
@@ -183,6 +212,7 @@ def fit(docs: DataFrame, pages: DataFrame | None = None):
     language = Language(docs)
     keep = ["finding", "before", "after", "label"]
     labelled = label_findings(candidates(docs)).select(keep).unionAll(ordinary_words(docs).select(keep))
+    labelled = labelled.unionAll(example_findings(docs).select(keep))
     if pages is not None:
         page = pages.select(F.col("page_id").alias("doc_id"), F.concat_ws(" ", "url", "html").alias("text"))
         labelled = labelled.unionAll(label_findings(candidates(page)).withColumn(
