@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import bin_label, capped_bin
-from coldspot.plans.sizing import bounded_broadcast
 
 
 def access_histogram(volume: DataFrame, by_period: bool = False, sort: bool = True) -> DataFrame:
@@ -50,7 +49,7 @@ def dense_bins(hist: DataFrame, periods: Sequence[str],
               .agg(F.sum(S.VOLUME).alias(S.VOLUME)))
     spine = bin_spine(hist.sparkSession, periods, low, cap)
     # At most len(periods) * (cap - low + 1) rows: a bounded broadcast.
-    return (spine.join(bounded_broadcast(binned), [S.PERIOD, S.BIN], "left")
+    return (spine.join(F.broadcast(binned), [S.PERIOD, S.BIN], "left")
             .select(S.PERIOD, S.BIN,
                     F.coalesce(F.col(S.VOLUME), F.lit(0).cast("long")).alias(S.VOLUME))
             .orderBy(S.PERIOD, S.BIN))

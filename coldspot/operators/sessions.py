@@ -3,12 +3,13 @@
 A session is one ``(scope, name, uuid)`` group of read events on files of a
 dataset; it keeps the number of file operations and the latest event time.
 
-Plan at scale: the access log is the largest input. It is first reduced to one
-row per ``(filename, uuid)`` (map-side partial aggregation, so a hot file or a
-hot user is collapsed before any shuffle), then joined to the file list on the
-file name, then rolled up to ``(scope, name, uuid)``. Counting per
-``(filename, uuid)`` and summing after the join gives the same ``fileops`` as
-counting the joined event rows, and ``max`` of maxima is the same maximum.
+Plan at scale: the access log is the largest input, and its (file, user) pairs
+hardly repeat (a session spans the files of a dataset), so reducing it before
+the join would only ship it twice. It is shuffled once, by file name, to meet
+the file list (AQE splits a hot file), and the joined rows are rolled up to
+``(scope, name, uuid)`` with map-side combination. For logs that do repeat,
+``pre_aggregate=True`` first reduces them to one row per ``(filename, uuid)``;
+counts and maxima are the same.
 """
 
 from __future__ import annotations
@@ -20,8 +21,7 @@ from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import day_of_epoch, is_read_event, starts_with_any
-from coldspot.operators.skew import HOT, hot_keys, salted_join
-from coldspot.plans.sizing import broadcast_if_bounded
+from coldspot.operators.skew import hot_keys, salted_join
 
 
 def valid_traces(traces: DataFrame) -> DataFrame:
@@ -62,54 +62,47 @@ def read_accesses(traces: DataFrame, contents: DataFrame,
 
 def build_sessions(traces: DataFrame, contents: DataFrame,
                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                   sort: bool = False, by_day: bool = False,
+                   sort: bool = False, by_day: bool = False, pre_aggregate: bool = False,
                    salt_buckets: int = 0, hot_file_rows: int | None = None,
                    hot_files: DataFrame | None = None) -> DataFrame:
     """Sessions ``scope, name, uuid, fileops, timeentryunix`` (W1: A1 over J1).
 
     ``by_day=True`` adds ``trace_date`` (UTC day of the event) to the session
-    key, as a daily run over one day of the log produces; such a table is
-    stored partitioned by ``trace_date`` and rerun days replace their
-    partition (``writers.replace_partitions``).
+    key; such a table is stored by load and ``trace_date``
+    (``writers.write_load``) and regrouped when read.
 
     ``sort=True`` orders by time as the reference's output does; nothing
     downstream needs the order, so stored sessions are left unsorted.
 
     Hot files: by default AQE splits a skewed file-name join at run time.
     With ``salt_buckets > 1`` the split is explicit (``operators.skew``): the
-    hot files are ``hot_files`` (one column of names) or, with
-    ``hot_file_rows``, every file with at least that many (file, user) rows
-    (found by an extra aggregation over the reduced log). Results are equal.
+    hot files are ``hot_files`` (first column; repeats and nulls are harmless,
+    e.g. from the previous day) or, with ``hot_file_rows``, every file with at
+    least that many rows (found by an extra aggregation over the log).
+    Results are equal.
     """
-    day = [day_of_epoch(S.TIMEENTRYUNIX).alias(S.TRACE_DATE)] if by_day else []
     day_key = [S.TRACE_DATE] if by_day else []
-    per_file = (valid_traces(traces)
-                .filter(is_read_event(S.EVENTTYPE))
-                .select(*day, S.FILENAME, _clean_uuid(), S.TIMEENTRYUNIX)
-                .groupBy(*day_key, S.FILENAME, S.UUID)
-                .agg(F.count(F.lit(1)).alias("_n"), F.max(S.TIMEENTRYUNIX).alias("_t")))
+    day = [day_of_epoch(S.TIMEENTRYUNIX).alias(S.TRACE_DATE)] if by_day else []
+    events = (valid_traces(traces).filter(is_read_event(S.EVENTTYPE))
+              .select(*day, S.FILENAME, _clean_uuid(), S.TIMEENTRYUNIX))
+    if pre_aggregate:
+        events = (events.groupBy(*day_key, S.FILENAME, S.UUID)
+                  .agg(F.count(F.lit(1)).alias("_n"), F.max(S.TIMEENTRYUNIX).alias(S.TIMEENTRYUNIX)))
     files = dataset_files(contents).filter(starts_with_any(S.SCOPE, scope_prefixes))
-    hot = _hot_files(per_file, salt_buckets, hot_file_rows, hot_files)
-    joined = salted_join(per_file, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets, S.UUID)
+    hot = None
+    if salt_buckets > 1:
+        hot = hot_files if hot_files is not None else (
+            hot_keys(events, S.FILENAME, hot_file_rows) if hot_file_rows else None)
+    joined = salted_join(events, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets,
+                         (S.UUID, S.TIMEENTRYUNIX))
+    operations = F.sum("_n") if pre_aggregate else F.count(F.lit(1))
     sessions = (joined.groupBy(*day_key, S.SCOPE, S.NAME, S.UUID)
-                .agg(F.sum("_n").alias(S.FILEOPS), F.max("_t").alias(S.TIMEENTRYUNIX)))
+                .agg(operations.alias(S.FILEOPS), F.max(S.TIMEENTRYUNIX).alias(S.TIMEENTRYUNIX)))
     if sort:
         sessions = sessions.orderBy(S.TIMEENTRYUNIX)
     return sessions
 
 
-def _hot_files(per_file: DataFrame, salt_buckets: int, hot_file_rows: int | None,
-               hot_files: DataFrame | None) -> DataFrame | None:
-    if salt_buckets <= 1:
-        return None
-    if hot_files is not None:
-        return broadcast_if_bounded(hot_files.select(F.col(hot_files.columns[0]).alias(HOT)),
-                                    10_000)
-    if hot_file_rows:
-        return hot_keys(per_file, S.FILENAME, hot_file_rows)
-    return None
-
-
 def union_sessions(*frames: DataFrame, regroup: bool = False) -> DataFrame:
     """Bag union of session tables (U1): a session present in two inputs
     counts twice. ``regroup=True`` merges such duplicates instead."""

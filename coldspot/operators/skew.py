@@ -2,57 +2,62 @@
 
 AQE's skew join splits oversized shuffle partitions at run time in batch
 queries. This module does the same deterministically where that is not
-available or not wanted (streaming queries, or a known hot key): rows of the
-large side whose key is hot get a salt in ``0..buckets-1`` derived from
-another column, and the rows of the other side with that key are replicated
-once per salt. Every pair of matching rows still meets exactly once, so the
-join result is unchanged; only its distribution over tasks changes.
+wanted to depend on run-time thresholds (a known hot key): rows of the large
+side whose key is hot get a salt in ``0..buckets-1`` derived from other
+columns, and the rows of the other side with that key are replicated once per
+salt. Every pair of matching rows still meets exactly once, so the join
+result is unchanged; only its distribution over tasks changes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldspot.plans.sizing import cut_lineage
+from coldspot.plans.sizing import cut_lineage, row_count_at_most
 
 SALT = "_salt"
 HOT = "_hot"
+# A list of hot keys up to this many rows is broadcast to mark the hot rows.
+BROADCAST_KEYS = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 10_000) -> DataFrame | None:
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys of ``df`` with at least ``min_rows`` rows, as a one-column frame
-    ``_hot``; ``None`` when there is none. The list is computed once (one
-    aggregation, written to the shared checkpoint folder) and broadcast only
-    if it has at most ``max_keys`` rows; otherwise the keys are not hot
-    enough to matter and ``None`` is returned (the plain join handles them,
-    exactly)."""
-    hot = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter(F.col("_n") >= min_rows).select(F.col(key).alias(HOT)))
-    n = hot.limit(max_keys + 1).count()
-    if n == 0 or n > max_keys:
-        return None
-    return F.broadcast(hot)  # at most max_keys rows, counted above
+    ``_hot``, however many there are. Computed once (one aggregation, written
+    to the shared checkpoint folder)."""
+    return cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                       .filter(F.col("_n") >= min_rows).select(F.col(key).alias(HOT)))
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                hot: DataFrame | None, buckets: int, spread_by: str) -> DataFrame:
+                hot: DataFrame | None, buckets: int, spread_by: Sequence[str],
+                broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Inner join ``big.big_key = small.small_key`` with hot keys split over
-    ``buckets`` salts. ``spread_by`` is a column of ``big`` whose hash picks
-    the salt of a hot row (e.g. the user of an access). The output has the
-    columns of both inputs."""
+    ``buckets`` salts. ``hot`` has the hot keys in its first column; repeated
+    and null keys in it have no effect. The hash of ``spread_by``, columns of
+    ``big`` that tell the rows of one key apart (null in some of them is
+    fine), picks the salt. The output has the columns of both inputs.
+
+    A hot list of at most ``broadcast_keys`` rows is broadcast. A longer one
+    is not joined at all, as that join would be skewed by the hot keys
+    themselves: every key is salted instead."""
     if hot is None or buckets <= 1:
         return big.join(small, big[big_key] == small[small_key])
-    b = (big.join(hot, big[big_key] == hot[HOT], "left")
-         .withColumn(SALT, F.when(F.col(HOT).isNotNull(),
-                                  F.pmod(F.xxhash64(F.col(spread_by)), F.lit(buckets)))
-                     .otherwise(F.lit(0)).cast("int"))
-         .drop(HOT))
-    salts = F.when(F.col(HOT).isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1))) \
-        .otherwise(F.array(F.lit(0)))
-    s = (small.join(hot, small[small_key] == hot[HOT], "left")
-         .withColumn(SALT, F.explode(salts))
-         .drop(HOT)
-         .withColumnRenamed(SALT, SALT + "_s"))
+    hot = hot.select(F.col(hot.columns[0]).alias(HOT)).filter(F.col(HOT).isNotNull()).distinct()
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int")
+    salts = F.sequence(F.lit(0), F.lit(buckets - 1))
+    if row_count_at_most(hot, broadcast_keys):
+        marks = F.broadcast(hot)  # counted above
+        b = (big.join(marks, big[big_key] == marks[HOT], "left")
+             .withColumn(SALT, F.when(F.col(HOT).isNotNull(), salt).otherwise(F.lit(0))).drop(HOT))
+        s = (small.join(marks, small[small_key] == marks[HOT], "left")
+             .withColumn(SALT + "_s", F.explode(F.when(F.col(HOT).isNotNull(), salts).otherwise(F.array(F.lit(0)))))
+             .drop(HOT))
+    else:
+        b = big.withColumn(SALT, salt)
+        s = small.withColumn(SALT + "_s", F.explode(salts))
     return (b.join(s, (b[big_key] == s[small_key]) & (b[SALT] == s[SALT + "_s"]))
             .drop(SALT, SALT + "_s"))

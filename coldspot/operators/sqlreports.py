@@ -1,61 +1,43 @@
-"""The notebook SQL reports, as parameterised Spark SQL.
+"""The notebook reports on stored statistics.
 
-Form parameters become named parameter markers (``:top_n`` ...); the input
-frame is bound with ``spark.sql(text, report=df)``.
+Form parameters are arguments. The reports are written as DataFrame plans; use
+``plans.reports.register_views`` to query the same tables in Spark SQL.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import unit_divisor
+from coldspot.operators.unused import top_idents
 from coldspot.plans.sizing import cut_lineage
 
-# TOP-N unused idents of the last N months (W6). The join with the top list is
-# a semi join on a unique key; the minimum age is a scalar subquery (the
-# reference's join without ON). ``ORDER BY ... LIMIT`` is a top-k; ties are
-# broken by ident.
-UNUSED_TOPN_SQL = """
-SELECT /*+ BROADCAST(r2) */
-       r.created_at, r.ident, r.volume / :unit AS size
-FROM {report} r
-LEFT SEMI JOIN (
-    SELECT ident, SUM(volume) AS sm FROM {report}
-    GROUP BY ident ORDER BY sm DESC, ident ASC LIMIT :top_n
-) r2 ON r.ident = r2.ident
-WHERE r.age_days < (SELECT MIN(age_days) FROM {report}) + :last_months * :month_days
-ORDER BY r.created_at DESC
-"""
-
-# Volume per bin and period file.
-PERIOD_VOLUME_SQL = """
-SELECT period, SUM(volume) AS volume, month FROM {volumes} GROUP BY period, month
-"""
-
 
 def unused_topn_report(report: DataFrame, top_n: int = 10, last_months: int = 11,
                        unit: str | int = "TB", materialise: bool = True) -> DataFrame:
-    """``created_at, ident, size`` for the ``top_n`` idents by total volume,
-    bins younger than the newest bin + ``last_months`` * 31 days, size in
-    ``unit`` ('TB', 'PB' or a divisor). ``report`` is the full monthly stats
-    (``created_at, age_days, ident, volume``).
-
-    The query reads ``report`` three times (rows, top-N subquery, minimum
-    age); with ``materialise`` it is written once to the shared checkpoint
-    folder first, so a computed report is not recomputed per reference.
-    Pass ``materialise=False`` for a report already read from files."""
+    """``created_at, ident, size`` of the ``top_n`` idents by total volume (ties by
+    ident), for bins younger than the newest bin + ``last_months`` * 31 days, size
+    in ``unit`` ('TB', 'PB' or a divisor), newest first. ``report`` is the full
+    monthly stats (``created_at, age_days, ident, volume``).
+
+    The report is read three times (rows, ranking, least age). With
+    ``materialise`` it is written once to the shared folder first, which starts a
+    job; pass a report read from files with ``materialise=False``."""
     if materialise:
         report = cut_lineage(report)
-    spark = report.sparkSession
-    return spark.sql(
-        UNUSED_TOPN_SQL,
-        args={"unit": unit_divisor(unit), "top_n": int(top_n), "last_months": int(last_months),
-              "month_days": S.NOTEBOOK_MONTH_DAYS},
-        report=report,
-    )
+    totals = report.groupBy(S.IDENT).agg(F.sum(S.VOLUME).alias(S.SIZE))
+    largest = F.broadcast(top_idents(totals, int(top_n)).select(S.IDENT))  # top_n rows
+    youngest = report.select(F.min(S.AGE_DAYS)).scalar()
+    window = int(last_months) * S.NOTEBOOK_MONTH_DAYS
+    return (report.filter(F.col(S.AGE_DAYS) < youngest + window)
+            .join(largest, S.IDENT, "left_semi")
+            .select(S.CREATED_AT, S.IDENT, (F.col(S.VOLUME) / unit_divisor(unit)).alias(S.SIZE))
+            .orderBy(F.desc(S.CREATED_AT)))
 
 
 def period_volume_sum(volumes: DataFrame) -> DataFrame:
-    """``period, volume, month`` summed per bin and period."""
-    return volumes.sparkSession.sql(PERIOD_VOLUME_SQL, volumes=volumes)
+    """``period, volume, month``: volume per bin and period file."""
+    keys = [S.PERIOD, "month"]
+    return volumes.groupBy(*keys).agg(F.sum(S.VOLUME).alias(S.VOLUME)).select(S.PERIOD, S.VOLUME, "month")

@@ -18,7 +18,6 @@ from coldspot import schemas as S
 from coldspot.functions.columns import (
     age_in_days, datatype_of, day_of_epoch, ident_of, project_of, report_midnight, truncate_day,
 )
-from coldspot.plans.sizing import bounded_broadcast
 
 
 def unused_list(volume_alltime: DataFrame, report_date: str | _dt.date,
@@ -74,7 +73,7 @@ def topn_other(cube: DataFrame, top: DataFrame, report_date: str | _dt.date,
                grain: str = "month", merge_log: bool = True) -> DataFrame:
     """Size per creation bin and ident, idents outside the top list merged into
     ``other``: ``created_at, age_days, ident, volume`` (A11)."""
-    marks = bounded_broadcast(top.select(S.IDENT, F.lit(True).alias("_top")))
+    marks = F.broadcast(top.select(S.IDENT, F.lit(True).alias("_top")))  # n rows
     rows = _binned(cube, grain, merge_log)
     return (rows.join(marks, S.IDENT, "left")
             .select(S.CREATED_AT,
@@ -99,6 +98,22 @@ def topn_wide(long_form: DataFrame, top: DataFrame) -> DataFrame:
     return wide.orderBy(F.desc(S.CREATED_AT))
 
 
+def topn_ranked(long_form: DataFrame, top: DataFrame, n: int) -> DataFrame:
+    """The wide layout with one column per rank: ``created_at, age_days,
+    i01..iNN, c01..cNN, other``; nothing is collected."""
+    numbers = [f"{r:02d}" for r in range(1, n + 1)]
+    ranked = long_form.join(F.broadcast(top.select(S.IDENT, "rank")), S.IDENT, "left")  # n rows
+    volume = lambda condition: F.coalesce(F.sum(F.when(condition, F.col(S.VOLUME))), F.lit(0)).cast("long")
+    cells = [volume(F.col("rank") == int(r)).alias(f"c{r}") for r in numbers]
+    names = top.agg(*[F.max(F.when(F.col("rank") == int(r), F.col(S.IDENT))).alias(f"i{r}") for r in numbers])
+    wide = ranked.groupBy(S.CREATED_AT, S.AGE_DAYS).agg(
+        *cells, volume((F.col(S.IDENT) == S.OTHER_IDENT) & F.col("rank").isNull()).alias(S.OTHER_IDENT))
+    one = F.lit(1)  # the names are a single row
+    return (wide.withColumn("_one", one).join(F.broadcast(names.withColumn("_one", one)), "_one")
+            .select(S.CREATED_AT, S.AGE_DAYS, *[f"i{r}" for r in numbers], *[f"c{r}" for r in numbers], S.OTHER_IDENT)
+            .orderBy(F.desc(S.CREATED_AT)))
+
+
 def full_stats(cube: DataFrame, report_date: str | _dt.date, grain: str = "month") -> DataFrame:
     """Size per creation bin and ``project*datatype*`` ident (no ``log``
     merge): ``created_at, age_days, ident, volume``, newest first (A12, O6)."""

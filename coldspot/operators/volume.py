@@ -3,9 +3,9 @@
 Plan at scale. Every table is reduced to one row per key before it is
 shuffled for a join:
 
-* replicas:  ``dslocks`` joined to the (broadcast, size-checked) disk
-  endpoints, then reduced to one row per ``(scope, name, rse)`` - copies of
-  a dataset at an endpoint collapse map-side;
+* replicas:  ``dslocks`` filtered by the disk endpoints (broadcast by Spark if
+  their bytes are below ``spark.sql.autoBroadcastJoinThreshold``, else a
+  shuffle join), then shuffled once by ``(scope, name)``;
 * catalogue: ``dids`` reduced to one row per ``(scope, name)``;
 * sessions:  reduced to one row per ``(scope, name)`` with the access counts
   of every period in one pass (conditional counts).
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import starts_with_any
-from coldspot.plans.sizing import broadcast_if_bounded
 
 
 def live_datasets(dids: DataFrame,
@@ -44,14 +43,14 @@ def disk_endpoints(rses: DataFrame) -> DataFrame:
             .filter(F.col(S.RSE).contains(S.DISK_ENDPOINT_MARK)))
 
 
-def disk_replicas(dslocks: DataFrame, rses: DataFrame,
-                  broadcast_max_rows: int = 200_000) -> DataFrame:
+def disk_replicas(dslocks: DataFrame, rses: DataFrame) -> DataFrame:
     """Dataset replicas on disk endpoints: ``bytes, scope, name, rse``.
 
-    The endpoint table is broadcast only after counting that it holds at most
-    ``broadcast_max_rows`` rows; otherwise the join is a shuffle join.
+    No hint: Spark broadcasts the endpoints if their size in bytes is within
+    ``spark.sql.autoBroadcastJoinThreshold`` (by statistics when planning, by
+    measured size under AQE) and shuffles both sides otherwise.
     """
-    endpoints = broadcast_if_bounded(disk_endpoints(rses), broadcast_max_rows)
+    endpoints = disk_endpoints(rses)
     locks = dslocks.select(F.col(S.RSE_ID).cast("string").alias(S.RSE_ID),
                            S.SCOPE, S.NAME, F.col(S.BYTES).cast("long").alias(S.BYTES))
     return (locks.join(endpoints, locks[S.RSE_ID] == endpoints[S.ID])
@@ -62,13 +61,14 @@ def primary_datadisk(live: DataFrame, replicas: DataFrame) -> DataFrame:
     """One row per dataset and disk endpoint: ``scope, name, rse, bytes,
     created_at`` = max bytes, min creation time (J3, A2).
 
-    Both sides are reduced to their keys first (equal to aggregating after the
-    join: max over replica rows, min over catalogue rows of the dataset).
+    The catalogue is reduced to one row per dataset (min over its rows), and
+    the replicas meet it on ``(scope, name)``. The aggregate by ``(scope, name,
+    rse)`` runs on that partitioning: each side is exchanged once.
     """
-    per_endpoint = replicas.groupBy(S.SCOPE, S.NAME, S.RSE).agg(F.max(S.BYTES).alias(S.BYTES))
     created = live.groupBy(S.SCOPE, S.NAME).agg(F.min(S.CREATED_AT).alias(S.CREATED_AT))
-    return (per_endpoint.join(created, [S.SCOPE, S.NAME])
-            .select(S.SCOPE, S.NAME, S.RSE, S.BYTES, S.CREATED_AT))
+    return (replicas.join(created, [S.SCOPE, S.NAME])
+            .groupBy(S.SCOPE, S.NAME, S.RSE)
+            .agg(F.max(S.BYTES).alias(S.BYTES), F.min(S.CREATED_AT).alias(S.CREATED_AT)))
 
 
 def _passes(cutoff: float | None) -> F.Column:

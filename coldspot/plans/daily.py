@@ -1,16 +1,21 @@
 """The daily run: one Spark application from the day's access log and the
-catalogue dumps to every report, each written partitioned by its date.
-
-1. sessions of the new trace day(s) replace their ``trace_date`` partitions
-   of the stored session table;
-2. the per-dataset disk volume (replicas x endpoints x catalogue), written
-   once and read by both following reports;
-3. the popularity bins of all periods (one pass over the stored sessions);
-4. the never-used list;
-5. the unused statistics (full, TOP-N + other) from the stored list.
-
-Every step writes a table and the next step reads it back, so lineage never
-grows past one step and a rerun of the same date replaces its own partitions.
+catalogue dumps to every report, each in a folder of its date.
+
+1. the sessions of the log are one load of the stored session table; a rerun
+   replaces that load, and late events of other days join those days' sessions
+   when the table is read;
+2. the per-dataset disk volume (replicas x endpoints x catalogue) and the
+   per-dataset access counts of every period are written once;
+3. from these two tables: the popularity bins, their matrix and the volume per
+   bin and period, and the never-used list;
+4. the cube of never-used datasets, once, and from it the full statistics, the
+   TOP-N tables and the TOP-N report.
+
+Every step writes a table and the next step reads it back with its declared
+schema, so lineage never grows past one step.
+
+A session is one ``(scope, name, uuid)`` over all stored days and loads, as in
+the registered reports.
 """
 
 from __future__ import annotations
@@ -18,21 +23,27 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coldspot import schemas as S
+from coldspot.operators import histogram as H
+from coldspot.operators import sqlreports as Q
+from coldspot.operators import unused as U
+from coldspot.operators import volume as V
+from coldspot.operators.sessions import union_sessions
 from coldspot.plans import reports as R
-from coldspot.session import tune
+from coldspot.session import input_bytes, size_shuffles, tune
 from coldspot.sources import readers as RD
 from coldspot.sources import writers as WR
 from coldspot.sources.catalogue import Catalogue
 
 SNAPSHOT_COLUMNS = {
-    "contents": (S.SCOPE, S.NAME, S.CHILD_NAME, S.DID_TYPE, S.CHILD_TYPE),
-    "dids": (S.CREATED_AT, S.SCOPE, S.NAME, S.TRANSIENT),
-    "rses": (S.ID, S.RSE),
-    "dslocks": (S.RSE_ID, S.SCOPE, S.NAME, S.BYTES),
+    "contents": S.CONTENTS_COLUMNS,
+    "dids": S.DIDS_COLUMNS,
+    "rses": S.RSES_COLUMNS,
+    "dslocks": S.DSLOCKS_COLUMNS,
 }
 
 
@@ -43,53 +54,81 @@ def read_catalogue(spark: SparkSession, traces_path: str | Sequence[str],
     return Catalogue(traces=RD.read_traces(spark, traces_path), **snaps)
 
 
-def run_daily(spark: SparkSession, traces_path: str | Sequence[str], dumps: Mapping[str, str],
+def stored_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """Every stored session: ``scope, name, uuid`` over all days and loads."""
+    return union_sessions(RD.read_session_loads(spark, path), regroup=True)
+
+
+def run_daily(spark: SparkSession, traces_path: str, dumps: Mapping[str, str],
               out_root: str, report_date: str | _dt.date, fmt: str = "avro",
               months: Sequence[int] = S.DEFAULT_PERIOD_MONTHS,
               top_n: int = S.DEFAULT_TOP_N, grain: str = "month",
-              csv: bool = True) -> dict[str, str]:
+              csv: bool = True, load: str | None = None,
+              report_top_n: int = 10, last_months: int = 11, unit: str | int = "TB") -> dict[str, str]:
     """Run every report for ``report_date``; returns the output paths.
 
-    With ``csv`` the full statistics and the wide TOP-N table are also
-    published as CSV with the report headers, one folder per date
-    (``full_monthly/<date>``, ``topn_wide/<date>``)."""
+    ``load`` names the log that is read (default: the report date); running a
+    load again replaces it. With ``csv`` the full statistics and the wide
+    TOP-N table are also published as CSV with the report headers, one folder
+    per date (``full_monthly/<date>``, ``topn_wide/<date>``). Shuffles are
+    sized from the bytes of the log and the dumps, for as long as this runs."""
     tune(spark)
-    root = out_root.rstrip("/")
-    paths = {k: f"{root}/{k}" for k in ("sessions", "primary", "popularity", "unused",
-                                         "full_stats", "topn")}
+    kept = {k: spark.conf.get(k, None) for k in
+            ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    size_shuffles(spark, max(input_bytes(spark, p) for p in (traces_path, *dumps.values())))
+    try:
+        return _run(spark, traces_path, dumps, out_root.rstrip("/"), report_date, fmt, months, top_n,
+                    grain, csv, str(load or report_date), report_top_n, last_months, unit)
+    finally:
+        for key, value in kept.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _run(spark, traces_path, dumps, root, report_date, fmt, months, top_n, grain, csv, load,
+         report_top_n, last_months, unit):
+    paths = {k: f"{root}/{k}" for k in (
+        "sessions", "primary", "counts", "popularity", "matrix", "period_volumes", "unused", "cube",
+        "full_stats", "topn", "topn_report")}
     cat = read_catalogue(spark, traces_path, dumps, fmt)
 
-    # 1. Sessions of the new day(s), replacing their partitions.
-    WR.replace_partitions(R.sessions_by_day(cat), paths["sessions"])
-    sessions = RD.read_sessions(spark, paths["sessions"])  # every stored day (bag union)
-
-    day = F.col(S.REPORT_DATE) == F.lit(str(report_date)).cast("date")
+    def step(name: str, df: DataFrame, schema: T.StructType | None = None, partitions=()) -> DataFrame:
+        WR.write_dated(df, paths[name], report_date, extra_partitions=partitions)
+        return RD.read_dated(spark, paths[name], report_date, schema or df.schema)
 
-    # 2. Per-dataset disk volume, once.
-    WR.write_dated(R.primary(cat), paths["primary"], report_date)
-    prim = spark.read.parquet(paths["primary"]).filter(day).drop(S.REPORT_DATE)
+    # 1. Sessions of this log, as one load.
+    WR.write_load(R.sessions_by_day(cat), paths["sessions"], load)
+    sessions = stored_sessions(spark, paths["sessions"])
 
-    # 3. Popularity bins of all periods, one pass.
+    # 2. Disk volume and access counts per dataset.
+    prim = step("primary", R.primary(cat), S.PRIMARY_SCHEMA)
     periods = R.Periods.of_months(report_date, months)
-    WR.write_dated(R.popularity_bins(sessions, cat, periods, prim=prim), paths["popularity"],
-                   report_date, extra_partitions=(S.PERIOD,))
-
-    # 4. Never-used list.
-    WR.write_dated(R.unused_datasets(sessions, cat, report_date, sort=False, prim=prim),
-                   paths["unused"], report_date)
-    unused = spark.read.parquet(paths["unused"]).filter(day).drop(S.REPORT_DATE)
-
-    # 5. Unused statistics from the stored list.
-    WR.write_dated(R.unused_full_stats(unused, report_date, grain), paths["full_stats"], report_date)
-    WR.write_dated(R.unused_topn(unused, report_date, top_n, grain), paths["topn"], report_date)
+    every = R.Periods.of_months(report_date, [*months, *([] if 0 in months else [0])])
+    counts = step("counts", V.period_access_counts(sessions, every.cutoffs))
+    infinity = every.labels.index(S.INFINITY_LABEL)
+    alltime = counts.filter(F.col(f"_n{infinity}") > 0).select(
+        S.SCOPE, S.NAME, F.col(f"_u{infinity}").alias(S.OP_EVENTS))
+
+    # 3. Popularity and the never-used list.
+    bins = step("popularity", R.popularity_bins(sessions, cat, periods, prim=prim, counts=counts),
+                S.BINS_SCHEMA, (S.PERIOD,))
+    step("matrix", H.pivot_periods(bins, periods.labels))
+    step("period_volumes", Q.period_volume_sum(H.period_volume_table(bins)))
+    unused = step("unused", R.unused_datasets(sessions, cat, report_date, sort=False, prim=prim,
+                                              counts=alltime), S.UNUSED_SCHEMA)
+
+    # 4. Statistics from the cube.
+    cube = step("cube", U.unused_cube(unused), S.CUBE_SCHEMA)
+    full = step("full_stats", U.full_stats(cube, report_date, grain), S.FULL_STATS_SCHEMA)
+    step("topn", R.topn_of_cube(cube, report_date, top_n, grain), S.FULL_STATS_SCHEMA)
+    step("topn_report", Q.unused_topn_report(full, report_top_n, last_months, unit, materialise=False))
 
-    # 6. CSV publications from the stored tables.
     if csv:
-        full = spark.read.parquet(paths["full_stats"]).filter(day).drop(S.REPORT_DATE)
         paths["full_monthly_csv"] = f"{root}/full_monthly/{report_date}"
-        WR.write_stats(full.select(S.CREATED_AT, S.AGE_DAYS, S.IDENT, S.VOLUME),
-                       paths["full_monthly_csv"])
+        WR.write_stats(full.orderBy(F.desc(S.CREATED_AT), F.desc(S.IDENT)), paths["full_monthly_csv"],
+                       comment="Column names in the next line")
         paths["topn_wide_csv"] = f"{root}/topn_wide/{report_date}"
-        WR.write_topn_wide(R.unused_topn(unused, report_date, top_n, grain, wide=True),
-                           paths["topn_wide_csv"])
+        WR.write_topn_wide(R.topn_of_cube(cube, report_date, top_n, grain, wide=True), paths["topn_wide_csv"])
     return paths

@@ -80,10 +80,12 @@ class Periods:
 
 def popularity_periods(sess: DataFrame, cat: Catalogue, periods: Periods,
                        scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                       prim: DataFrame | None = None) -> DataFrame:
+                       prim: DataFrame | None = None,
+                       counts: DataFrame | None = None) -> DataFrame:
     """``period, access_num, volume`` for every period, one pass.
-    ``prim`` is a stored ``primary`` table to reuse (else it is computed)."""
-    counts = V.period_access_counts(sess, periods.cutoffs)
+    ``prim`` and ``counts`` are a stored ``primary`` table and the stored
+    counts of the same periods, to reuse (else they are computed)."""
+    counts = counts if counts is not None else V.period_access_counts(sess, periods.cutoffs)
     prim = prim if prim is not None else primary(cat, scope_prefixes)
     vol = V.dataset_volume_periods(prim, counts, periods.cutoffs)
     return H.access_histogram(vol, by_period=True)
@@ -98,9 +100,10 @@ def popularity_periods_separately(sess: DataFrame, cat: Catalogue, periods: Peri
 
 def popularity_bins(sess: DataFrame, cat: Catalogue, periods: Periods,
                     scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                    prim: DataFrame | None = None) -> DataFrame:
+                    prim: DataFrame | None = None,
+                    counts: DataFrame | None = None) -> DataFrame:
     """``period, bin, volume``: bins -1..15 per period, dense."""
-    return H.dense_bins(popularity_periods(sess, cat, periods, scope_prefixes, prim),
+    return H.dense_bins(popularity_periods(sess, cat, periods, scope_prefixes, prim, counts),
                         periods.labels)
 
 
@@ -117,15 +120,18 @@ def popularity_pivot(sess: DataFrame, cat: Catalogue, periods: Periods,
 # --------------------------------------------------------------------------
 def volume_alltime(sess: DataFrame, cat: Catalogue,
                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                   prim: DataFrame | None = None) -> DataFrame:
+                   prim: DataFrame | None = None,
+                   counts: DataFrame | None = None) -> DataFrame:
+    """``counts`` are stored all-time access counts to reuse."""
     prim = prim if prim is not None else primary(cat, scope_prefixes)
-    return V.dataset_volume_alltime(prim, V.access_counts(sess, None))
+    return V.dataset_volume_alltime(prim, counts if counts is not None else V.access_counts(sess, None))
 
 
 def unused_datasets(sess: DataFrame, cat: Catalogue, report_date: str | _dt.date,
                     scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                    sort: bool = True, prim: DataFrame | None = None) -> DataFrame:
-    return U.unused_list(volume_alltime(sess, cat, scope_prefixes, prim), report_date, sort=sort)
+                    sort: bool = True, prim: DataFrame | None = None,
+                    counts: DataFrame | None = None) -> DataFrame:
+    return U.unused_list(volume_alltime(sess, cat, scope_prefixes, prim, counts), report_date, sort=sort)
 
 
 # --------------------------------------------------------------------------
@@ -148,11 +154,26 @@ def unused_topn(unused: DataFrame, report_date: str | _dt.date, n: int = S.DEFAU
     cube = U.unused_cube(unused, malformed)
     if materialise:
         cube = cut_lineage(cube)
+    return topn_of_cube(cube, report_date, n, grain, wide)
+
+
+def topn_of_cube(cube: DataFrame, report_date: str | _dt.date, n: int = S.DEFAULT_TOP_N,
+                 grain: str = "month", wide: bool = False) -> DataFrame:
+    """TOP-N + other from a cube that is read from files."""
     top = U.top_idents(U.ident_totals(cube, merge_log=True), n)
     long_form = U.topn_other(cube, top, report_date, grain, merge_log=True)
     return U.topn_wide(long_form, top) if wide else long_form
 
 
+def unused_topn_ranked(cube: DataFrame, report_date: str | _dt.date, n: int = S.DEFAULT_TOP_N,
+                       grain: str = "month") -> DataFrame:
+    """The wide TOP-N table with fixed column names ``c01..cNN, other``: the
+    column of rank r holds the volume of the r-th ident, named in ``ident``
+    columns ``i01..iNN`` of every row (NULL and 0 when there are fewer)."""
+    top = U.top_idents(U.ident_totals(cube, merge_log=True), n)
+    return U.topn_ranked(U.topn_other(cube, top, report_date, grain, merge_log=True), top, n)
+
+
 # --------------------------------------------------------------------------
 # Named tables for SQL users
 # --------------------------------------------------------------------------

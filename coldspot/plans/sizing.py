@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -12,18 +11,6 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for ``df`` when it holds at most ``max_rows`` rows;
-    otherwise ``df`` unchanged (the planner then uses a shuffle join)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a frame whose row count is bounded by construction
-    (a ``limit(n)`` result, a one-row aggregate, a fixed bin spine)."""
-    return F.broadcast(df)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and continue from
     the written copy (reliable ``checkpoint``, never a local one).

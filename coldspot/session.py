@@ -31,15 +31,14 @@ def tune(spark: SparkSession, overwrite: bool = False) -> SparkSession:
 
 
 def size_shuffles(spark: SparkSession, largest_shuffle_bytes: int,
-                  partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> int:
+                  partition_bytes: int = 256 << 20) -> int:
     """Set the shuffle partition count so that the largest shuffle of a run
-    (for the reports: the per-file reduction of the access log, at most the
-    bytes of its four columns) lands in partitions of about
-    ``partition_bytes``, which fit executor memory without spilling; AQE then
-    coalesces the smaller shuffles towards the same advisory size.
-    Returns the count set."""
+    (for the reports: the access log by file name, at most the bytes of its
+    four columns) lands in partitions of about ``partition_bytes`` at any
+    input size; AQE then coalesces the smaller shuffles towards the same
+    advisory size. Returns the count set."""
     n = -(-int(largest_shuffle_bytes) // int(partition_bytes))
-    n = max(spark.sparkContext.defaultParallelism, min(n, max_partitions))
+    n = max(spark.sparkContext.defaultParallelism, n)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
     return n
@@ -80,6 +79,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="coldspot-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -88,13 +89,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/coldspot-{label}-{_uuid.uuid4().hex[:12]}"
+    path = f"{base}/coldspot-{label}-{_uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for local-only helpers in tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+_SCRATCH: list[str] = []  # scratch paths handed out by this driver
+
+
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this driver has written; call it once their
+    frames are no longer read. Returns how many there were."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        p, fs = _filesystem(spark, _SCRATCH.pop())
+        fs.delete(p, True)
+    return n
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below the paths (globs allowed)."""
+    total = 0
+    for path in paths:
+        p, fs = _filesystem(spark, path)
+        for status in fs.globStatus(p) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return total
 
 
 __all__ = ["tune", "size_shuffles", "local_session", "checkpoint_dir", "scratch_path",
-           "local_path", "RECOMMENDED_CONF"]
+           "clear_scratch", "input_bytes", "RECOMMENDED_CONF"]

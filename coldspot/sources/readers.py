@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldspot import schemas as S
-from coldspot.functions.columns import lower_case_columns
+from coldspot.functions.columns import normalise_columns
 
 
 def read_traces(spark: SparkSession, path: str | Sequence[str],
@@ -24,8 +24,7 @@ def read_traces(spark: SparkSession, path: str | Sequence[str],
     ``traceTimeentryUnix`` becomes ``timeentryunix``, other names are
     lower-cased."""
     raw = spark.read.schema(schema).json(path)
-    first, rest = schema.fieldNames()[0], schema.fieldNames()[1:]
-    return raw.select(F.col(first).alias(S.TIMEENTRYUNIX), *lower_case_columns(rest))
+    return normalise_columns(raw.withColumnRenamed(schema.fieldNames()[0], S.TIMEENTRYUNIX))
 
 
 def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str],
@@ -42,7 +41,7 @@ def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str],
                 "(--packages org.apache.spark:spark-avro_2.13:<spark version>); "
                 "or convert the dumps and pass fmt='parquet'") from exc
         raise
-    return df.select(*lower_case_columns(columns))
+    return normalise_columns(df, columns)
 
 
 def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -53,6 +52,23 @@ def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.schema(S.SESSION_SCHEMA).format(fmt).load(path)
 
 
+def read_session_loads(spark: SparkSession, path: str) -> DataFrame:
+    """Sessions stored by ``writers.write_load``, one row per trace day and
+    session however many loads hold a part of it: ``trace_date, scope, name,
+    uuid, fileops, timeentryunix``. Filters on ``trace_date`` prune folders."""
+    schema = T.StructType(S.SESSION_SCHEMA.fields + [
+        T.StructField(S.LOAD, T.StringType(), True), T.StructField(S.TRACE_DATE, T.DateType(), True)])
+    return (spark.read.schema(schema).parquet(path)
+            .groupBy(S.TRACE_DATE, S.SCOPE, S.NAME, S.UUID)
+            .agg(F.sum(S.FILEOPS).alias(S.FILEOPS), F.max(S.TIMEENTRYUNIX).alias(S.TIMEENTRYUNIX)))
+
+
+def read_dated(spark: SparkSession, path: str, report_date, schema: T.StructType) -> DataFrame:
+    """A stored report of one date (``writers.write_dated``) with its declared
+    schema: types and labels (``03``) do not depend on what is stored."""
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{S.REPORT_DATE}={report_date}")
+
+
 def _non_empty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what}: files exist but are empty")

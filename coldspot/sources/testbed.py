@@ -25,8 +25,17 @@ from coldspot.sources.catalogue import Catalogue
 # ---------------------------------------------------------------------------
 # Fixed values of the derivation rules
 # ---------------------------------------------------------------------------
-# Report date of the test bed (all events lie in January 2024).
+# Report date of the test bed. Events lie in January 2024; each is moved back by
+# up to TRACE_SPREAD_DAYS, so every period of the reports holds other sessions.
 REPORT_DATE = "2024-02-01"
+TRACE_SPREAD_DAYS = 600
+# Every HOT_EVERY-th event reads one hot file; of the others the even ones read
+# the file given by their value, and the odd ones come in pairs of equal file
+# and user, on files that grow with the events.
+HOT_EVERY = 10
+HOT_FILE = "f9"
+# Orders whose dataset name has too few dotted parts.
+MALFORMED_EVERY = 29
 # Scope of a dataset by order priority; any other priority -> "user.test".
 PRIORITY_SCOPES = (
     ("1-URGENT", "data16_13TeV"),
@@ -77,12 +86,12 @@ def _name(k: F.Column, scope: F.Column) -> F.Column:
     datatype = F.lit(DATATYPES[-1])
     for i, d in reversed(list(enumerate(DATATYPES[:-1]))):
         datatype = F.when(k % 4 == i, F.lit(d)).otherwise(datatype)
-    return F.concat(
-        F.translate(scope, ".", "_"), F.lit("."),
-        F.lpad(k.cast("string"), 8, "0"), F.lit(".stream.merge."),
+    head = F.concat(F.translate(scope, ".", "_"), F.lit("."), F.lpad(k.cast("string"), 8, "0"))
+    return F.when(k % MALFORMED_EVERY == 0, head).otherwise(F.concat(
+        head, F.lit(".stream.merge."),
         datatype, F.lit("_r"), (k % 5).cast("string"),
         F.when(k % 11 == 0, F.lit("_sub01")).otherwise(F.lit("")),
-    )
+    ))
 
 
 def _datasets(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
@@ -153,14 +162,25 @@ def traces(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataF
     etype = F.lit(OTHER_EVENT_TYPE)
     for src, dst in reversed(EVENT_TYPES):
         etype = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(etype)
+    e = F.col("event_id")
+    text = lambda prefix, number: F.concat(F.lit(prefix), number.cast("string"))
+    pair = F.floor(e / 4).cast("long")
+    paired = (e % 2 == 1) & (e % HOT_EVERY != 0)
+    file = (F.when(e % 23 == 0, F.lit(None).cast("string"))
+            .when(e % HOT_EVERY == 0, F.lit(HOT_FILE))
+            .when(paired, text("f", pair * 8 + 1 + pair % 7))
+            .otherwise(text("f", F.floor(F.col("value") * 32).cast("long"))))
+    user = (F.when(e % 17 == 0, F.lit(None).cast("string"))
+            .when(paired, text("p", pair)).otherwise(text("u", F.col("user_id"))))
+    moved = ((e * 7919) % TRACE_SPREAD_DAYS) * S.DAY_SECONDS
+    time = (epoch_seconds("ts", ev.schema["ts"].dataType) - moved).cast("double")
     return ev.select(
-        epoch_seconds("ts", ev.schema["ts"].dataType).cast("double").alias(S.TIMEENTRYUNIX),
-        F.when(F.col("event_id") % 23 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("f"), F.floor(F.col("value") * 32).cast("long").cast("string")))
-        .alias(S.FILENAME),
-        etype.alias(S.EVENTTYPE),
-        F.when(F.col("event_id") % 17 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias(S.UUID),
+        time.alias(S.TIMEENTRYUNIX), (time - 60).alias("timestart"), (time + e % 600).alias("timeend"),
+        text("d", e % 1000).alias("dataset"), file.alias(S.FILENAME), text("h", F.col("user_id") % 50).alias("hostname"),
+        F.when(e % 2 == 0, F.lit("data")).otherwise(F.lit("mc")).alias(S.SCOPE), text("SITE-", e % 7).alias("localsite"),
+        text("SITE-", e % 11).alias("remotesite"), text("10.0.0.", e % 256).alias("ip"), etype.alias(S.EVENTTYPE),
+        F.when(e % 5 == 0, F.lit("FAILED")).otherwise(F.lit("DONE")).alias("clientstate"), user.alias(S.UUID),
+        text("/CN=", F.col("user_id")).alias("usrdn"),
     )
 
 
@@ -214,12 +234,8 @@ def catalogue(spark: SparkSession, sf_dir: str, written: bool = True) -> Catalog
 # ---------------------------------------------------------------------------
 def traces_source(t: DataFrame) -> DataFrame:
     """Trace rows with the access log's field names (JSON lines)."""
-    return t.select(
-        F.col(S.TIMEENTRYUNIX).alias("traceTimeentryUnix"),
-        F.col(S.FILENAME).alias("filename"),
-        F.col(S.EVENTTYPE).alias("eventType"),
-        F.col(S.UUID).alias("uuid"),
-    )
+    return t.select(*[F.col(S.TIMEENTRYUNIX if name == "traceTimeentryUnix" else name.lower()).alias(name)
+                      for name in S.TRACE_SOURCE_SCHEMA.fieldNames()])
 
 
 def upper_case(df: DataFrame) -> DataFrame:
@@ -251,9 +267,10 @@ tb_ds0 AS (
 ),
 tb_ds AS (
   SELECT k, scope,
-    replace(scope, '.', '_') || '.' || lpad(CAST(k AS VARCHAR), 8, '0') || '.stream.merge.'
+    replace(scope, '.', '_') || '.' || lpad(CAST(k AS VARCHAR), 8, '0')
+      || CASE WHEN k % {MALFORMED_EVERY} = 0 THEN '' ELSE '.stream.merge.'
       || ({_datatype_case('k')}) || '_r' || CAST(k % 5 AS VARCHAR)
-      || CASE WHEN k % 11 = 0 THEN '_sub01' ELSE '' END AS name,
+      || CASE WHEN k % 11 = 0 THEN '_sub01' ELSE '' END END AS name,
     CAST(floor(epoch(o_orderdate)) AS BIGINT) * 1000 + CAST({CREATED_SHIFT_DAYS} AS BIGINT) * 86400000 AS created_at,
     CASE WHEN k % 13 = 0 THEN 1 END AS transient
   FROM tb_ds0
@@ -276,11 +293,22 @@ rses AS (
     s_name || CASE WHEN s_suppkey % 3 = 0 THEN '_TAPE' ELSE '_DATADISK' END AS rse
   FROM supplier
 ),
+tb_events AS (
+  SELECT *, CAST(CAST(floor(epoch(ts)) AS BIGINT) - (event_id * 7919 % {TRACE_SPREAD_DAYS}) * {S.DAY_SECONDS} AS DOUBLE) AS t,
+    event_id // 4 AS pair, event_id % 2 = 1 AND event_id % {HOT_EVERY} <> 0 AS paired FROM events
+),
 traces AS (
-  SELECT CAST(floor(epoch(ts)) AS DOUBLE) AS timeentryunix,
-    CASE WHEN event_id % 23 = 0 THEN NULL
+  SELECT t AS timeentryunix, t - 60 AS timestart, t + event_id % 600 AS timeend,
+    'd' || CAST(event_id % 1000 AS VARCHAR) AS dataset,
+    CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % {HOT_EVERY} = 0 THEN '{HOT_FILE}'
+         WHEN paired THEN 'f' || CAST(pair * 8 + 1 + pair % 7 AS VARCHAR)
          ELSE 'f' || CAST(CAST(floor(value * 32) AS BIGINT) AS VARCHAR) END AS filename,
-    {_event_case()} AS eventtype,
-    CASE WHEN event_id % 17 = 0 THEN NULL ELSE 'u' || CAST(user_id AS VARCHAR) END AS uuid
-  FROM events
+    'h' || CAST(user_id % 50 AS VARCHAR) AS hostname, CASE WHEN event_id % 2 = 0 THEN 'data' ELSE 'mc' END AS scope,
+    'SITE-' || CAST(event_id % 7 AS VARCHAR) AS localsite, 'SITE-' || CAST(event_id % 11 AS VARCHAR) AS remotesite,
+    '10.0.0.' || CAST(event_id % 256 AS VARCHAR) AS ip, {_event_case()} AS eventtype,
+    CASE WHEN event_id % 5 = 0 THEN 'FAILED' ELSE 'DONE' END AS clientstate,
+    CASE WHEN event_id % 17 = 0 THEN NULL WHEN paired THEN 'p' || CAST(pair AS VARCHAR)
+         ELSE 'u' || CAST(user_id AS VARCHAR) END AS uuid,
+    '/CN=' || CAST(user_id AS VARCHAR) AS usrdn
+  FROM tb_events
 )"""

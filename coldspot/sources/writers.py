@@ -1,8 +1,7 @@
 """Writers of sessions and reports.
 
-Report tables carry their period / report date as a column and are written
-partitioned by it: one write for all periods, and a rerun replaces only the
-partitions it produced (dynamic partition overwrite).
+Report tables lie in one folder per report date, sessions in one folder per
+load; a rerun replaces that folder as a whole and nothing else.
 """
 
 from __future__ import annotations
@@ -39,12 +38,15 @@ def write_popularity(df: DataFrame, path: str, header: bool = False) -> None:
 
 def write_dated(df: DataFrame, path: str, report_date: str | _dt.date, fmt: str = "parquet",
                 extra_partitions: Sequence[str] = ()) -> None:
-    """A report of one report date, partitioned by ``report_date`` (and
-    ``extra_partitions``); a rerun replaces only that date's partitions."""
-    out = df.withColumn(S.REPORT_DATE, F.lit(str(report_date)).cast("date"))
-    w = _text(out, "\t") if fmt == "tsv" else out.write.format(fmt)
-    (w.partitionBy(S.REPORT_DATE, *extra_partitions).option("partitionOverwriteMode", "dynamic")
-     .mode("overwrite").save(path))
+    """A report of one report date, in its own folder ``report_date=<date>``
+    (with ``extra_partitions`` below it). A rerun replaces the whole folder, so
+    nothing of an earlier run of that date stays, even if the rerun has fewer
+    partitions or no rows."""
+    w = _text(df, "\t") if fmt == "tsv" else df.write.format(fmt)
+    if extra_partitions:
+        w = w.partitionBy(*extra_partitions)
+    (w.option("partitionOverwriteMode", "static").mode("overwrite")
+     .save(f"{path.rstrip('/')}/{S.REPORT_DATE}={report_date}"))
 
 
 def write_unused(df: DataFrame, path: str, report_date: str | _dt.date,
@@ -54,16 +56,28 @@ def write_unused(df: DataFrame, path: str, report_date: str | _dt.date,
     write_dated(df, path, report_date, fmt)
 
 
-def write_stats(df: DataFrame, path: str,
-                header: Sequence[str] | None = S.FULL_STATS_HEADER) -> None:
+def write_stats(df: DataFrame, path: str, header: Sequence[str] | None = S.FULL_STATS_HEADER,
+                comment: str | None = None) -> None:
     """Statistics table as comma CSV with a header (S12): ``header`` names the
     columns in order (default: the full statistics' report names); ``None``
-    keeps the frame's names (e.g. the wide TOP-N layout)."""
+    keeps the frame's names (e.g. the wide TOP-N layout).
+
+    ``comment`` puts a line ``# <comment>`` on top, as ``read_full_monthly``
+    skips it. The table is then written as one text file (a report of creation
+    bins by ident is small)."""
     header = list(df.columns) if header is None else list(header)
     if len(header) != len(df.columns):
         raise ValueError(f"header has {len(header)} names for {len(df.columns)} columns")
     renamed = df.select(*[F.col(c).alias(h) for c, h in zip(df.columns, header)])
-    renamed.write.option("header", True).format("csv").mode("overwrite").save(path)
+    if comment is None:
+        renamed.write.option("header", True).format("csv").mode("overwrite").save(path)
+        return
+    line = F.to_csv(F.struct(*[F.col(f"`{h}`") for h in header]))
+    first = df.sparkSession.createDataFrame(
+        [(0, f"# {comment}"), (1, ",".join(header))], "_order long, value string")
+    body = renamed.select((F.monotonically_increasing_id() + 2).alias("_order"), line.alias("value"))
+    (first.unionAll(body).coalesce(1).sortWithinPartitions("_order").select("value")
+     .write.mode("overwrite").text(path))
 
 
 def write_topn_wide(df: DataFrame, path: str) -> None:
@@ -72,9 +86,11 @@ def write_topn_wide(df: DataFrame, path: str) -> None:
     write_stats(df, path, header=list(S.FULL_STATS_HEADER[:2]) + df.columns[2:])
 
 
-def replace_partitions(df: DataFrame, path: str, partition_col: str = S.TRACE_DATE,
-                       fmt: str = "parquet") -> None:
-    """Replace only the ``partition_col`` partitions present in ``df`` (S13):
-    the rerun of one day rewrites that day and keeps every other."""
-    (df.write.format(fmt).partitionBy(partition_col)
-     .option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path))
+def write_load(df: DataFrame, path: str, load: str, partition_col: str = S.TRACE_DATE,
+               fmt: str = "parquet") -> None:
+    """The rows of one load (a day's log, a run, a micro-batch) in the folder
+    ``load=<load>``, partitioned by ``partition_col`` below it (S13). A rerun
+    of the load replaces exactly that load's rows; rows that other loads hold
+    of the same day stay."""
+    (df.write.format(fmt).partitionBy(partition_col).option("partitionOverwriteMode", "static")
+     .mode("overwrite").save(f"{path.rstrip('/')}/{S.LOAD}={load}"))

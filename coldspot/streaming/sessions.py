@@ -1,26 +1,14 @@
 """Incremental session ingest with Structured Streaming.
 
-The reference preprocesses each new day of the access log in a batch run and
-replaces that day's output. The same result as a stream:
-
-* file source over the access-log folder (JSON lines, declared schema);
-* the valid read events, joined to the static dataset->file list
-  (stream-static inner join: stateless);
-* a stateful aggregation per ``(UTC day, scope, name, uuid)`` with an event-time
-  watermark: a day's sessions are final once the watermark passes the end of
-  the day and are then appended once (exactly once with the checkpoint);
-* a parquet sink partitioned by ``trace_date``.
-
-State holds only the sessions of the days still open (bounded by the allowed
-lateness), never the history. Events later than the watermark are dropped by
-Spark, as a closed day has already been written.
-
-Cost per micro-batch: the static file list takes part in every batch's join
-(a sort-merge join shuffles it each time; AQE does not run in streaming). A
-daily ``availableNow`` run pays that once, like the batch job. For frequent
-triggers, store the file list as a table bucketed by ``child_name`` so that
-only the batch's events are shuffled, and use ``hot_files`` salting for hot
-files.
+The reference preprocesses each new day of the access log in a batch run. As a
+stream, every micro-batch of new log files goes through the same batch plan
+(``operators.sessions.build_sessions`` by day, where AQE splits hot files) and
+is written as one load of the stored sessions, named after the batch. A batch
+that is replayed after a failure overwrites its own load, so the result is
+exactly once. ``readers.read_session_loads`` regroups the loads.
+
+There is no streaming state and no watermark: an event counts whenever its
+file arrives, and days still open are part of the result.
 """
 
 from __future__ import annotations
@@ -28,16 +16,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coldspot import schemas as S
-from coldspot.functions.columns import is_read_event, lower_case_columns, starts_with_any
-from coldspot.operators.sessions import dataset_files, valid_traces
-from coldspot.operators.skew import HOT, salted_join
-from coldspot.plans.sizing import broadcast_if_bounded
-
-DAY = "1 day"
+from coldspot.functions.columns import normalise_columns
+from coldspot.operators.sessions import build_sessions
+from coldspot.sources.writers import write_load
 
 
 def read_trace_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
@@ -48,63 +32,28 @@ def read_trace_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(path)
-    names = S.TRACE_SOURCE_SCHEMA.fieldNames()
-    return raw.select(F.col(names[0]).alias(S.TIMEENTRYUNIX), *lower_case_columns(names[1:]))
-
+    return normalise_columns(raw.withColumnRenamed(raw.columns[0], S.TIMEENTRYUNIX))
 
-def daily_sessions(traces: DataFrame, contents: DataFrame,
-                   scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
-                   lateness: str = "1 hour", hot_files: DataFrame | None = None,
-                   salt_buckets: int = 0) -> DataFrame:
-    """Streaming sessions per UTC day: ``trace_date, scope, name, uuid,
-    fileops, timeentryunix`` (equal to the batch ``build_sessions(...,
-    by_day=True)`` for every closed day).
 
-    AQE does not run in streaming queries, so a hot file is split
-    explicitly: ``hot_files`` (one column of file names, e.g. from the
-    previous day's batch run) are salted over ``salt_buckets``."""
-    events = (valid_traces(traces)
-              .filter(is_read_event(S.EVENTTYPE))
-              .select(S.FILENAME,
-                      F.nullif(F.col(S.UUID), F.lit("")).alias(S.UUID),
-                      S.TIMEENTRYUNIX,
-                      F.timestamp_seconds(F.col(S.TIMEENTRYUNIX)).alias("_event_time"))
-              .withWatermark("_event_time", lateness))
-    files = dataset_files(contents).filter(starts_with_any(S.SCOPE, scope_prefixes))
-    hot = None
-    if hot_files is not None and salt_buckets > 1:
-        hot = broadcast_if_bounded(hot_files.select(F.col(hot_files.columns[0]).alias(HOT)), 10_000)
-    joined = salted_join(events, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets, S.UUID)
-    agg = (joined.groupBy(F.window("_event_time", DAY).alias("_w"), S.SCOPE, S.NAME, S.UUID)
-           .agg(F.count(F.lit(1)).alias(S.FILEOPS), F.max(S.TIMEENTRYUNIX).alias(S.TIMEENTRYUNIX)))
-    day = F.date_from_unix_date((F.unix_seconds(F.col("_w.start")) / 86400).cast("int"))
-    return agg.select(day.alias(S.TRACE_DATE), S.SCOPE, S.NAME, S.UUID, S.FILEOPS, S.TIMEENTRYUNIX)
+def start_daily_sessions(traces: DataFrame, contents: DataFrame, out_path: str, checkpoint: str,
+                         scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
+                         stream: str = "stream", available_now: bool = True,
+                         processing_time: str | None = None, **options) -> StreamingQuery:
+    """Write the sessions of each micro-batch of ``traces`` to ``out_path`` as
+    the load ``<stream>-<batch>``; two streams into one table need different
+    names. ``options`` go to ``build_sessions`` (e.g. ``hot_files`` of the
+    previous day with ``salt_buckets``).
 
+    ``available_now`` processes what has arrived and stops (a scheduled daily
+    run); otherwise a ``processing_time`` trigger keeps it running."""
 
-def start_daily_sessions(sessions: DataFrame, out_path: str, checkpoint: str,
-                         available_now: bool = True,
-                         processing_time: str | None = None,
-                         state_partitions: int | None = None) -> StreamingQuery:
-    """Append closed days to parquet partitioned by ``trace_date``.
+    def one_batch(batch: DataFrame, number: int) -> None:
+        write_load(build_sessions(batch, contents, scope_prefixes, by_day=True, **options),
+                   out_path, f"{stream}-{number}")
 
-    ``available_now`` processes what has arrived and stops (a scheduled
-    daily run); otherwise a ``processing_time`` trigger keeps it running.
-    ``state_partitions`` sets the number of state-store partitions on the
-    first start (it is then fixed by the checkpoint); by default the
-    session's shuffle partitions are used."""
-    writer = (sessions.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).partitionBy(S.TRACE_DATE))
+    writer = traces.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_batch)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    if not state_partitions:
-        return writer.start(out_path)
-    spark = sessions.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start(out_path)
-    finally:
-        spark.conf.set(key, previous)
+    return writer.start()
