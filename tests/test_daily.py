@@ -1,11 +1,11 @@
 """The daily run over files in the source layout (JSON log, parquet dumps)."""
 import os
 
-from pyspark.sql import functions as F
-
 from coldspot import registry as RG
+from coldspot import schemas as S
 from coldspot.plans import daily as D
 from coldspot.plans import reports as R
+from coldspot.sources import readers as RD
 from coldspot.sources import testbed as TB
 from conftest import SF_SMALL, rows
 
@@ -20,29 +20,31 @@ def test_daily_run_matches_the_reports(spark, tmp_dir):
         TB.upper_case(getattr(cat, t)).write.parquet(dumps[t])
     out = os.path.join(tmp_dir, "out")
     paths = D.run_daily(spark, traces, dumps, out, TB.REPORT_DATE, fmt="parquet")
-    # A rerun of the same date replaces its partitions (idempotent).
+    # A rerun of the same load and date replaces what it wrote.
     D.run_daily(spark, traces, dumps, out, TB.REPORT_DATE, fmt="parquet")
 
-    day = F.col("report_date") == F.lit(TB.REPORT_DATE).cast("date")
-    bins = spark.read.parquet(paths["popularity"]).filter(day)
-    # Stored sessions are per trace day (a session across midnight counts once
-    # per day, as with daily preprocessing runs).
+    def stored(name, schema):
+        return RD.read_dated(spark, paths[name], TB.REPORT_DATE, schema)
+
     written = TB.catalogue(spark, SF_SMALL)
-    expected = R.popularity_bins(R.sessions_by_day(written), written, RG.PERIODS)
-    assert rows(bins, "period", "bin", "volume") == rows(expected, "period", "bin", "volume")
-    full = spark.read.parquet(paths["full_stats"]).filter(day)
-    assert rows(full, "created_at", "ident", "volume") == rows(
-        RG.q_unused_full_stats(spark, SF_SMALL), "created_at", "ident", "volume")
-    unused = spark.read.parquet(paths["unused"])
-    assert unused.count() == 826
-    topn = spark.read.parquet(paths["topn"]).filter(day)
-    assert rows(topn, "created_at", "ident", "volume") == rows(
-        R.unused_topn(RG.q_unused_list(spark, SF_SMALL), TB.REPORT_DATE), "created_at", "ident", "volume")
+    sess = R.sessions(written)
+    assert rows(D.stored_sessions(spark, paths["sessions"])) == rows(sess)
+    bins = stored("popularity", S.BINS_SCHEMA)
+    want = R.popularity_bins(sess, written, RG.PERIODS)
+    assert rows(bins, "period", "bin", "volume") == rows(want, "period", "bin", "volume")
+    matrix = spark.read.parquet(f"{paths['matrix']}/report_date={TB.REPORT_DATE}")
+    assert rows(matrix) == rows(R.popularity_pivot(sess, written, RG.PERIODS))
+    volumes = spark.read.parquet(f"{paths['period_volumes']}/report_date={TB.REPORT_DATE}")
+    assert rows(volumes, "period", "volume", "month") == rows(RG.q_period_volume_sum(spark, SF_SMALL), "period", "volume", "month")
+    full = stored("full_stats", S.FULL_STATS_SCHEMA)
+    assert rows(full) == rows(RG.q_unused_full_stats(spark, SF_SMALL))
+    assert rows(stored("unused", S.UNUSED_SCHEMA)) == rows(RG.q_unused_list(spark, SF_SMALL))
+    assert rows(stored("topn", S.FULL_STATS_SCHEMA)) == rows(R.unused_topn(RG.q_unused_list(spark, SF_SMALL), TB.REPORT_DATE))
+    report = spark.read.parquet(f"{paths['topn_report']}/report_date={TB.REPORT_DATE}")
+    assert rows(report) == rows(RG.q_unused_topn_report(spark, SF_SMALL))
     # CSV publications read back with the report readers.
-    from coldspot.sources import readers as RD
-    back = RD.read_full_monthly(spark, paths["full_monthly_csv"])
-    assert rows(back, "created_at", "ident", "volume") == rows(full, "created_at", "ident", "volume")
+    assert rows(RD.read_full_monthly(spark, paths["full_monthly_csv"])) == rows(full)
     wide = spark.read.option("header", True).csv(paths["topn_wide_csv"])
     assert wide.columns[:2] == ["Created at", "Age (days)"] and wide.columns[-1] == "other"
-    # Sessions stored by day: each day is one partition.
-    assert spark.read.parquet(paths["sessions"]).count() == RG.q_sessions_by_day(spark, SF_SMALL).count()
+    # The session settings are as before.
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -46,7 +46,7 @@ SCRIPT = textwrap.dedent("""
     # Failure after a shuffle (on the sessions, before the reports).
     faulty_shuffle = report(cat.traces, lambda s: s.filter(first_attempt_fails(F.col("name"))))
     assert clean == faulty_scan == faulty_shuffle, "results differ after task retries"
-    assert len(clean[0]) == 128
+    assert len(clean[0]) == 108
     print("OK")
 """).replace("ROOT", repr(ROOT))
 

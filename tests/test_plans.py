@@ -86,3 +86,24 @@ def test_one_pass_report_stays_in_codegen(spark, cat):
     # '*(n)' marks operators inside a whole-stage codegen stage.
     assert re.search(r"\*\(\d+\) Generate stack", p)
     assert re.search(r"\*\(\d+\) SortMergeJoin .*LeftOuter", p)
+
+
+def _exchanges(df) -> int:
+    return len(re.findall(r"\(\d+\) Exchange\n", plan(df)))
+
+
+def test_one_exchange_per_large_table(spark, cat):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        # The log by file name, the file list by child name, then the roll-up.
+        assert _exchanges(R.sessions(cat)) == 3
+        # Locks and endpoints by endpoint id, replicas and catalogue by dataset; no more for the aggregate.
+        assert _exchanges(R.primary(cat)) == 4
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # With the endpoints broadcast the locks are exchanged once.
+    assert _exchanges(R.primary(cat)) <= 2

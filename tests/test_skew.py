@@ -87,26 +87,36 @@ def test_explicit_salting_is_exact_and_spreads_the_hot_file(spark):
     assert "xxhash64" in p and "Generate explode" in p
 
 
-def test_streaming_salting_equals_plain(spark, tmp_dir):
-    import json
-    import os
-    from coldspot.streaming import sessions as ST
-    src = os.path.join(tmp_dir, "src")
-    os.makedirs(src)
-    with open(os.path.join(src, "t.json"), "w") as f:
-        for i in range(300):
-            fn = "hot" if i % 3 == 0 else f"f{i % 7}"
-            f.write(json.dumps({"traceTimeentryUnix": 60.0 * i, "filename": fn, "eventType": "get",
-                                "uuid": f"u{i % 11}"}) + "\n")
-        f.write(json.dumps({"traceTimeentryUnix": 3 * 86400.0, "filename": "f1", "eventType": "get",
-                            "uuid": "u0"}) + "\n")
-    _, contents = _inputs(spark, 10)
-    outs = []
-    for k, buckets in enumerate((0, 4)):
-        out, ck = os.path.join(tmp_dir, f"o{k}"), os.path.join(tmp_dir, f"c{k}")
-        hot = spark.createDataFrame([("hot",)], "f string")
-        stream = ST.daily_sessions(ST.read_trace_stream(spark, src), contents,
-                                   hot_files=hot, salt_buckets=buckets)
-        ST.start_daily_sessions(stream, out, ck, state_partitions=4).awaitTermination()
-        outs.append(rows(spark.read.parquet(out)))
-    assert outs[0] == outs[1] and len(outs[0]) > 0
+def test_hot_list_with_repeats_and_nulls(spark):
+    traces, contents = _inputs(spark, 3000)
+    plain = rows(SE.build_sessions(traces, contents))
+    given = spark.createDataFrame([("hot",), ("hot",), (None,), ("f1",)], "f string")
+    assert rows(SE.build_sessions(traces, contents, salt_buckets=8, hot_files=given)) == plain
+
+
+def test_null_users_of_a_hot_file_are_spread(spark):
+    from coldspot.operators.skew import salted_join
+    n = 800
+    big = spark.range(n).select(F.lit("hot").alias("filename"), F.lit(None).cast("string").alias("uuid"),
+                                F.col("id").cast("double").alias("t"))
+    small = spark.createDataFrame([("hot", "x")], "child_name string, name string")
+    hot = spark.createDataFrame([("hot",)], "f string")
+    joined = salted_join(big, small, "filename", "child_name", hot, 8, ("uuid", "t"))
+    assert joined.count() == n
+    salts = big.select(F.pmod(F.xxhash64("uuid", "t"), F.lit(8)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == 8 and max(r["count"] for r in salts) < n / 4
+
+
+def test_long_hot_list_salts_every_key(spark):
+    from coldspot.operators.skew import salted_join
+    traces, contents = _inputs(spark, 2000)
+    hot = traces.select("filename").distinct()
+    plain = traces.join(contents, traces.filename == contents.child_name)
+    salted = salted_join(traces, contents, "filename", "child_name", hot, 4, ("uuid", "timeentryunix"), broadcast_keys=3)
+    assert rows(salted) == rows(plain)
+    assert "Broadcast" not in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pre_aggregation_gives_the_same_sessions(spark):
+    traces, contents = _inputs(spark, 3000)
+    assert rows(SE.build_sessions(traces, contents, pre_aggregate=True)) == rows(SE.build_sessions(traces, contents))

@@ -112,17 +112,54 @@ def test_unused_partitions_and_latest_snapshot(spark, tmp_dir):
     assert "PartitionFilters" in plan
 
 
-def test_replace_partitions_keeps_other_days(spark, tmp_dir):
+DAYS = ("scope string, name string, uuid string, fileops long, timeentryunix double, trace_date date")
+
+
+def test_a_load_with_late_events_keeps_stored_sessions(spark, tmp_dir):
     path = os.path.join(tmp_dir, "sessions")
-    day1 = spark.createDataFrame([("d", "a", "u", 1, 1.0, dt.date(2024, 1, 1)),
-                                  ("d", "b", "u", 1, 2.0, dt.date(2024, 1, 2))],
-                                 "scope string, name string, uuid string, fileops long, "
-                                 "timeentryunix double, trace_date date")
-    WR.replace_partitions(day1, path)
-    rerun = spark.createDataFrame([("d", "c", "u", 5, 3.0, dt.date(2024, 1, 2))], day1.schema)
-    WR.replace_partitions(rerun, path)
-    back = spark.read.parquet(path)
-    assert rows(back, "name", "fileops") == [("a", 1), ("c", 5)]
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    first = [("d", f"n{i}", "u", 1, 1.0, one) for i in range(100)]
+    WR.write_load(spark.createDataFrame(first, DAYS), path, "2024-01-01")
+    # The second log holds one late event of day 1, of a stored session.
+    second = spark.createDataFrame([("d", "n0", "u", 2, 9.0, one), ("d", "b", "u", 1, 2.0, two)], DAYS)
+    for _ in range(2):  # a rerun replaces the load and nothing else
+        WR.write_load(second, path, "2024-01-02")
+        back = RD.read_session_loads(spark, path)
+        assert back.filter(F.col("trace_date") == one).count() == 100
+        assert rows(back.filter("name in ('n0', 'n1', 'b')"), "name", "fileops", "timeentryunix") == [
+            ("b", 1, 2.0), ("n0", 3, 9.0), ("n1", 1, 1.0)]
+    # A rerun of a load that holds fewer days leaves none of its old rows.
+    WR.write_load(second.filter("name = 'b'"), path, "2024-01-02")
+    assert rows(RD.read_session_loads(spark, path).filter("name = 'n0'"), "fileops") == [(1,)]
+
+
+def test_reruns_leave_nothing_of_the_date_behind(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bins")
+    bins = spark.createDataFrame([(0, 5, "03"), (0, 6, "06"), (0, 7, "infinity")], S.BINS_SCHEMA)
+    WR.write_dated(bins, path, "2024-02-01", extra_partitions=("period",))
+    WR.write_dated(bins, path, "2024-03-01", extra_partitions=("period",))
+    WR.write_dated(bins.filter("period <> 'infinity'"), path, "2024-02-01", extra_partitions=("period",))
+    back = RD.read_dated(spark, path, "2024-02-01", S.BINS_SCHEMA)
+    assert rows(back, "period", "volume") == [("03", 5), ("06", 6)]  # labels stay text
+    assert RD.read_dated(spark, path, "2024-03-01", S.BINS_SCHEMA).count() == 3
+    unused = os.path.join(tmp_dir, "unused")
+    lst = spark.createDataFrame([("d", "a", 1, 2, 3)], S.UNUSED_SCHEMA)
+    for fmt in ("parquet", "tsv"):
+        WR.write_unused(lst, f"{unused}-{fmt}", "2024-02-01", fmt)
+        WR.write_unused(lst.limit(0), f"{unused}-{fmt}", "2024-02-01", fmt)
+    assert RD.read_dated(spark, f"{unused}-parquet", "2024-02-01", S.UNUSED_SCHEMA).count() == 0
+    assert RD.read_unused_list(spark, f"{unused}-tsv/report_date=2024-02-01").count() == 0
+
+
+def test_stats_comment_line_is_read_back(spark, tmp_dir):
+    full = spark.createDataFrame([(dt.date(2024, 1, 1), 31, "a,b*", 3), (dt.date(2023, 1, 1), 396, 'q"x*', 4)],
+                                 S.FULL_STATS_SCHEMA)
+    path = os.path.join(tmp_dir, "stats")
+    WR.write_stats(full, path, comment="Column names in the next line")
+    part = [p for p in os.listdir(path) if p.startswith("part")][0]
+    with open(os.path.join(path, part)) as f:
+        assert f.read().split("\n")[:2] == ["# Column names in the next line", "Created at,Age (days),Project/datatype,Volume"]
+    assert rows(RD.read_full_monthly(spark, path)) == rows(full)
 
 
 def test_avro_without_package_explains(spark, tmp_dir):

@@ -1,8 +1,9 @@
-"""Incremental daily sessions with Structured Streaming (file source, watermark, append)."""
+"""Incremental daily sessions with Structured Streaming (file source, loads per micro-batch)."""
 import json
 import os
 
 from coldspot.operators import sessions as SE
+from coldspot.sources import readers as RD
 from coldspot.streaming import sessions as ST
 from conftest import rows
 
@@ -16,7 +17,7 @@ def _put(folder, name, events):
             f.write(json.dumps({"traceTimeentryUnix": ts, "filename": fn, "eventType": et, "uuid": uu}) + "\n")
 
 
-def test_closed_days_are_appended_once(spark, tmp_dir):
+def test_batches_with_late_events_equal_one_batch_run(spark, tmp_dir):
     src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
     os.makedirs(src)
     contents = spark.createDataFrame([("data1", "data1.a", "f1", "D", "F"),
@@ -24,25 +25,30 @@ def test_closed_days_are_appended_once(spark, tmp_dir):
     day1 = [(100.0, "f1", "get", "u1"), (200.0, "f1", "download", "u1"), (300.0, "f1", "put", "u2"),
             (400.0, None, "get", "u3")]
     day2 = [(DAY + 7200, "f1", "get", "u2")]
-    _put(src, "traces.1.json", day1 + day2)
+    late = [(3 * DAY, "f1", "get", "u9"), (150.0, "f1", "get", "u1"), (50.0, "f1", "get", None)]
+    events = []
 
     def run():
-        q = ST.start_daily_sessions(ST.daily_sessions(ST.read_trace_stream(spark, src), contents), out, ck)
-        q.awaitTermination()
-
-    run()
-    got = rows(spark.read.parquet(out), "trace_date", "name", "uuid", "fileops", "timeentryunix")
-    assert [(str(d), n, u, f, t) for d, n, u, f, t in got] == [
-        ("1970-01-01", "data1.a", "u1", 2, 200.0), ("1970-01-01", "mc1.b", "u1", 2, 200.0)]
-
-    _put(src, "traces.2.json", [(3 * DAY, "f1", "get", "u9")])
-    run()
-    got = rows(spark.read.parquet(out), "trace_date", "name", "uuid")
-    assert [(str(d), n, u) for d, n, u in got] == [
-        ("1970-01-01", "data1.a", "u1"), ("1970-01-01", "mc1.b", "u1"),
-        ("1970-01-02", "data1.a", "u2"), ("1970-01-02", "mc1.b", "u2")]
-
-    # Equal to the batch form for the closed days.
-    batch_t = spark.createDataFrame(day1 + day2, "timeentryunix double, filename string, eventtype string, uuid string")
-    batch = SE.build_sessions(batch_t, contents, by_day=True)
-    assert rows(batch, "trace_date", "name", "uuid") == got
+        ST.start_daily_sessions(ST.read_trace_stream(spark, src, max_files_per_trigger=1), contents, out, ck).awaitTermination()
+        batch_t = spark.createDataFrame(events, "timeentryunix double, filename string, eventtype string, uuid string")
+        want = rows(SE.build_sessions(batch_t, contents, by_day=True))
+        assert rows(RD.read_session_loads(spark, out)) == want
+        return len(want)
+
+    _put(src, "traces.1.json", day1)
+    _put(src, "traces.2.json", day2)
+    events += day1 + day2
+    assert run() == 4  # days still open are part of the result
+    _put(src, "traces.3.json", late)
+    events += late
+    assert run() == 8
+    assert len([d for d in os.listdir(out) if d.startswith("load=")]) == 3
+
+
+def test_a_replayed_batch_replaces_its_load(spark, tmp_dir):
+    from coldspot.sources import writers as WR
+    contents = spark.createDataFrame([("data1", "data1.a", "f1", "D", "F")], CONTENTS)
+    log = spark.createDataFrame([(1.0, "f1", "get", "u1")], "timeentryunix double, filename string, eventtype string, uuid string")
+    for _ in range(2):
+        WR.write_load(SE.build_sessions(log, contents, by_day=True), os.path.join(tmp_dir, "out"), "stream-0")
+    assert rows(RD.read_session_loads(spark, os.path.join(tmp_dir, "out")), "fileops") == [(1,)]

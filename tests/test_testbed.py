@@ -24,9 +24,9 @@ def test_fixture_counts_sf0001(spark, small):
     assert cat.dids.count() == 1500
     assert cat.contents.count() == 6000 and cat.dslocks.count() == 6000
     assert cat.traces.count() == 1000 and cat.rses.count() == 10
-    assert sess.count() == 128
-    assert R.primary(cat).count() == 2012
-    assert R.unused_datasets(sess, cat, TB.REPORT_DATE).count() == 826
+    assert sess.count() == 108
+    assert R.primary(cat).count() == 2023
+    assert R.unused_datasets(sess, cat, TB.REPORT_DATE).count() == 839
 
 
 def test_bin_volumes_sum_to_dataset_volume(spark, small):
@@ -69,9 +69,12 @@ def test_fixture_histograms_sf001(spark):
     cat = TB.catalogue(spark, SF01)
     sess = R.sessions(cat)
     expected = {
-        RG.THREE_MONTHS: [8677, 369, 108, 57, 48, 27, 16, 19, 9, 10, 7, 8, 3, 1, 0, 1, 4],
-        None: [0, 9046, 108, 57, 48, 27, 16, 19, 9, 10, 7, 8, 3, 1, 0, 1, 4],
-        RG.WEEK_CUTOFF: [9171, 45, 98, 29, 16, 3, 2, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0],
+        RG.WEEK_CUTOFF: [9358, 40, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0],
+        RG.THREE_MONTHS: [8915, 372, 107, 4, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0],
+        RG.PERIODS.cutoffs["06"]: [8458, 694, 210, 27, 8, 1, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0],
+        RG.PERIODS.cutoffs["09"]: [7999, 1039, 298, 40, 16, 6, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0],
+        RG.TWELVE_MONTHS: [7570, 1391, 353, 52, 17, 12, 2, 1, 0, 0, 0, 0, 0, 0, 0, 0, 0],
+        None: [0, 8809, 457, 65, 24, 21, 9, 7, 3, 2, 1, 0, 0, 0, 0, 0, 0],
     }
     prim = R.primary(cat)
     for cut, counts in expected.items():
@@ -80,7 +83,7 @@ def test_fixture_histograms_sf001(spark):
                .agg(F.count(F.lit(1)).alias("n")).collect()}
         assert [got.get(b, 0) for b in range(-1, 16)] == counts, cut
     hist = {r.access_num: r.volume for r in R.popularity(sess, cat, None).collect()}
-    assert hist[0] == 647_699_000_000 and hist[1] == 7_593_000_000
+    assert hist[0] == 627_163_000_000 and hist[1] == 35_556_000_000
 
 
 def test_entry_smoke(spark):
@@ -89,13 +92,25 @@ def test_entry_smoke(spark):
     assert df.count() == 17
 
 
-def test_every_query_has_oracle_sql_but_dynamic_pivot():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"unused_topn_wide"}
+def test_every_report_query_has_oracle_sql():
+    assert set(RG.QUERIES) == set(RG.oracle_sql()) <= set(E.oracle_sql())
+
+
+def test_ranked_columns_equal_the_named_ones(spark, small):
+    cat, sess = small
+    cube = U.unused_cube(R.unused_datasets(sess, cat, TB.REPORT_DATE, sort=False))
+    named = R.topn_of_cube(cube, TB.REPORT_DATE, 4, wide=True)
+    ranked = R.unused_topn_ranked(cube, TB.REPORT_DATE, 4)
+    assert [c for c in ranked.columns if c[0] == "c" and c[1:].isdigit()] == ["c01", "c02", "c03", "c04"]
+    assert [tuple(r[c] for c in ranked.columns if not (c[0] == "i" and c[1:].isdigit())) for r in ranked.collect()] == [
+        tuple(r) for r in named.collect()]
+    assert [ranked.first()[f"i{n:02d}"] for n in range(1, 5)] == named.columns[2:-1]
+    many = R.unused_topn_ranked(cube, TB.REPORT_DATE, 60).first()
+    assert many["i60"] is None and many["c60"] == 0
 
 
 def test_unused_topn_wide_matches_long_form(spark):
-    wide = RG.q_unused_topn_wide(spark, SF_SMALL)
+    wide = R.unused_topn(RG._unused(spark, SF_SMALL), TB.REPORT_DATE, RG.TOP_N, wide=True)
     long_form = RG.q_unused_topn_other(spark, SF_SMALL)
     cols = [c for c in wide.columns if c not in ("created_at", "age_days")]
     assert cols[-1] == "other"
@@ -126,13 +141,41 @@ def test_normalise_columns(spark):
     assert normalise_columns(df, ["CREATED_AT"]).columns == ["created_at"]
 
 
+def test_checkpoint_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+    from coldspot.session import checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077",
+                         getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(fake)
+
+
+def test_input_bytes_and_clear_scratch(spark, tmp_dir, monkeypatch):
+    import os
+    from coldspot import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    for name in ("a", "b"):
+        os.makedirs(os.path.join(tmp_dir, name))
+        with open(os.path.join(tmp_dir, name, "f"), "w") as f:
+            f.write("x" * 100)
+    assert session.input_bytes(spark, os.path.join(tmp_dir, "*")) == 200
+    assert session.input_bytes(spark, os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "none")) == 100
+    path = session.scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
+    assert session.input_bytes(spark, path) == 0
+
+
 def test_size_shuffles(spark):
     from coldspot.session import size_shuffles
     old = spark.conf.get("spark.sql.shuffle.partitions")
     old_adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     try:
         assert size_shuffles(spark, 10 * (256 << 20)) == max(10, spark.sparkContext.defaultParallelism)
-        assert size_shuffles(spark, 100 << 40) == 100_000
+        assert size_shuffles(spark, 100 << 40) == 409_600  # 256 MB at any size
         assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
