@@ -14,11 +14,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from coldspot import registry as RG  # noqa: E402
-from coldspot.session import local_session, scratch_path  # noqa: E402
-from coldspot.sources import testbed as TB  # noqa: E402
-from coldspot.streaming import sessions as ST  # noqa: E402
+from coldspot.session import local_session  # noqa: E402
 
-KEYS = ["sessions", "popularity_all_periods", "unused_list", "unused_topn_other",
+KEYS = ["sessions", "primary_datadisk", "popularity_all_periods", "unused_list", "unused_topn_other",
         "unused_topn_report", "latest_snapshot"]
 
 
@@ -46,16 +44,16 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8)
     # Plan as for large inputs: no size-estimated broadcast, so only the
-    # explicit, bounded broadcasts remain (endpoints after the row-count
-    # check, the top-N list, the bin spine's histogram).
+    # explicit, bounded broadcasts remain (the top-N list, the bin spine's
+    # histogram).
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     out = ["# Physical plans of the headline reports",
            "",
            f"Generated by `tools/plans.py` on `{os.path.basename(sf_dir)}` (local[8], AQE on) with",
            "automatic broadcasting switched off, i.e. the plan shape for large inputs: only the",
-           "explicit broadcasts of bounded sides remain (the endpoint table after its row-count",
-           "check, the top-N list, the binned histogram joined to the bin spine). These are the",
+           "explicit broadcasts of bounded sides remain (the top-N list, the binned histogram",
+           "joined to the bin spine). The stream runs the plan of `sessions` per micro-batch. These are the",
            "initial adaptive plans; at run time AQE may still split skewed join partitions and",
            "coalesce small ones. The catalogue is the written test bed (parquet), so the scan",
            "details show what reaches the parquet reader.",
@@ -64,17 +62,6 @@ def main() -> None:
         df = RG.QUERIES[key](spark, sf_dir)
         out += [f"## {key}", "", "```", condense(formatted(df)), "```", ""]
 
-    # The daily-session stream (plan of one micro-batch: watermark, partial
-    # aggregation before the stateful exchange, state store restore/save).
-    cat = TB.catalogue(spark, sf_dir)
-    src = scratch_path(spark, "plans-stream") + "/traces"
-    TB.traces_source(cat.traces).write.mode("overwrite").json(src)
-    stream = ST.daily_sessions(ST.read_trace_stream(spark, src), cat.contents)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        stream.explain()
-    text = re.sub(r"\[file:[^\]]*\]|\[/[^\]]*\]", "[...]", buf.getvalue())
-    out += ["## stream_daily_sessions (streaming)", "", "```", text.rstrip(), "```", ""]
     with open("PLANS.md", "w") as f:
         f.write("\n".join(out))
 
