@@ -5,21 +5,23 @@
 2. Documents of equal sets form a class; only its smallest doc_id goes on. A group of exact
    copies is one row from here, however large.
 3. Each tree sends a class to the node of its own minwise token. A node of at most
-   ``NODE_ROWS`` classes is compared exhaustively by sketch. A larger node is compared in
-   random sub-blocks, where classes nearly equal to another stand back behind it, and the
-   others branch: each goes to the children given by ``BRANCHES`` further sketch tokens,
-   chosen by the node. Branching repeats until every node is small; nodes that cannot
-   be split any more (``MAX_DEPTH``) are still compared in sub-blocks.
+   ``NODE_ROWS`` classes is compared exhaustively by sketch. A larger node is cut into
+   random sub-blocks that are compared alike; of each connected part of a sub-block at most
+   ``DELEGATES`` random classes go on (its links are kept), so a group of near copies
+   shrinks however large it is, and what goes on branches: to the children given by
+   ``BRANCHES`` further sketch tokens, chosen by the node. Branching repeats until every
+   node is small; at ``MAX_DEPTH`` sub-blocks end it.
 4. A node does not list all its similar pairs: up to ``ALL_PAIRS`` classes it does, beyond
-   that it gives ``FORESTS`` successive maximum spanning forests of them, which connect
-   whatever the pairs connect even if some links prove wrong.
-5. Candidate links are confirmed on the full sets, made again from both texts.
+   that it gives ``FORESTS`` successive maximum spanning forests of them and, as estimates
+   near the threshold may be wrong, for each class its ``ACROSS`` best partners outside its
+   cluster of certain links. Together they connect whatever the pairs connect.
+5. Candidate links are confirmed on the full sets, made again from the texts.
 6. Connected components of the confirmed links by minimum labels with pointer jumping, on
    tables in the shared folder; nothing of all documents reaches the driver.
 
 The number of trees follows from the target recall at the threshold: a tree finds a pair
-of similarity s with probability s (times about 0.98 per branching), so the chance to miss
-one in all trees is (1 - 0.98 s) ** trees.
+of similarity s with probability s, and at least 0.88 s if its node has to branch, so the
+chance to miss a pair in all trees is at most (1 - 0.88 s) ** trees.
 """
 
 from __future__ import annotations
@@ -37,15 +39,17 @@ from coldspot.llm.common import WORD_PATTERN, map_texts, stored
 
 SHINGLE = 5
 PERCENT = 75
-MISS = 1e-7  # chance to miss a link at the threshold
+MISS = 1e-6  # chance to miss a link at the threshold
 SKETCH = 128
 SLACK = 0.15  # estimated similarity may be lower than the threshold by this: four deviations
-NODE_ROWS = 512
+NODE_ROWS = 4096
 ALL_PAIRS = 12
 FORESTS = 3
-BRANCHES = 3
+CERTAIN = 0.9  # estimated similarity that leaves no doubt about a link
+ACROSS = 32  # best partners of other clusters, for each class of a large node
+BRANCHES = 2
 MAX_DEPTH = 8
-NEARLY_EQUAL = 0.95
+DELEGATES = 16  # of a connected part of a sub-block, that go on
 SEED = 20240917
 
 _WORDS = re.compile(WORD_PATTERN).findall
@@ -53,7 +57,7 @@ _LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
 
 
 def trees_for(percent: int = PERCENT, miss: float = MISS) -> int:
-    return max(1, ceil(log(miss) / log(1 - 0.98 * percent / 100)))
+    return max(1, ceil(log(miss) / log(1 - 0.88 * percent / 100)))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -132,49 +136,77 @@ def signatures(docs: DataFrame, trees: int, size: int = SHINGLE) -> DataFrame:
     return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SIGNATURE_SCHEMA)
 
 
+def estimate(sketches: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Estimated similarity of one sketch to others (chance agreement taken out)."""
+    same = (sketches == sketch).mean(axis=1)
+    return (same - 1 / 256) / (1 - 1 / 256)
+
+
+def may_link(sizes: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can reach ``percent`` with a set of ``size``."""
+    return (sizes * percent <= size * 100) & (size * percent <= sizes * 100)
+
+
 def similar_pairs(sizes: np.ndarray, sketches: np.ndarray, least: float, percent: int):
-    """Pairs of rows whose estimated similarity reaches ``least`` and whose set sizes allow
-    ``percent``: arrays (a, b, estimate)."""
-    order = np.argsort(sizes, kind="stable")
-    sizes, sketches = sizes[order], sketches[order]
-    upto = np.searchsorted(sizes, sizes * 100 // percent, side="right")
-    found = []
+    """All pairs of rows whose estimated similarity reaches ``least``: arrays (a, b)."""
+    a, b = [], []
     for i in range(len(sizes) - 1):
-        same = (sketches[i + 1:upto[i]] == sketches[i]).mean(axis=1)
-        estimate = (same - 1 / 256) / (1 - 1 / 256)
-        hit = np.flatnonzero(estimate >= least)
-        if len(hit):
-            found.append((np.full(len(hit), order[i]), order[i + 1 + hit], estimate[hit]))
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return tuple(np.concatenate(c) for c in zip(*found))
-
-
-def spanning(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray, forests: int) -> np.ndarray:
-    """Positions of the edges of successive maximum spanning forests."""
-    left = np.argsort(-weight, kind="stable")
-    kept = []
-    for _ in range(forests):
-        root = list(range(n))
-
-        def find(v):
-            while root[v] != v:
-                root[v] = root[root[v]]
-                v = root[v]
-            return v
-
-        rest = []
-        for e in left.tolist():
-            x, y = find(a[e]), find(b[e])
-            if x == y:
-                rest.append(e)
-            else:
-                root[x] = y
-                kept.append(e)
-        left = np.array(rest, np.int64)
-        if not rest:
+        ok = may_link(sizes[i + 1:], sizes[i], percent) & (estimate(sketches[i + 1:], sketches[i]) >= least)
+        hit = np.flatnonzero(ok) + i + 1
+        a.append(np.full(len(hit), i))
+        b.append(hit)
+    return np.concatenate(a or [np.zeros(0, int)]), np.concatenate(b or [np.zeros(0, int)])
+
+
+def across(cluster: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, least: float, percent: int, most: int):
+    """For every row its ``most`` best estimated partners of other clusters (all, if fewer)."""
+    made = []
+    for u in range(len(sizes)):
+        near = np.where(may_link(sizes, sizes[u], percent) & (cluster != cluster[u]), estimate(sketches, sketches[u]), -1.0)
+        hit = np.flatnonzero(near >= least)
+        if len(hit) > most:
+            hit = hit[np.argpartition(-near[hit], most)[:most]]
+        made.append(np.stack([np.full(len(hit), u), hit], 1))
+    return np.concatenate(made).astype(np.int64)
+
+
+def spanning_forests(sizes: np.ndarray, sketches: np.ndarray, least: float, percent: int, forests: int):
+    """Edges (a, b) of successive maximum spanning forests over the pairs whose estimated
+    similarity reaches ``least``, each row's tree in the first forest, and its cluster: the
+    rows connected by pairs of ``CERTAIN`` similarity or more (a first forest holds its
+    strongest links). Grown edge by edge from one row (Prim), so memory is linear in the
+    rows; a forest does not use the edges of those before it."""
+    n = len(sizes)
+    used: list[set[int]] = [set() for _ in range(n)]
+    edges: list[tuple[int, int]] = []
+    tree, cluster = np.zeros(n, np.int64), np.arange(n)
+    for forest in range(forests):
+        best, via, out = np.full(n, -1.0), np.full(n, -1), np.zeros(n, bool)
+        made = []
+        for _ in range(n):
+            free = np.where(out, -2.0, best)
+            u = int(free.argmax())
+            if via[u] >= 0:
+                made.append((int(via[u]), u))
+                if forest == 0:
+                    tree[u] = tree[via[u]]
+                    if best[u] >= CERTAIN:
+                        cluster[u] = cluster[via[u]]
+            elif forest == 0:
+                tree[u] = u
+            out[u] = True
+            near = np.where(may_link(sizes, sizes[u], percent), estimate(sketches, sketches[u]), -1.0)
+            if used[u]:
+                near[list(used[u])] = -1.0
+            better = (near >= least) & (near > best) & ~out
+            best[better], via[better] = near[better], u
+        if not made:
             break
-    return np.array(sorted(kept), np.int64)
+        for a, b in made:
+            used[a].add(b)
+            used[b].add(a)
+        edges += made
+    return np.array(edges, np.int64).reshape(-1, 2), tree, cluster
 
 
 ROW_SCHEMA = "kind int, key long, a long, b long, n_shingles long, sketch binary"
@@ -189,23 +221,22 @@ def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
 
     def node(key, big, ids, sizes, raw):
         sketches = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), SKETCH)
-        a, b, estimate = similar_pairs(sizes, sketches, least, percent)
-        if len(ids) > ALL_PAIRS and len(a):
-            keep = spanning(len(ids), a, b, estimate, FORESTS)
-            kept_a, kept_b = a[keep], b[keep]
+        if len(ids) > ALL_PAIRS or big:
+            edges, tree, cluster = spanning_forests(sizes, sketches, least, percent, FORESTS)
+            edges = np.concatenate([edges, across(cluster, sizes, sketches, least, percent, ACROSS)])
+            a, b = edges[:, 0], edges[:, 1]
         else:
-            kept_a, kept_b = a, b
-        x, y = ids[kept_a], ids[kept_b]
+            a, b = similar_pairs(sizes, sketches, least, percent)
+        x, y = ids[a], ids[b]
         for u, v in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()):
             if u != v:
                 yield 0, key, u, v, None, None
         if big:
-            back = np.zeros(len(ids), bool)
-            for u, v, e in zip(a.tolist(), b.tolist(), estimate.tolist()):
-                if e >= NEARLY_EQUAL and not back[u] and not back[v]:
-                    back[v] = True
-            for i in np.flatnonzero(~back).tolist():
-                yield 1, key, int(ids[i]), None, int(sizes[i]), raw[i]
+            met: dict[int, int] = {}
+            for i in np.argsort(_mixed(ids.astype(np.uint64) ^ np.uint64(key % (1 << 64))), kind="stable").tolist():
+                met[tree[i]] = met.get(tree[i], 0) + 1
+                if met[tree[i]] <= DELEGATES:
+                    yield 1, key, int(ids[i]), None, int(sizes[i]), raw[i]
 
     def run(batches):
         rows: list[tuple] = []
@@ -245,7 +276,7 @@ def candidate_links(classes: DataFrame, percent: int = PERCENT, node_rows: int =
     for depth in range(max_depth + 1):
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         last = depth == max_depth
-        members = rows.join(sizes, "key").select(
+        members = rows.join(sizes.hint("merge"), "key").select(
             "key",
             F.when(F.col("size") > node_rows,
                    F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("size") / node_rows))).otherwise(0).cast("int").alias("part"),
@@ -267,40 +298,50 @@ def candidate_links(classes: DataFrame, percent: int = PERCENT, node_rows: int =
 
 def confirm(links: DataFrame, docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The links whose full sets have 100 * intersection >= percent * union. The documents
-    are shuffled once, to the ends of the links; a link's two texts then meet."""
+    are shuffled once, to the ends of the links; a link's two texts then meet. Both sides
+    grow with the documents, so neither is broadcast at any size."""
     numbered = links.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
-    ends = numbered.join(texts, "doc_id").select("a", "b", "doc_id", "text")
+    ends = numbered.hint("merge").join(texts, "doc_id").select("a", "b", "doc_id", "text")
+
+    def sets(batches):
+        """The set of each end; the rows of a document follow one another."""
+        last, packed = None, b""
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part, made = batch.slice(start, 256), []
+                for text in part.column(3).to_pylist():
+                    if text != last:
+                        last, packed = text, shingles(text, size).tobytes()
+                    made.append(packed)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(made, pa.binary())], ["a", "b", "doc_id", "s"])
 
     def run(batches):
-        held: list[tuple] = []
-        met: dict[int, np.ndarray] = {}
-        good: list[tuple] = []
+        held: dict[int, set[bytes]] = {}  # of each end; more than one if its doc_id repeats
+        link, good = None, []
+
+        def linked(x, y):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return 100 * both >= percent * (len(x) + len(y) - both)
 
         def close():
-            sets: dict[int, list[np.ndarray]] = {}
-            for _, _, doc, text in held:
-                if doc not in met:
-                    if len(met) >= 64:
-                        met.pop(next(iter(met)))
-                    met[doc] = shingles(text, size)
-                sets.setdefault(doc, []).append(met[doc])
-            if len(sets) == 2:
-                x, y = (s[0] for s in sets.values())
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    good.append(held[0][:2])
+            if len(held) == 2:
+                one, two = ([np.frombuffer(s, np.uint64) for s in found] for found in held.values())
+                if any(linked(x, y) for x in one for y in two):
+                    good.append(link)
             held.clear()
 
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 for row in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
-                    if held and row[:2] != held[0][:2]:
+                    if row[:2] != link:
                         close()
-                    held.append(row)
+                        link = row[:2]
+                    held.setdefault(row[2], set()).add(row[3])
         close()
         yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in good], pa.int64()) for i in (0, 1)], ["a", "b"])
 
+    ends = ends.mapInArrow(sets, "a long, b long, doc_id long, s binary")
     return ends.repartition("a", "b").sortWithinPartitions("a", "b", "doc_id").mapInArrow(run, "a long, b long")
 
 
@@ -364,7 +405,8 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     not keep; of rows that repeat a doc_id, one. Rows of a null doc_id stay."""
     found = near_duplicates(docs, **options)
     found = stored(found.select("doc_id", "kept"), "kept")
-    left = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    # The dropped ids grow with the documents: never broadcast.
+    left = docs.join(found.where("not kept").select("doc_id").distinct().hint("merge"), "doc_id", "left_anti")
     repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     if not repeated.isEmpty():
         left = left.join(repeated, "doc_id", "left_anti").unionByName(
