@@ -89,7 +89,8 @@ def test_topk_blocks_of_queries(spark, monkeypatch):
     rows = [(i, [((i * 7 + j) % 13) / 13 for j in range(4)]) for i in range(300)]
     df = topk.quantise(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
     monkeypatch.setattr(topk, "BLOCK", 2)
-    monkeypatch.setattr(topk, "CELLS", 64)
+    monkeypatch.setattr(topk, "CANDIDATES", 7)
+    monkeypatch.setattr(topk, "TILE", 1)
     got = {tuple(r) for r in topk.search(df.where("vec_id % 50 = 0"), df).collect()}
     assert got == brute_topk(rows)
 
@@ -211,15 +212,63 @@ def test_components_of_a_long_chain(spark):
     assert neardup.components(links.limit(0)).count() == 0
 
 
-def test_spanning_forests_connect_like_all_pairs():
-    rng = random.Random(4)
-    pairs = sorted({tuple(sorted(rng.sample(range(30), 2))) for _ in range(120)})
-    a, b = (np.array(c) for c in zip(*pairs))
-    weight = np.random.default_rng(1).random(len(a))
-    one = neardup.spanning(30, a, b, weight, 1)
-    three = neardup.spanning(30, a, b, weight, 3)
-    assert len(one) <= 29 and set(one) <= set(three) and len(three) <= 87
-    assert weight.argmax() in one
+def _similar_rows(n=40, seed=4):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 256, (6, neardup.SKETCH), dtype=np.uint8)
+    rows = base[rng.integers(0, 6, n)].copy()
+    for r in rows:
+        change = rng.random(neardup.SKETCH) < rng.choice([0.0, 0.1, 0.2, 0.35])
+        r[change] = rng.integers(0, 256, change.sum())
+    return rng.integers(80, 121, n), rows
+
+
+def test_spanning_forests_against_kruskal():
+    sizes, sketches = _similar_rows()
+    a, b = neardup.similar_pairs(sizes, sketches, 0.6, 75)
+    weight = {(i, j): neardup.estimate(sketches[j:j + 1], sketches[i])[0] for i, j in zip(a.tolist(), b.tolist())}
+    assert set(weight) == {(i, j) for i in range(40) for j in range(i + 1, 40)
+                           if neardup.estimate(sketches[j:j + 1], sketches[i])[0] >= 0.6
+                           and max(sizes[i], sizes[j]) * 75 <= min(sizes[i], sizes[j]) * 100}
+    edges, tree, cluster = neardup.spanning_forests(sizes, sketches, 0.6, 75, 3)
+    made = {(min(e), max(e)) for e in edges.tolist()}
+    assert len(made) == len(edges) and made <= set(weight)
+    left, total, parts = dict(weight), [], None
+    for _ in range(3):  # weight of each maximum spanning forest
+        root = list(range(40))
+
+        def find(v):
+            while root[v] != v:
+                v = root[v]
+            return v
+        kept = []
+        for e in sorted(left, key=lambda e: -left[e]):
+            x, y = find(e[0]), find(e[1])
+            if x != y:
+                root[x] = y
+                kept.append(e)
+        if parts is None:
+            parts = [find(i) for i in range(40)]
+            first = sum(left[e] for e in kept)
+            own, _, _ = neardup.spanning_forests(sizes, sketches, 0.6, 75, 1)
+            assert abs(sum(weight[(min(e), max(e))] for e in own.tolist()) - first) < 1e-9 and len(own) == len(kept)
+        for e in kept:
+            left.pop(e)
+    assert len({(p, t) for p, t in zip(parts, tree.tolist())}) == len(set(parts)) == len(set(tree.tolist()))
+
+
+def test_partners_across_clusters():
+    sizes, sketches = _similar_rows()
+    _, _, cluster = neardup.spanning_forests(sizes, sketches, 0.6, 75, 1)
+    a, b = neardup.similar_pairs(sizes, sketches, 0.6, 75)
+    want = {(i, j) for i, j in zip(a.tolist(), b.tolist()) if cluster[i] != cluster[j]}
+    every = {(min(e), max(e)) for e in neardup.across(cluster, sizes, sketches, 0.6, 75, 40).tolist()}
+    assert every == want
+    few = neardup.across(cluster, sizes, sketches, 0.6, 75, 2).tolist()
+    assert max(Counter(u for u, _ in few).values()) == 2
+    # clusters: connected by pairs of certain similarity
+    sure = {(i, j) for i, j in zip(a.tolist(), b.tolist())
+            if neardup.estimate(sketches[j:j + 1], sketches[i])[0] >= neardup.CERTAIN}
+    assert all(cluster[i] == cluster[j] for i, j in sure)
 
 
 # ---- secrets
