@@ -23,9 +23,14 @@ BATCH_CHARS = 2 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers import this package: from --py-files on a cluster, else from here.
+def importable(spark: SparkSession) -> None:
+    """Python workers import this package: from ``--py-files`` on a cluster, else from the
+    folder it was loaded from."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -73,6 +78,7 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch, list], dict], schema:
     output columns; it is called once or more per input batch."""
     from pyspark.sql.types import StructType
 
+    importable(df.sparkSession)
     arrow = _arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,6 +93,7 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch, list], dict], schema:
 
 def filter_texts(docs: DataFrame, keep: Callable[[list], np.ndarray]) -> DataFrame:
     """The rows, with all their columns, for which ``keep(texts)`` is true."""
+    importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldspot.llm.common import text_slices
+from coldspot.llm.common import importable, text_slices
 
 WINDOW = 4096
 UNIT = 16
@@ -279,7 +279,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW,
     Null and empty texts are one piece, the end id. Repeated rows and null doc_ids are
     packed like any other row. An empty table gives no rows. Very long texts are cut into
     windows. ``window`` must be a power of two and a multiple of ``UNIT``."""
-
+    importable(docs.sparkSession)
     schema = pa.schema([(name, pa.int64()) for name in
                         ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
     end = pack_ids(end_id)
