@@ -13,8 +13,9 @@
    node is small; at ``MAX_DEPTH`` sub-blocks end it.
 4. A node does not list all its similar pairs: up to ``ALL_PAIRS`` classes it does, beyond
    that it gives ``FORESTS`` successive maximum spanning forests of them and, as estimates
-   near the threshold may be wrong, for each class its ``ACROSS`` best partners outside its
-   cluster of certain links. Together they connect whatever the pairs connect.
+   near the threshold may be wrong, for each cluster of certain links its best partners
+   outside (``ACROSS`` shared among its classes, and one more each). Together they connect
+   whatever the pairs connect.
 5. Candidate links are confirmed on the full sets, made again from the texts.
 6. Connected components of the confirmed links by minimum labels with pointer jumping, on
    tables in the shared folder; nothing of all documents reaches the driver.
@@ -46,7 +47,7 @@ NODE_ROWS = 4096
 ALL_PAIRS = 12
 FORESTS = 3
 CERTAIN = 0.9  # estimated similarity that leaves no doubt about a link
-ACROSS = 32  # best partners of other clusters, for each class of a large node
+ACROSS = 16  # best partners in other clusters, for each cluster of a large node
 BRANCHES = 2
 MAX_DEPTH = 8
 DELEGATES = 16  # of a connected part of a sub-block, that go on
@@ -159,13 +160,15 @@ def similar_pairs(sizes: np.ndarray, sketches: np.ndarray, least: float, percent
 
 
 def across(cluster: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, least: float, percent: int, most: int):
-    """For every row its ``most`` best estimated partners of other clusters (all, if fewer)."""
+    """For every row its best estimated partners of other clusters: ``most`` shared among the
+    rows of its cluster, and one more (all, if fewer)."""
     made = []
+    share = -(-most // np.bincount(cluster)[cluster]) + 1
     for u in range(len(sizes)):
         near = np.where(may_link(sizes, sizes[u], percent) & (cluster != cluster[u]), estimate(sketches, sketches[u]), -1.0)
         hit = np.flatnonzero(near >= least)
-        if len(hit) > most:
-            hit = hit[np.argpartition(-near[hit], most)[:most]]
+        if len(hit) > share[u]:
+            hit = hit[np.argpartition(-near[hit], share[u])[:share[u]]]
         made.append(np.stack([np.full(len(hit), u), hit], 1))
     return np.concatenate(made).astype(np.int64)
 
