@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from coldspot.llm.common import importable
+
 BLOCK = 4096
-CELLS = 1 << 22  # scores held at once
+CANDIDATES = 4096  # of a batch
+TILE = 32  # queries scored at once: their dense scores stay in the processor's cache
 
 
 def quantise(vectors: DataFrame, id_col: str, vector_col: str, factor: int = 256) -> DataFrame:
@@ -33,19 +36,22 @@ def quantise(vectors: DataFrame, id_col: str, vector_col: str, factor: int = 256
             .select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * factor)).alias("terms")))
 
 
-class QueryBlock:
-    """Sparse query rows, stored by term: for each term the queries that have it and their
-    weights."""
+class QueryTile:
+    """A few sparse query rows, stored by term: for each term the queries that have it and
+    their weights."""
 
     def __init__(self, ids: list[int], rows: list[list[int]]):
         self.ids = np.asarray(ids, np.int64)
-        self.width = max(map(len, rows), default=0)
         self.terms = []
-        for term in range(self.width):
+        for term in range(max(map(len, rows), default=0)):
             held = [(i, r[term]) for i, r in enumerate(rows) if term < len(r) and r[term]]
             self.terms.append((np.array([i for i, _ in held], np.int64), np.array([v for _, v in held], np.int64)))
 
 
+def tiles(ids: list[int], rows: list[list[int]]) -> list[QueryTile]:
+    return [QueryTile(ids[i:i + TILE], rows[i:i + TILE]) for i in range(0, len(ids), TILE)]
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores (all, if fewer), ties to the smaller id; ``ids``
     ascend."""
@@ -56,39 +62,41 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == least)[:k - len(above)]])
 
 
-def accumulate(block: QueryBlock, ids: np.ndarray, flat: np.ndarray, ends: np.ndarray, k: int):
+def accumulate(block: list[QueryTile], ids: np.ndarray, flat: np.ndarray, ends: np.ndarray, k: int):
     """Best candidates of one batch for each query: arrays (query_id, vec_id, score)."""
     order = np.argsort(ids, kind="stable")
     starts, sizes = (ends[:-1])[order], np.diff(ends)[order]
     ids = ids[order]
-    scores = np.zeros((len(block.ids), len(ids)), np.int64)
-    for term, (queries, weights) in enumerate(block.terms):
+    postings = []  # of each term: the candidates that have it and their values
+    for term in range(int(sizes.max(initial=0))):
         has = np.flatnonzero(sizes > term)
-        if not len(has) or not len(queries):
-            continue
-        posting = flat[starts[has] + term]
-        if len(queries) == len(block.ids) and len(has) == len(ids):
-            scores += weights[:, None] * posting[None, :]
-        else:
-            scores[np.ix_(queries, has)] += weights[:, None] * posting[None, :]
+        postings.append((has, flat[starts[has] + term]))
     made = []
-    for q, query in enumerate(block.ids):
-        own = np.searchsorted(ids, [query, query + 1])  # the query's own row
-        row = np.delete(scores[q], np.s_[own[0]:own[1]]) if own[0] < own[1] else scores[q]
-        others = np.delete(ids, np.s_[own[0]:own[1]]) if own[0] < own[1] else ids
-        at = best(row, others, k)
-        made.append((np.full(len(at), query), others[at], row[at]))
+    for tile in block:
+        scores = np.zeros((len(tile.ids), len(ids)), np.int64)
+        product = np.empty_like(scores)
+        for (queries, weights), (has, values) in zip(tile.terms, postings):
+            if len(queries) == len(tile.ids) and len(has) == len(ids):
+                np.multiply(weights[:, None], values[None, :], out=product)
+                scores += product
+            elif len(queries) and len(has):
+                scores[np.ix_(queries, has)] += weights[:, None] * values[None, :]
+        for q, query in enumerate(tile.ids):
+            own = np.searchsorted(ids, [query, query + 1])  # the query's own row
+            row = np.delete(scores[q], np.s_[own[0]:own[1]]) if own[0] < own[1] else scores[q]
+            others = np.delete(ids, np.s_[own[0]:own[1]]) if own[0] < own[1] else ids
+            at = best(row, others, k)
+            made.append((np.full(len(at), query), others[at], row[at]))
     return tuple(np.concatenate(c) for c in zip(*made))
 
 
-def _candidates(vectors: DataFrame, block: QueryBlock, k: int) -> DataFrame:
+def _candidates(vectors: DataFrame, block: list[QueryTile], k: int) -> DataFrame:
     shared = vectors.sparkSession.sparkContext.broadcast(block)  # at most BLOCK queries
-    rows = max(k, CELLS // max(1, len(block.ids)))
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
+            for start in range(0, batch.num_rows, CANDIDATES):
+                part = batch.slice(start, CANDIDATES)
                 lists = part.column(1)
                 ends = np.asarray(lists.offsets).astype(np.int64)
                 flat = lists.values.to_numpy(zero_copy_only=False)
@@ -108,6 +116,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     are candidates each. Vectors of different lengths meet in the terms both have. Fewer
     than k candidates give fewer rows; no queries or candidates give none."""
     spark = vectors.sparkSession
+    importable(spark)
     queries = queries.groupBy("vec_id").agg(F.min("terms").alias("terms"))
     count = queries.count()
     blocks = max(1, ceil(count / (BLOCK * 0.8)))  # hashed, so a block stays below BLOCK
@@ -115,8 +124,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     for b in range(blocks):
         rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").collect()
         if rows:
-            block = QueryBlock([r["vec_id"] for r in rows], [r["terms"] for r in rows])
-            own = _candidates(vectors, block, k)
+            own = _candidates(vectors, tiles([r["vec_id"] for r in rows], [r["terms"] for r in rows]), k)
             found = own if found is None else found.unionAll(own)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
