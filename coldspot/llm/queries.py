@@ -4,7 +4,7 @@ DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
 from coldspot.llm import bpe, langid, neardup, packing, quality, secrets, sharding, tokencount, topk, toxicity
-from coldspot.llm.common import table, tokenizer_path
+from coldspot.llm.common import stored, table, tokenizer_path
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -27,7 +27,9 @@ def op4_sharding(spark, sf_dir):
 
 def op5_secret_scan(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return secrets.scan(documents, *secrets.fit(documents, table(spark, sf_dir, "pages")))
+    found = stored(secrets.candidates(documents), "secret-candidates")
+    language, forest = secrets.fit(documents, table(spark, sf_dir, "pages"), found)
+    return secrets.scan(documents, language, forest, found=found)
 
 
 def op6_toxicity(spark, sf_dir):

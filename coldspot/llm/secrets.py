@@ -207,27 +207,32 @@ def scored(found: DataFrame, language: Language, forest) -> DataFrame:
         *FEATURES, "features", "rawPrediction", "probability", "prediction")
 
 
-def fit(docs: DataFrame, pages: DataFrame | None = None):
-    """(language, forest) from documents and, for what is no secret, web pages."""
+def fit(docs: DataFrame, pages: DataFrame | None = None, found: DataFrame | None = None):
+    """(language, forest) from documents and, for what is no secret, web pages. ``found`` are
+    the candidates of the documents, if they are stored already."""
     language = Language(docs)
     keep = ["finding", "before", "after", "label"]
-    labelled = label_findings(candidates(docs)).select(keep).unionAll(ordinary_words(docs).select(keep))
+    found = candidates(docs) if found is None else found
+    labelled = label_findings(found).select(keep).unionAll(ordinary_words(docs).select(keep))
     labelled = labelled.unionAll(example_findings(docs).select(keep))
     if pages is not None:
         page = pages.select(F.col("page_id").alias("doc_id"), F.concat_ws(" ", "url", "html").alias("text"))
         labelled = labelled.unionAll(label_findings(candidates(page)).withColumn(
             "label", F.coalesce("label", F.lit(0))).select(keep))
-    return language, train(labelled, language)
+    # Written once: the sample of each label is a pass over it, not over the texts.
+    return language, train(stored(labelled.where("label is not null"), "labelled"), language)
 
 
-def scan(docs: DataFrame, language: Language, forest, secret_from: float = SECRET_FROM) -> DataFrame:
+def scan(docs: DataFrame, language: Language, forest, secret_from: float = SECRET_FROM,
+         found: DataFrame | None = None) -> DataFrame:
     """(doc_id, start, length, kind, finding, score, is_secret): every candidate of every
     document row, ``is_secret`` after the removal of false positives.
 
     Null and empty texts have no candidates; repeated rows and null doc_ids give their own
-    rows; a score of exactly ``secret_from`` is a secret; other columns are ignored."""
+    rows; a score of exactly ``secret_from`` is a secret; other columns are ignored.
+    ``found`` are the candidates of ``docs``, if they are stored already."""
     kind = F.when(F.col("finding").rlike(VENDOR), "vendor").when(F.col("before").rlike(ASSIGNED), "assigned").otherwise("token")
-    return scored(candidates(docs), language, forest).select(
+    return scored(candidates(docs) if found is None else found, language, forest).select(
         "doc_id", "start", F.length("finding").cast("long").alias("length"), kind.alias("kind"), "finding", "score",
         (F.col("score") >= secret_from).alias("is_secret"))
 
