@@ -5,19 +5,21 @@
 2. Documents of equal sets form a class; only its smallest doc_id goes on. A group of exact
    copies is one row from here, however large.
 3. Each tree sends a class to the node of its own minwise token. A node of at most
-   ``NODE_ROWS`` classes is compared exhaustively by sketch. A larger node is cut into
-   random sub-blocks that are compared alike; of each connected part of a sub-block at most
-   ``DELEGATES`` random classes go on (its links are kept), so a group of near copies
-   shrinks however large it is, and what goes on branches: to the children given by
-   ``BRANCHES`` further sketch tokens, chosen by the node. Branching repeats until every
-   node is small; at ``MAX_DEPTH`` sub-blocks end it.
+   ``NODE_ROWS`` classes is compared exhaustively by sketch. Every class of a larger node
+   goes on to the children given by ``BRANCHES`` further sketch tokens, chosen by the node,
+   if that lowers the number of comparisons (to ``WORTH`` of them); this repeats until it
+   does not, or until ``MAX_DEPTH``. A node that is still larger is dealt into blocks; each
+   is compared like a node, and then every block with every other (see 6), so no class is
+   left out.
 4. A node does not list all its similar pairs: up to ``ALL_PAIRS`` classes it does, beyond
    that it gives ``FORESTS`` successive maximum spanning forests of them and, as estimates
    near the threshold may be wrong, for each cluster of certain links its best partners
    outside (``ACROSS`` shared among its classes, and one more each). Together they connect
    whatever the pairs connect.
 5. Candidate links are confirmed on the full sets, made again from the texts.
-6. Connected components of the confirmed links by minimum labels with pointer jumping, on
+6. Of the nodes dealt into blocks, all similar pairs of classes that the confirmed links do
+   not connect yet are listed, block against block, and confirmed as well.
+7. Connected components of the confirmed links by minimum labels with pointer jumping, on
    tables in the shared folder; nothing of all documents reaches the driver.
 
 The number of trees follows from the target recall at the threshold: a tree finds a pair
@@ -50,7 +52,7 @@ CERTAIN = 0.9  # estimated similarity that leaves no doubt about a link
 ACROSS = 16  # best partners in other clusters, for each cluster of a large node
 BRANCHES = 2
 MAX_DEPTH = 8
-DELEGATES = 16  # of a connected part of a sub-block, that go on
+WORTH = 0.75  # a node branches if its children have at most this share of its comparisons
 SEED = 20240917
 
 _WORDS = re.compile(WORD_PATTERN).findall
@@ -217,15 +219,16 @@ ROW_SCHEMA = "kind int, key long, a long, b long, n_shingles long, sketch binary
 
 def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
     """Members (key, part, big, id, n_shingles, sketch), sorted by key and part in their
-    partition: links (kind 0: a < b) and, of big nodes, rows that go on (kind 1: key, a)."""
+    partition: links (kind 0: a < b) and, of nodes dealt into blocks (big), the members
+    (kind 1: key, a, and b, the block)."""
     least = max(0.0, percent / 100 - SLACK)
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
                         ("n_shingles", pa.int64()), ("sketch", pa.binary())])
 
-    def node(key, big, ids, sizes, raw):
+    def node(key, part, big, ids, sizes, raw):
         sketches = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), SKETCH)
         if len(ids) > ALL_PAIRS or big:
-            edges, tree, cluster = spanning_forests(sizes, sketches, least, percent, FORESTS)
+            edges, _, cluster = spanning_forests(sizes, sketches, least, percent, FORESTS)
             edges = np.concatenate([edges, across(cluster, sizes, sketches, least, percent, ACROSS)])
             a, b = edges[:, 0], edges[:, 1]
         else:
@@ -235,11 +238,8 @@ def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
             if u != v:
                 yield 0, key, u, v, None, None
         if big:
-            met: dict[int, int] = {}
-            for i in np.argsort(_mixed(ids.astype(np.uint64) ^ np.uint64(key % (1 << 64))), kind="stable").tolist():
-                met[tree[i]] = met.get(tree[i], 0) + 1
-                if met[tree[i]] <= DELEGATES:
-                    yield 1, key, int(ids[i]), None, int(sizes[i]), raw[i]
+            for i in range(len(ids)):
+                yield 1, key, int(ids[i]), part, int(sizes[i]), raw[i]
 
     def run(batches):
         rows: list[tuple] = []
@@ -252,8 +252,8 @@ def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
 
         def close():
             if len(held) > 1 or held and held[0][2]:
-                key, _, big = held[0][:3]
-                rows.extend(node(key, big, np.array([h[3] for h in held], np.int64),
+                key, part, big = held[0][:3]
+                rows.extend(node(key, part, big, np.array([h[3] for h in held], np.int64),
                                  np.array([h[4] for h in held], np.int64), [h[5] for h in held]))
             held.clear()
 
@@ -271,32 +271,108 @@ def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
     return members.mapInArrow(run, ROW_SCHEMA)
 
 
+def _unconnected_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Members (key, lo, hi, part, id, n_shingles, sketch, component) of two blocks, sorted by
+    key, lo and hi in their partition: all similar pairs (a < b) of one class of each block
+    (of one block, if lo = hi) that are of different components."""
+    least = max(0.0, percent / 100 - SLACK)
+
+    def partners(held):
+        """(id, ids of partners) of the rows outside of the most frequent component."""
+        part, ids, sizes, component = (np.array([h[k] for h in held], np.int64) for k in (3, 4, 5, 7))
+        sketches = np.frombuffer(b"".join(h[6] for h in held), np.uint8).reshape(len(held), SKETCH)
+        names, number = np.unique(component, return_inverse=True)
+        outside = number != np.bincount(number).argmax()
+        within = held[0][1] == held[0][2]
+        later = np.arange(len(held))
+        for i in np.flatnonzero(outside):
+            # A pair of two rows outside is met at the first of them.
+            ok = (component != component[i]) & (~outside | (later > i)) & may_link(sizes, sizes[i], percent)
+            if not within:
+                ok &= part != part[i]
+            near = np.flatnonzero(ok)
+            near = near[estimate(sketches[near], sketches[i]) >= least]
+            if len(near):
+                yield np.full(len(near), ids[i]), ids[near]
+
+    def run(batches):
+        held: list[tuple] = []
+        made: list[tuple] = []
+
+        def flush():
+            x, y = (np.concatenate(c) for c in zip(*made))
+            made.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+        def close():
+            for pair in partners(held) if held else ():
+                made.append(pair)
+                if sum(len(x) for x, _ in made) >= 5000:
+                    yield flush()
+            held.clear()
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:3] != held[0][:3]:
+                    yield from close()
+                held.append(row)
+        yield from close()
+        if made:
+            yield flush()
+
+    return members.mapInArrow(run, "a long, b long")
+
+
 def candidate_links(classes: DataFrame, percent: int = PERCENT, node_rows: int = NODE_ROWS,
-                    max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Distinct candidate links (a < b) between classes (id, n_shingles, trees, sketch)."""
+                    max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """Of classes (id, n_shingles, trees, sketch): distinct candidate links (a < b), and the
+    members (key, part, id, n_shingles, sketch) of nodes whose pairs they do not all hold."""
     rows = classes.select("id", "n_shingles", "sketch", F.explode("trees").alias("key"))
-    links = None
+    links = listed = None
     for depth in range(max_depth + 1):
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        last = depth == max_depth
+        children = None
+        if depth < max_depth:
+            large = stored(sizes.where(F.col("size") > node_rows), "large-nodes")
+            if not large.isEmpty():
+                branches = rows.join(large.hint("merge"), "key").select("key", "size", "id", "n_shingles", "sketch", F.explode(
+                    F.sequence(F.lit(1), F.lit(BRANCHES))).alias("branch"))
+                place = F.pmod(F.xxhash64("key", "branch"), F.lit(SKETCH)).cast("int")
+                branches = branches.select("key", "size", "id", "n_shingles", "sketch", F.xxhash64(
+                    "key", "branch", F.substring("sketch", place + 1, F.lit(1))).alias("child"))
+                work = branches.groupBy("key", "size", "child").agg(F.count(F.lit(1)).cast("double").alias("n")).groupBy("key", "size").agg(
+                    F.sum(F.col("n") * F.col("n")).alias("work"))
+                split = stored(work.where(F.col("work") <= WORTH * F.col("size") * F.col("size")).select("key"), "split-nodes")
+                if not split.isEmpty():
+                    children = branches.join(split.hint("merge"), "key").select("id", "n_shingles", "sketch", F.col("child").alias("key"))
+                    sizes = sizes.join(split.hint("merge"), "key", "left_anti")
         members = rows.join(sizes.hint("merge"), "key").select(
             "key",
             F.when(F.col("size") > node_rows,
                    F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("size") / node_rows))).otherwise(0).cast("int").alias("part"),
-            ((F.col("size") > node_rows) & F.lit(not last)).alias("big"), "id", "n_shingles", "sketch")
+            (F.col("size") > node_rows).alias("big"), "id", "n_shingles", "sketch")
         made = stored(_compare_nodes(members.repartition("key", "part").sortWithinPartitions("key", "part", "id"), percent),
                       f"nodes-{depth}")
         own = made.where("kind = 0").select("a", "b")
+        more = made.where("kind = 1").select("key", F.col("b").cast("int").alias("part"), F.col("a").alias("id"), "n_shingles", "sketch")
         links = own if links is None else links.unionAll(own)
-        onward = made.where("kind = 1")
-        if last or onward.isEmpty():
+        listed = more if listed is None else listed.unionAll(more)
+        if children is None:
             break
-        rows = onward.select("key", F.col("a").alias("id"), "n_shingles", "sketch", F.explode(
-            F.sequence(F.lit(1), F.lit(BRANCHES))).alias("branch"))
-        place = F.pmod(F.xxhash64("key", "branch"), F.lit(SKETCH)).cast("int")
-        rows = rows.select("id", "n_shingles", "sketch", F.xxhash64(
-            "key", "branch", F.substring("sketch", place + 1, F.lit(1))).alias("key"))
-    return links.distinct()
+        rows = children
+    return links.distinct(), listed
+
+
+def unconnected_links(listed: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Candidate links (a < b, distinct) of the nodes ``listed``: all similar pairs whose
+    components in ``found`` (id, component) differ. Each block meets every other."""
+    rows = listed.join(found.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    nodes = rows.groupBy("key").agg((F.max("part") + 1).alias("blocks"), F.min("component").alias("x"), F.max("component").alias("y"))
+    rows = rows.join(nodes.where("x <> y").select("key", "blocks").hint("merge"), "key")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "id",
+                       "n_shingles", "sketch", "component")
+    return _unconnected_pairs(rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id"), percent).distinct()
 
 
 def confirm(links: DataFrame, docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -384,13 +460,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     classes = stored(named.groupBy("fp1", "fp2").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
         F.first("trees").alias("trees"), F.first("sketch").alias("sketch")), "classes")
-    links = stored(candidate_links(classes.drop("fp1", "fp2"), percent, node_rows, max_depth), "candidates")
-    confirmed = confirm(links, docs, percent, size)
+    links, listed = candidate_links(classes.drop("fp1", "fp2"), percent, node_rows, max_depth)
+    links = stored(links, "candidates")
+    confirmed = stored(confirm(links, docs, percent, size), "confirmed")
     # Members of a class, and repeated doc_ids with different sets, are links as well.
     repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     again = (named.join(repeated, "doc_id").join(classes.select("fp1", "fp2", "id"), ["fp1", "fp2"])
              .select(F.col("id").alias("a"), F.col("doc_id").alias("b")).where("a <> b"))
     found = components(confirmed.unionAll(again))
+    if not listed.isEmpty():
+        more = stored(unconnected_links(listed, found, percent).join(links.hint("merge"), ["a", "b"], "left_anti"), "candidates")
+        if not more.isEmpty():
+            found = components(confirmed.unionAll(again).unionAll(confirm(more, docs, percent, size)))
     class_of = classes.select("fp1", "fp2", F.col("id").alias("class_id")).join(
         found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "fp1", "fp2", F.coalesce("component", "class_id").alias("class_component"))

@@ -177,6 +177,25 @@ def test_near_duplicates_by_brute_force(spark, options):
         assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (n, component, i == component)
 
 
+def test_links_inside_a_family_without_links(spark):
+    """Pairs of true links among many texts that share most of their words: every class of a
+    large node meets every other, also where nodes do not branch."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = [rng.choice(vocabulary) for _ in range(140)]
+    rows = []
+    for _ in range(120):
+        own = [rng.choice(vocabulary) for _ in range(40)]
+        rows.append(" ".join(passage + own))
+        rows.append(" ".join(passage + [rng.choice(vocabulary) if k in (3, 12, 21, 30) else w for k, w in enumerate(own)]))
+    ids = list(range(100, 100 + len(rows)))
+    docs = frame(spark, [(i, t, "en", "s") for i, t in zip(ids, rows)]).repartition(4)
+    want = brute_components(ids, rows)
+    assert len({component for _, component in want.values()}) == 120
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, node_rows=20, max_depth=0).collect()}
+    assert got == {i: component for i, (_, component) in want.items()}
+
+
 def test_near_duplicates_edge_cases(spark, odd, empty):
     rows = neardup.near_duplicates(odd).collect()
     assert len(rows) == len(ODD_TEXTS)
