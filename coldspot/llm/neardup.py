@@ -12,19 +12,20 @@
    is compared like a node, and then every block with every other (see 6), so no class is
    left out.
 4. A node does not list all its similar pairs: up to ``ALL_PAIRS`` classes it does, beyond
-   that it gives ``FORESTS`` successive maximum spanning forests of them and, as estimates
-   near the threshold may be wrong, for each cluster of certain links its best partners
-   outside (``ACROSS`` shared among its classes, and one more each). Together they connect
-   whatever the pairs connect.
+   that it first gives ``FORESTS`` successive maximum spanning forests of them and for each
+   cluster of certain links its best partners outside (``ACROSS`` shared among its classes,
+   and one more each). These connect nearly all that the pairs connect; 6 adds the rest.
 5. Candidate links are confirmed on the full sets, made again from the texts.
-6. Of the nodes dealt into blocks, all similar pairs of classes that the confirmed links do
-   not connect yet are listed, block against block, and confirmed as well.
+6. Of these nodes, and of those dealt into blocks, all similar pairs of classes that the
+   confirmed links do not connect yet are listed, block against block, and confirmed as well.
 7. Connected components of the confirmed links by minimum labels with pointer jumping, on
    tables in the shared folder; nothing of all documents reaches the driver.
 
 The number of trees follows from the target recall at the threshold: a tree finds a pair
 of similarity s with probability s, and at least 0.88 s if its node has to branch, so the
-chance to miss a pair in all trees is at most (1 - 0.88 s) ** trees.
+chance to miss a pair in all trees is at most (1 - 0.88 s) ** trees. A pair at the
+threshold is also missed, in all trees alike, if the estimate of its one sketch is more
+than ``SLACK`` too low: a chance of 6.7e-5 (binomial), less for pairs above it.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from coldspot.llm.common import WORD_PATTERN, map_texts, stored
 
 SHINGLE = 5
 PERCENT = 75
-MISS = 1e-6  # chance to miss a link at the threshold
+MISS = 1e-6  # chance that no tree finds a link at the threshold
 SKETCH = 128
 SLACK = 0.15  # estimated similarity may be lower than the threshold by this: four deviations
 NODE_ROWS = 4096
@@ -219,8 +220,8 @@ ROW_SCHEMA = "kind int, key long, a long, b long, n_shingles long, sketch binary
 
 def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
     """Members (key, part, big, id, n_shingles, sketch), sorted by key and part in their
-    partition: links (kind 0: a < b) and, of nodes dealt into blocks (big), the members
-    (kind 1: key, a, and b, the block)."""
+    partition: links (kind 0: a < b) and, of nodes dealt into blocks (big) or of more than
+    ``ALL_PAIRS`` classes, the members (kind 1: key, a, and b, the block)."""
     least = max(0.0, percent / 100 - SLACK)
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
                         ("n_shingles", pa.int64()), ("sketch", pa.binary())])
@@ -237,7 +238,7 @@ def _compare_nodes(members: DataFrame, percent: int) -> DataFrame:
         for u, v in zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()):
             if u != v:
                 yield 0, key, u, v, None, None
-        if big:
+        if big or len(ids) > ALL_PAIRS:
             for i in range(len(ids)):
                 yield 1, key, int(ids[i]), part, int(sizes[i]), raw[i]
 

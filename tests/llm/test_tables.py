@@ -196,6 +196,27 @@ def test_links_inside_a_family_without_links(spark):
     assert got == {i: component for i, (_, component) in want.items()}
 
 
+def test_every_pair_of_a_crowded_node_is_confirmed(spark, monkeypatch):
+    """Each class has many partners whose estimates may rank above its one true partner's:
+    none is left unconfirmed, however few forests and partners are tried first."""
+    monkeypatch.setattr(neardup, "FORESTS", 1)
+    monkeypatch.setattr(neardup, "ACROSS", 0)
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = [rng.choice(vocabulary) for _ in range(200)]
+    rows = []
+    for _ in range(60):
+        own = [rng.choice(vocabulary) for _ in range(34)]
+        rows.append(" ".join(passage + own))
+        rows.append(" ".join(passage + [rng.choice(vocabulary) if k in (3, 8, 13, 18, 23, 28) else w for k, w in enumerate(own)]))
+    ids = list(range(100, 100 + len(rows)))
+    docs = frame(spark, [(i, t, "en", "s") for i, t in zip(ids, rows)]).repartition(4)
+    want = brute_components(ids, rows)
+    assert len({component for _, component in want.values()}) == 60
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()}
+    assert got == {i: component for i, (_, component) in want.items()}
+
+
 def test_near_duplicates_edge_cases(spark, odd, empty):
     rows = neardup.near_duplicates(odd).collect()
     assert len(rows) == len(ODD_TEXTS)
