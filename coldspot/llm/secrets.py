@@ -58,13 +58,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cut = cut.select("row", "doc_id", "c", F.split(text, CANDIDATE, -1).alias("p"))
     found = cut.select("row", "doc_id", F.posexplode(F.transform("c", lambda c, i: F.struct(
         c.alias("finding"),
-        F.right(F.get(F.col("p"), i), F.lit(BEFORE)).alias("before"),
-        F.left(F.get(F.col("p"), i + 1), F.lit(AFTER)).alias("after"),
+        F.right(F.get(F.col("p"), i), F.lit(BEFORE)).alias("left"),
+        F.left(F.get(F.col("p"), i + 1), F.lit(AFTER)).alias("right"),
         F.length(F.get(F.col("p"), i)).alias("gap")))).alias("k", "f"))
     found = found.select("row", "doc_id", "k", "f.*")
-    order = W.partitionBy("row").orderBy("k").rowsBetween(W.unboundedPreceding, 0)
-    return found.select("row", "doc_id", (F.sum(F.col("gap") + F.length("finding")).over(order) - F.length("finding"))
-                        .cast("long").alias("start"), "finding", "before", "after")
+    order = W.partitionBy("row").orderBy("k")
+    # The context goes on through neighbouring candidates: of 6 characters or more each, so
+    # these are enough.
+    earlier = F.collect_list(F.concat("left", F.right("finding", F.lit(BEFORE)))).over(order.rowsBetween(-(BEFORE // 6), -1))
+    later = F.collect_list(F.concat(F.left("finding", F.lit(AFTER)), "right")).over(order.rowsBetween(1, AFTER // 6))
+    return found.select(
+        "row", "doc_id", (F.sum(F.col("gap") + F.length("finding")).over(order.rowsBetween(W.unboundedPreceding, 0)) - F.length("finding"))
+        .cast("long").alias("start"), "finding",
+        F.right(F.concat(F.array_join(earlier, ""), "left"), F.lit(BEFORE)).alias("before"),
+        F.left(F.concat("right", F.array_join(later, "")), F.lit(AFTER)).alias("after"))
 
 
 def _classes(text):

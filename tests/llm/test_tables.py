@@ -366,6 +366,18 @@ def test_secret_edge_cases(spark, trained, odd, empty):
     assert [(r["score"], r["is_secret"]) for r in secrets.scan(doc, language, forest).collect()] == [(0.0, False)]
 
 
+def test_context_goes_on_through_other_candidates(spark):
+    texts = ["oauth2_token=b7db7aa4a5fcc78305 s3_secret: 'q7Zk2mP9xL1vB4' a1b2c3d4e5 f6a7b8c9d0 the end",
+             " ".join(f"id{i:06d}" for i in range(40)), "s3_secret: 'q7Zk2mP9xL1vB4'"]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    rows = secrets.candidates(docs).collect()
+    assert len(rows) > 40
+    for r in rows:
+        text, end = texts[r["doc_id"]], r["start"] + len(r["finding"])
+        assert text[r["start"]:end] == r["finding"]
+        assert r["before"] == text[max(0, r["start"] - secrets.BEFORE):r["start"]] and r["after"] == text[end:end + secrets.AFTER]
+
+
 def test_candidate_features(spark, trained):
     rows = spark.createDataFrame([("04dbebab91ab85687d33", 'token = "', '"'), ("thetheonly", " ", " "), ("ABCDEF12", "a/b/", "/c")],
                                  "finding string, before string, after string")
