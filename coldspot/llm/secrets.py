@@ -35,7 +35,7 @@ _KEY = r"[A-Za-z0-9+/_\-]"
 _NAMES = "password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key|auth_key|private_key|credential"
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-    rf"|(?<=[=:\"'\s])(?<=(?:{_NAMES})[\"']?\s?[=:]\s?[\"']?)[^\s\"']{{6,}}"
+    rf"|(?<=[=:\"'\s])(?<=(?i:{_NAMES})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)[^\s\"']{{6,}}"
     rf"|(?<!{_KEY})(?=[A-Za-z+/_\-]*+[0-9])(?=[0-9+/_\-]*+[A-Za-z]){_KEY}{{8,}}={{0,2}}")
 VENDOR = (r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9\-]{10,}"
           r"|sk-[A-Za-z0-9\-_]{20,}|AIza[0-9A-Za-z_\-]{35}|-----BEGIN .*)$")
@@ -126,7 +126,7 @@ def with_features(found: DataFrame, language: Language) -> DataFrame:
         flag(F.col("before").rlike(r"(://\S*|[\w.\-]/|\\|href=\"?|src=\"?)$") | F.col("after").rlike(r"^(/|\.[A-Za-z]{2,4}\b)")).alias("f_path"),
         flag(F.col("before").rlike(r"[@.]$") | F.col("after").rlike(r"^@|^\.\w+@")).alias("f_address"),
         flag(F.col("before").rlike(rf"(?i)({_NAMES})")).alias("f_named"),
-        flag(F.col("before").rlike(r"[=:]\s?[\"']?$")).alias("f_assigned"),
+        flag(F.col("before").rlike(r"[=:]\s{0,2}[\"']?$")).alias("f_assigned"),
         flag(F.col("before").rlike(r"[\"']$")).alias("f_quoted"),
         flag(around.rlike(EXAMPLE)).alias("f_example"))
 

@@ -378,6 +378,15 @@ def test_context_goes_on_through_other_candidates(spark):
         assert r["before"] == text[max(0, r["start"] - secrets.BEFORE):r["start"]] and r["after"] == text[end:end + secrets.AFTER]
 
 
+def test_assigned_values_of_names_in_any_case(spark):
+    values = {'DB_PASSWORD="correct-horse!" x': "correct-horse!", "PASSWORD=hunter2": "hunter2", 'Password: "p@ss!w0rd"': "p@ss!w0rd",
+              "Api_Key  =  'no+digits!'": "no+digits!", "password=hunter2": "hunter2"}
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(values)])
+    rows = secrets.candidates(docs).collect()
+    assert {(r["doc_id"], r["finding"]) for r in rows} == set(enumerate(values.values()))
+    assert all(re.search(secrets.ASSIGNED, r["before"]) for r in rows)
+
+
 def test_candidate_features(spark, trained):
     rows = spark.createDataFrame([("04dbebab91ab85687d33", 'token = "', '"'), ("thetheonly", " ", " "), ("ABCDEF12", "a/b/", "/c")],
                                  "finding string, before string, after string")
