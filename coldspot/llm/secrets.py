@@ -26,7 +26,6 @@ from coldspot.llm.common import stored, unit_hash
 BEFORE, AFTER = 48, 24  # characters of context
 PER_LABEL = 2000
 DICTIONARY_WORDS = 300
-DICTIONARY_DOCUMENTS = 2000
 SECRET_FROM = 0.5
 MASK = "[SECRET]"
 
@@ -80,14 +79,11 @@ def _classes(text):
 
 
 class Language:
-    """What ordinary words look like, from a bounded sample of documents: log probabilities
-    of character pairs (at most 27 * 27) and the most frequent words."""
-
-    def __init__(self, docs: DataFrame, documents: int = DICTIONARY_DOCUMENTS, words: int = DICTIONARY_WORDS):
-        total = max(1, docs.count())
-        share = min(1.0, documents / total)
-        sample = docs.where(F.col("text").isNotNull() & (unit_hash("doc_id", F.lit(5)) < share)).limit(2 * documents)
-        word = sample.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where(F.length("w") > 0)
+    """What ordinary words look like, from all documents: log probabilities of character
+    pairs (at most 27 * 27) and the most frequent words."""
+
+    def __init__(self, docs: DataFrame, words: int = DICTIONARY_WORDS):
+        word = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where(F.length("w") > 0)
         counted = stored(word.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
         self.words = [r["w"] for r in counted.where(F.length("w") >= 4).orderBy(F.desc("n"), "w").limit(words).collect()]
         c = _classes(F.col("w"))

@@ -387,6 +387,14 @@ def test_assigned_values_of_names_in_any_case(spark):
     assert all(re.search(secrets.ASSIGNED, r["before"]) for r in rows)
 
 
+def test_words_and_pairs_are_counted_over_all_documents(spark):
+    docs = spark.range(9000).selectExpr("id as doc_id", "if(id % 2 = 0, 'common words', 'zqzq') as text")
+    language = secrets.Language(docs)
+    assert language.words == ["common", "words", "zqzq"]
+    # 4500 texts hold zq twice and qz once
+    assert abs(language.pairs["zq"] - 9000.5 / (9000 + 0.5 * 27)) < 1e-9
+
+
 def test_candidate_features(spark, trained):
     rows = spark.createDataFrame([("04dbebab91ab85687d33", 'token = "', '"'), ("thetheonly", " ", " "), ("ABCDEF12", "a/b/", "/c")],
                                  "finding string, before string, after string")
