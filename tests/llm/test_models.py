@@ -190,6 +190,14 @@ def test_decode_is_the_cheapest_reading(toxic_model):
         assert best == min(readings)[1] or len(best) < len(word)
 
 
+def test_letters_are_counted_over_all_documents(spark):
+    rows = [(i, f"zqx plain {'toxic' if i % 2 else 'clean'}", "en", "s") for i in range(40)] + [(99, "qqz, unlabelled", "en", "s"), (100, None, "en", "s")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, rows), labels, 5)
+    three = model.letters.counts[3]
+    assert three["zqx"] == 40 and three["qqz"] == 1
+
+
 def test_toxicity_edge_cases(spark, odd, empty, toxic_model, documents, labels):
     rows = toxicity.score(odd, toxic_model).collect()
     assert len(rows) == len(ODD_TEXTS)
