@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bpe, langid, neardup, packing, quality, secrets, sharding, tokencount, topk, toxicity
+from coldspot.llm import bpe, langid, neardup, packing, quality, secrets, sharding, spelling, tokencount, topk, toxicity
 from coldspot.llm.common import stored, table, tokenizer_path
 
 
@@ -58,10 +58,14 @@ def op10_exact_topk(spark, sf_dir):
     return topk.search(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op5_secret_scan,
-                              op6_toxicity, op7_minhash_near_dedup,
-                              op8_byte_bpe, op9_token_counts,
-                              op10_exact_topk)}
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.group(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL: dict[str, str] = {"op4_sharding": sharding.oracle_sql(), "op7_minhash_near_dedup": neardup.ORACLE_SQL,
-                              "op10_exact_topk": topk.ORACLE_SQL}
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op5_secret_scan, op6_toxicity,
+    op7_minhash_near_dedup, op8_byte_bpe, op9_token_counts, op10_exact_topk, op11_spelling_variants)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_sharding": sharding.oracle_sql(), "op7_minhash_near_dedup": neardup.ORACLE_SQL,
+    "op10_exact_topk": topk.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL}
