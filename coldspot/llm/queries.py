@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bpe, langid, neardup, packing, quality, secrets, sharding, spelling, tokencount, topk, toxicity
+from coldspot.llm import bestfit, bpe, langid, neardup, packing, quality, secrets, sharding, spelling, tokencount, topk, toxicity
 from coldspot.llm.common import stored, table, tokenizer_path
 
 
@@ -62,9 +62,13 @@ def op11_spelling_variants(spark, sf_dir):
     return spelling.group(table(spark, sf_dir, "documents"))
 
 
+def op12_best_fit_packing(spark, sf_dir):
+    return bestfit.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op5_secret_scan, op6_toxicity,
-    op7_minhash_near_dedup, op8_byte_bpe, op9_token_counts, op10_exact_topk, op11_spelling_variants)}
+    op7_minhash_near_dedup, op8_byte_bpe, op9_token_counts, op10_exact_topk, op11_spelling_variants, op12_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_sharding": sharding.oracle_sql(), "op7_minhash_near_dedup": neardup.ORACLE_SQL,
