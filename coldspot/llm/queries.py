@@ -3,7 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from coldspot.llm import bestfit, bpe, langid, neardup, packing, quality, secrets, sharding, spelling, tokencount, topk, toxicity
+from coldspot.llm import bestfit, bpe, langid, neardup, packing, quality, secrets, sharding, spelling, tokencount, topk, toxicity, turntrie
 from coldspot.llm.common import stored, table, tokenizer_path
 
 
@@ -66,10 +66,16 @@ def op12_best_fit_packing(spark, sf_dir):
     return bestfit.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op13_conversation_trie(spark, sf_dir):
+    return turntrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_language_id, op3_packing, op4_sharding, op5_secret_scan, op6_toxicity,
-    op7_minhash_near_dedup, op8_byte_bpe, op9_token_counts, op10_exact_topk, op11_spelling_variants, op12_best_fit_packing)}
+    op7_minhash_near_dedup, op8_byte_bpe, op9_token_counts, op10_exact_topk, op11_spelling_variants, op12_best_fit_packing,
+    op13_conversation_trie)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_sharding": sharding.oracle_sql(), "op7_minhash_near_dedup": neardup.ORACLE_SQL,
-    "op10_exact_topk": topk.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL}
+    "op10_exact_topk": topk.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op13_conversation_trie": turntrie.ORACLE_SQL}
