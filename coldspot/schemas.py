@@ -154,4 +154,5 @@ FULL_STATS_HEADER = ("Created at", "Age (days)", "Project/datatype", "Volume")
 # Stored report tables (read back with these types).
 PRIMARY_SCHEMA = columns("scope string, name string, rse string, bytes long, created_at double")
 BINS_SCHEMA = columns("bin long, volume long, period string")
+TOPN_REPORT_SCHEMA = columns("created_at date, ident string, size double")
 CUBE_SCHEMA = columns("project string, datatype string, created_day date, n_datasets long, size long")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid as _uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key of a join although a grouping on the same key follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -113,15 +116,22 @@ def clear_scratch(spark: SparkSession) -> int:
     return n
 
 
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes of the files below the paths (globs allowed)."""
+def input_bytes(spark: SparkSession, *paths: str | Sequence[str]) -> int:
+    """Bytes of the files below the paths (globs and lists of paths allowed)."""
     total = 0
-    for path in paths:
+    for path in (p for some in paths for p in ([some] if isinstance(some, str) else some)):
         p, fs = _filesystem(spark, path)
         for status in fs.globStatus(p) or []:
             total += fs.getContentSummary(status.getPath()).getLength()
     return total
 
 
+def fingerprint(spark: SparkSession, path: str) -> int:
+    """Changes when a file right below ``path`` (or a table folder there) is added, replaced or
+    removed: names, sizes and modification times."""
+    p, fs = _filesystem(spark, path)
+    return hash(tuple(sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))))
+
+
 __all__ = ["tune", "size_shuffles", "local_session", "checkpoint_dir", "scratch_path",
-           "clear_scratch", "input_bytes", "RECOMMENDED_CONF"]
+           "clear_scratch", "input_bytes", "fingerprint", "RECOMMENDED_CONF"]

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldspot import schemas as S
 from coldspot.functions.columns import normalise_columns
+from coldspot.sources.publish import last_commit, read_published
 
 
 def read_traces(spark: SparkSession, path: str | Sequence[str],
@@ -27,6 +28,35 @@ def read_traces(spark: SparkSession, path: str | Sequence[str],
     return normalise_columns(raw.withColumnRenamed(schema.fieldNames()[0], S.TIMEENTRYUNIX))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_checked_traces(spark: SparkSession, path: str | Sequence[str], broken_path: str, load: str,
+                        max_broken: float = 0.01, schema: T.StructType = S.TRACE_SOURCE_SCHEMA) -> DataFrame:
+    """Access log as ``read_traces`` gives it, without the lines that are no JSON objects of
+    the declared types. Those are counted: the lines go, as they are, to the folder
+    ``load=<load>`` of ``broken_path`` (replaced as a whole by a rerun), and if they are more
+    than the share ``max_broken`` of all lines, the load fails with their number. Empty lines
+    are no lines. The check is one scan of the log before the one that reads it. Every field of
+    a line is parsed for both, whichever columns are read: what is broken does not depend on
+    them."""
+    checked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text([path] if isinstance(path, str) else list(path)).where(F.trim("value") != "")
+    parsed = lines.select(F.col("value").alias("line"), F.from_json("value", checked, options).alias("e"))
+    is_broken = F.col(f"e.{CORRUPT}").isNotNull() | F.col("e").isNull()
+    folder = f"{broken_path.rstrip('/')}/{S.LOAD}={load}"
+    seen = Observation()
+    (parsed.select("line", is_broken.alias("broken"))
+     .observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if("broken").alias("broken"))
+     .where("broken").select("line").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder))
+    counts = seen.get
+    if counts["broken"] > max_broken * counts["lines"]:
+        raise ValueError(f"{load}: {counts['broken']} of {counts['lines']} log lines are broken; see {folder}")
+    good = parsed.where(~is_broken).select(*[F.col(f"e.{name}").alias(name) for name in schema.fieldNames()])
+    return normalise_columns(good.withColumnRenamed(schema.fieldNames()[0], S.TIMEENTRYUNIX))
+
+
 def read_snapshot(spark: SparkSession, path: str, columns: Sequence[str],
                   fmt: str = "avro") -> DataFrame:
     """One catalogue dump (``contents``, ``dids``, ``rses``, ``dslocks``) with
@@ -64,9 +94,13 @@ def read_session_loads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dated(spark: SparkSession, path: str, report_date, schema: T.StructType) -> DataFrame:
-    """A stored report of one date (``writers.write_dated``) with its declared
-    schema: types and labels (``03``) do not depend on what is stored."""
-    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{S.REPORT_DATE}={report_date}")
+    """A stored report of one date (``writers.publish_dated``: its newest published
+    version; or ``writers.write_dated``) with its declared schema: types and labels
+    (``03``) do not depend on what is stored."""
+    folder = f"{path.rstrip('/')}/{S.REPORT_DATE}={report_date}"
+    if last_commit(spark, folder)[0]:
+        return read_published(spark, folder, schema)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def _non_empty(df: DataFrame, what: str) -> DataFrame:

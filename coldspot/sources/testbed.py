@@ -184,7 +184,7 @@ def traces(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataF
     )
 
 
-_CATALOGUES: dict[tuple[int, str, bool], tuple[SparkSession, Catalogue]] = {}
+_CATALOGUES: dict[tuple, tuple[SparkSession, Catalogue]] = {}
 
 
 def derived(spark: SparkSession, sf_dir: str, spread: int | None = None) -> Catalogue:
@@ -216,8 +216,11 @@ def materialise(spark: SparkSession, cat: Catalogue) -> Catalogue:
 
 def catalogue(spark: SparkSession, sf_dir: str, written: bool = True) -> Catalogue:
     """The five tables derived from ``sf_dir``; with ``written`` (default)
-    as parquet tables written once per session and folder."""
-    key = (id(spark), sf_dir.rstrip("/"), written)
+    as parquet tables written once per session and folder, as long as the
+    folder's files stay the same."""
+    from coldspot.session import fingerprint
+
+    key = (id(spark), sf_dir.rstrip("/"), written, fingerprint(spark, sf_dir))
     hit = _CATALOGUES.get(key)
     if hit is not None and hit[0] is spark:
         return hit[1]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldspot import schemas as S
+from coldspot.sources.publish import publish
 
 
 def _text(df: DataFrame, sep: str):
@@ -49,6 +50,13 @@ def write_dated(df: DataFrame, path: str, report_date: str | _dt.date, fmt: str
      .save(f"{path.rstrip('/')}/{S.REPORT_DATE}={report_date}"))
 
 
+def publish_dated(df: DataFrame, path: str, report_date: str | _dt.date, fmt: str = "parquet",
+                  extra_partitions: Sequence[str] = ()) -> None:
+    """As ``write_dated``, but a reader (``readers.read_dated``) sees the date's report before
+    or after this write, never a part of it, and a failed write changes nothing."""
+    publish(df, f"{path.rstrip('/')}/{S.REPORT_DATE}={report_date}", extra_partitions, fmt)
+
+
 def write_unused(df: DataFrame, path: str, report_date: str | _dt.date,
                  fmt: str = "tsv") -> None:
     """Never-used list of one report date (S11): replaces only that date's

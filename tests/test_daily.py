@@ -32,15 +32,15 @@ def test_daily_run_matches_the_reports(spark, tmp_dir):
     bins = stored("popularity", S.BINS_SCHEMA)
     want = R.popularity_bins(sess, written, RG.PERIODS)
     assert rows(bins, "period", "bin", "volume") == rows(want, "period", "bin", "volume")
-    matrix = spark.read.parquet(f"{paths['matrix']}/report_date={TB.REPORT_DATE}")
-    assert rows(matrix) == rows(R.popularity_pivot(sess, written, RG.PERIODS))
-    volumes = spark.read.parquet(f"{paths['period_volumes']}/report_date={TB.REPORT_DATE}")
+    pivot = R.popularity_pivot(sess, written, RG.PERIODS)
+    assert rows(stored("matrix", pivot.schema)) == rows(pivot)
+    volumes = stored("period_volumes", RG.q_period_volume_sum(spark, SF_SMALL).schema)
     assert rows(volumes, "period", "volume", "month") == rows(RG.q_period_volume_sum(spark, SF_SMALL), "period", "volume", "month")
     full = stored("full_stats", S.FULL_STATS_SCHEMA)
     assert rows(full) == rows(RG.q_unused_full_stats(spark, SF_SMALL))
     assert rows(stored("unused", S.UNUSED_SCHEMA)) == rows(RG.q_unused_list(spark, SF_SMALL))
     assert rows(stored("topn", S.FULL_STATS_SCHEMA)) == rows(R.unused_topn(RG.q_unused_list(spark, SF_SMALL), TB.REPORT_DATE))
-    report = spark.read.parquet(f"{paths['topn_report']}/report_date={TB.REPORT_DATE}")
+    report = stored("topn_report", S.TOPN_REPORT_SCHEMA)
     assert rows(report) == rows(RG.q_unused_topn_report(spark, SF_SMALL))
     # CSV publications read back with the report readers.
     assert rows(RD.read_full_monthly(spark, paths["full_monthly_csv"])) == rows(full)

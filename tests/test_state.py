@@ -1,0 +1,207 @@
+"""Kept session state, its index, published tables, order as a value, broken log lines."""
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from coldspot import schemas as S
+from coldspot.operators.ordered import with_row_number
+from coldspot.operators.volume import period_access_counts
+from coldspot.plans import state as ST
+from coldspot.session import input_bytes
+from coldspot.sources import readers as RD
+from coldspot.sources import writers as WR
+from coldspot.sources.publish import commit, expire, last_commit, publish, read_published, version_folder
+from conftest import rows
+
+DAY = S.DAY_SECONDS
+
+
+def sessions(spark, some):
+    return spark.createDataFrame(some, S.SESSION_SCHEMA)
+
+
+def merged(*loads):
+    """Brute force: sessions over loads."""
+    out = {}
+    for load in loads:
+        for scope, name, uuid, ops, ts in load:
+            old = out.get((scope, name, uuid))
+            latest = ts if old is None or old[1] is None or ts is not None and ts > old[1] else old[1]
+            out[scope, name, uuid] = (ops + (old[0] if old else 0), latest)
+    return sorted(((*k, *v) for k, v in out.items()), key=repr)
+
+
+def some_load(seed, names, n=60):
+    r = random.Random(seed)
+    return [("data", r.choice(names), r.choice(["a", "b", "c", None]), r.randint(1, 5), r.uniform(0, 30 * DAY)) for _ in range(n)]
+
+
+def test_loads_merge_and_replay_exactly(spark, tmp_dir):
+    a, b, c = (some_load(i, ["n1", "n2", "n3", f"only{i}"]) for i in range(3))
+    a.append(("data", "n1", "late", 1, None))
+    # As build_sessions gives them: one row per key in a load.
+    a, b, c = (merged(x) for x in (a, b, c))
+    for load, data in (("a", a), ("b", b), ("c", c)):
+        ST.merge_load(sessions(spark, data), tmp_dir, load, buckets=8)
+    assert rows(ST.read_state(spark, tmp_dir)) == merged(a, b, c)
+    # A replay with other rows takes the old ones back, maxima and whole datasets included.
+    b2 = merged(some_load(9, ["n2", "new"]))
+    ST.merge_load(sessions(spark, b2), tmp_dir, "b")
+    assert rows(ST.read_state(spark, tmp_dir)) == merged(a, b2, c)
+    ST.merge_load(sessions(spark, b2), tmp_dir, "b")
+    assert rows(ST.read_state(spark, tmp_dir)) == merged(a, b2, c)
+    ST.merge_load(sessions(spark, []), tmp_dir, "b")
+    assert rows(ST.read_state(spark, tmp_dir)) == merged(a, c)
+
+
+def test_index_answers_any_cutoff(spark, tmp_dir):
+    loads = [merged(some_load(i, [f"n{j}" for j in range(12)], 120) + [("data", "midnight", "u", 1, 7.0 * DAY), ("data", "no time", "u", 1, None)]) for i in range(2)]
+    for i, load in enumerate(loads):
+        ST.merge_load(sessions(spark, load), tmp_dir, i, buckets=4)
+    whole = sessions(spark, merged(*loads))
+    exact = loads[0][5][4] or 5.0 * DAY  # a cutoff at the very time of a session
+    for cuts in ({"a": 7.0 * DAY, "b": 7.0 * DAY - 0.5, "c": exact, "d": None, "e": 40.0 * DAY, "f": 12345.678},
+                 {"a": 3.5 * DAY, "b": 20.0 * DAY}, {"a": None}):
+        want = period_access_counts(whole, cuts).where(" OR ".join(f"_n{i} > 0" for i in range(len(cuts))))
+        got = ST.indexed_counts(spark, tmp_dir, cuts)
+        assert rows(got, *want.columns) == rows(want)
+        files = got.inputFiles()
+        assert files and all("/days/" in f or "/times/" in f for f in files)
+
+
+def test_a_merge_reads_the_touched_buckets_only(spark, tmp_dir):
+    """Ten loads, each of datasets of its own: what a merge reads does not grow with the days."""
+    read = []
+    for i in range(10):
+        load = merged([("data", f"load{i}", f"u{j}", 1, float(j)) for j in range(40)])
+        made = ST.merge_load(sessions(spark, load), tmp_dir, f"l{i}", buckets=512)
+        read.append(input_bytes(spark, *made["read"]))
+        assert len(made["touched"]) == 1
+    assert max(read) <= 1.3 * read[0]
+    assert ST.read_state(spark, tmp_dir).count() == 400
+
+
+def test_an_unfinished_merge_is_not_seen(spark, tmp_dir, monkeypatch):
+    a, b = merged(some_load(1, ["n1", "n2"])), merged(some_load(2, ["n2", "n3"]))
+    ST.merge_load(sessions(spark, a), tmp_dir, "a", buckets=4)
+
+    def fail(*args):
+        raise OSError("lost before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(ST, "commit", fail)
+        with pytest.raises(OSError):
+            ST.merge_load(sessions(spark, b), tmp_dir, "b")
+    assert rows(ST.read_state(spark, tmp_dir)) == a
+    ST.merge_load(sessions(spark, b), tmp_dir, "b")  # the rerun takes the place of what was left
+    assert rows(ST.read_state(spark, tmp_dir)) == merged(a, b)
+
+
+def test_empty_state(spark, tmp_dir):
+    assert ST.read_state(spark, tmp_dir).count() == 0
+    ST.merge_load(sessions(spark, []), tmp_dir, "a", buckets=4)
+    assert ST.read_state(spark, tmp_dir).count() == 0
+    assert ST.indexed_counts(spark, tmp_dir, {"a": None, "b": 5.0}).count() == 0
+
+
+# --- published tables ---
+
+NUMBERS = S.columns("a long, b string")
+
+
+def test_readers_keep_the_old_rows_while_a_write_fails(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    old, new = (spark.createDataFrame([(i, t) for i in range(20)], NUMBERS) for t in ("old", "new"))
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, root, NUMBERS)
+    publish(old, root)
+
+    @F.udf("long")
+    def breaks(v):
+        if v == 19:
+            raise ValueError("lost half way")
+        return v
+
+    with pytest.raises(Exception, match="lost half way"):
+        publish(new.repartition(4, "a").withColumn("a", breaks("a")), root)
+    assert os.path.isdir(version_folder(root, 2))  # a part of the new rows is there
+    assert rows(read_published(spark, root, NUMBERS)) == rows(old)
+    held = read_published(spark, root, NUMBERS)
+    assert publish(new, root) == 2
+    assert rows(read_published(spark, root, NUMBERS)) == rows(new)
+    assert rows(held) == rows(old)  # a reader that began before goes on
+
+
+def test_commits(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    assert last_commit(spark, root) == (0, {})
+    for i in range(4):
+        publish(spark.createDataFrame([(i, "x")], NUMBERS), root)
+    with pytest.raises(RuntimeError, match="published already"):
+        commit(spark, root, 4, {})
+    assert expire(spark, root, keep=2) == 2
+    assert rows(read_published(spark, root, NUMBERS)) == [(3, "x")]
+    assert not os.path.isdir(version_folder(root, 2)) and os.path.isdir(version_folder(root, 3))
+
+
+def test_dated_reports_are_published(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "report")
+    df = spark.createDataFrame([(1, "03"), (2, "12")], NUMBERS)
+    WR.publish_dated(df, root, "2024-02-01", extra_partitions=("b",))
+    WR.publish_dated(df.limit(1), root, "2024-02-01", extra_partitions=("b",))
+    assert rows(RD.read_dated(spark, root, "2024-02-01", NUMBERS)) == [(1, "03")]
+    WR.write_dated(df, root, "2024-02-02")
+    assert rows(RD.read_dated(spark, root, "2024-02-02", NUMBERS)) == [(1, "03"), (2, "12")]
+
+
+# --- order as a value ---
+
+
+def test_row_numbers(spark):
+    r = random.Random(2)
+    # A third of the rows have one first value; there are nulls and equal rows.
+    data = [(r.choice([5, 5, 5, None, *range(20)]), r.choice("abc")) for _ in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = with_row_number(spark.createDataFrame(data, NUMBERS).repartition(7), "a", F.desc("b"), name="row_no")
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(x) for x in [(x["row_no"], x["a"], x["b"]) for x in numbered.collect()])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [g[0] for g in got] == list(range(1, 3001))
+    assert [g[1:] for g in got] == sorted(data, key=lambda d: (d[0] is not None, d[0] or 0, -ord(d[1])))
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_row_numbers_of_nothing(spark):
+    assert with_row_number(spark.createDataFrame([], NUMBERS), "a").collect() == []
+
+
+# --- broken log lines ---
+
+
+def test_broken_lines_are_kept_and_counted(spark, tmp_dir):
+    field = S.TRACE_SOURCE_SCHEMA.fieldNames()
+    good = json.dumps({field[0]: 12.5, "filename": "f", "eventType": "get", "uuid": "u"})
+    lines = [good] * 7 + ["", "   ", good[:-4], '{"filename": 3, "timeStart": "never"}', "not json"]
+    log, out = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "broken")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(log)
+    df = RD.read_checked_traces(spark, log, out, "monday", max_broken=0.3)
+    assert df.count() == 7 and df.columns == RD.read_traces(spark, log).columns
+    assert rows(df.select("filename", S.TIMEENTRYUNIX)) == [("f", 12.5)] * 7
+    broken = spark.read.parquet(out)
+    assert {r["line"] for r in broken.collect()} == {good[:-4], '{"filename": 3, "timeStart": "never"}', "not json"}
+    assert rows(broken.select(S.LOAD).distinct()) == [("monday",)]
+    with pytest.raises(ValueError, match="3 of 10 log lines are broken"):
+        RD.read_checked_traces(spark, [log], out, "monday", max_broken=0.2)
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_input_bytes_of_lists(spark, tmp_dir):
+    for name in ("x", "y"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("12345")
+    assert input_bytes(spark, [os.path.join(tmp_dir, "x"), os.path.join(tmp_dir, "y")], os.path.join(tmp_dir, "x")) == 15
