@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from coldspot.llm import neardup, queries, secrets, sharding, topk
 
@@ -198,9 +200,8 @@ def test_links_inside_a_family_without_links(spark):
 
 def test_every_pair_of_a_crowded_node_is_confirmed(spark, monkeypatch):
     """Each class has many partners whose estimates may rank above its one true partner's:
-    none is left unconfirmed, however few forests and partners are tried first."""
-    monkeypatch.setattr(neardup, "FORESTS", 1)
-    monkeypatch.setattr(neardup, "ACROSS", 0)
+    none is left unconfirmed, however few candidates are tried first."""
+    monkeypatch.setattr(neardup, "ALL_PAIRS", 2)
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(3000)]
     passage = [rng.choice(vocabulary) for _ in range(200)]
@@ -262,54 +263,76 @@ def _similar_rows(n=40, seed=4):
     return rng.integers(80, 121, n), rows
 
 
-def test_spanning_forests_against_kruskal():
+def test_spanning_forest_against_kruskal():
     sizes, sketches = _similar_rows()
     a, b = neardup.similar_pairs(sizes, sketches, 0.6, 75)
     weight = {(i, j): neardup.estimate(sketches[j:j + 1], sketches[i])[0] for i, j in zip(a.tolist(), b.tolist())}
     assert set(weight) == {(i, j) for i in range(40) for j in range(i + 1, 40)
                            if neardup.estimate(sketches[j:j + 1], sketches[i])[0] >= 0.6
                            and max(sizes[i], sizes[j]) * 75 <= min(sizes[i], sizes[j]) * 100}
-    edges, tree, cluster = neardup.spanning_forests(sizes, sketches, 0.6, 75, 3)
-    made = {(min(e), max(e)) for e in edges.tolist()}
-    assert len(made) == len(edges) and made <= set(weight)
-    left, total, parts = dict(weight), [], None
-    for _ in range(3):  # weight of each maximum spanning forest
-        root = list(range(40))
-
-        def find(v):
-            while root[v] != v:
-                v = root[v]
-            return v
-        kept = []
-        for e in sorted(left, key=lambda e: -left[e]):
-            x, y = find(e[0]), find(e[1])
-            if x != y:
-                root[x] = y
-                kept.append(e)
-        if parts is None:
-            parts = [find(i) for i in range(40)]
-            first = sum(left[e] for e in kept)
-            own, _, _ = neardup.spanning_forests(sizes, sketches, 0.6, 75, 1)
-            assert abs(sum(weight[(min(e), max(e))] for e in own.tolist()) - first) < 1e-9 and len(own) == len(kept)
-        for e in kept:
-            left.pop(e)
-    assert len({(p, t) for p, t in zip(parts, tree.tolist())}) == len(set(parts)) == len(set(tree.tolist()))
-
-
-def test_partners_across_clusters():
+    made = {(min(e), max(e)) for e in neardup.spanning_forest(sizes, sketches, 0.6, 75).tolist()}
+    assert made <= set(weight)
+    root = list(range(40))
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+    kept = []
+    for e in sorted(weight, key=lambda e: -weight[e]):
+        x, y = find(e[0]), find(e[1])
+        if x != y:
+            root[x] = y
+            kept.append(e)
+    assert len(made) == len(kept) and abs(sum(weight[e] for e in made) - sum(weight[e] for e in kept)) < 1e-9
+
+
+def test_best_lower_partner():
     sizes, sketches = _similar_rows()
-    _, _, cluster = neardup.spanning_forests(sizes, sketches, 0.6, 75, 1)
     a, b = neardup.similar_pairs(sizes, sketches, 0.6, 75)
-    want = {(i, j) for i, j in zip(a.tolist(), b.tolist()) if cluster[i] != cluster[j]}
-    every = {(min(e), max(e)) for e in neardup.across(cluster, sizes, sketches, 0.6, 75, 40).tolist()}
-    assert every == want
-    few = neardup.across(cluster, sizes, sketches, 0.6, 75, 2).tolist()
-    size = Counter(cluster.tolist())
-    assert all(n <= -(-2 // size[cluster[u]]) + 1 for u, n in Counter(u for u, _ in few).items())
-    # clusters: connected by pairs of certain similarity
-    sure = {(i, j) for i, j in zip(a.tolist(), b.tolist())
-            if neardup.estimate(sketches[j:j + 1], sketches[i])[0] >= neardup.CERTAIN}
-    assert all(cluster[i] == cluster[j] for i, j in sure)
+    order = np.random.default_rng(1).permutation(40)
+    at = {int(v): i for i, v in enumerate(order)}
+    best = {}
+    for i, j in zip(a.tolist(), b.tolist()):
+        late, early = (i, j) if at[i] > at[j] else (j, i)
+        near = neardup.estimate(sketches[i:i + 1], sketches[j])[0]
+        best[late] = max(best.get(late, (-1, 0)), (near, -at[early]))
+    rows, partners, values = neardup.best_lower(order, sizes, sketches, 0.6, 75)
+    assert {u: (near, -at[v]) for u, v, near in zip(rows.tolist(), partners.tolist(), values.tolist())} == best
+
+
+WORDS_AND_BLANKS = st.text(st.sampled_from(list("abAB \t\n\x0b\x0c\r\x1c中é\xa0")), max_size=40)
+
+
+@given(WORDS_AND_BLANKS, st.integers(1, 12))
+@settings(max_examples=300, deadline=None)
+def test_word_hashes(text, block):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate({c: c + 32 for c in range(65, 91)}))
+    h = neardup.word_hashes(text.encode())
+    assert len(h) == len(words)
+    assert all((x == y) == (v == w) for x, v in zip(h.tolist(), words) for y, w in zip(h.tolist(), words))
+    whole, neardup.BLOCK_BYTES = neardup.BLOCK_BYTES, block
+    try:
+        assert neardup.word_hashes(text.encode()).tolist() == h.tolist()
+    finally:
+        neardup.BLOCK_BYTES = whole
+
+
+def test_estimate_of_known_similarity():
+    """The sketch's estimates of sets of 3/4 similarity, small and large, spread as the
+    binomial distribution says."""
+    rng = np.random.default_rng(3)
+    wide, narrow = neardup._constants(3)
+    for size in (70, 1400):
+        near = []
+        for _ in range(200):
+            both = rng.integers(0, 1 << 63, size * 8 // 7, dtype=np.uint64)
+            x, y = both[:size], both[-size:]
+            for functions in (narrow, neardup._wide()):
+                one, two = (np.frombuffer(neardup.tokens(s << np.uint64(1), functions), np.uint8) for s in (x, y))
+                near.append(neardup.estimate(one[None], two)[0])
+        assert abs(np.mean(near[::2]) - 0.75) < 0.02 and np.std(near[::2]) < 0.045
+        assert abs(np.mean(near[1::2]) - 0.75) < 0.01 and np.std(near[1::2]) < 0.016
 
 
 # ---- secrets
