@@ -1,11 +1,12 @@
 """Toxicity (operator 6): noisy-channel deobfuscation, then a score of the restored text.
 
-Restoring: a word that is plain letters is itself. Any other word, and a run of three or
-more single characters set apart by blanks, is read as a lattice: each character may stand
-for itself, for the letters it imitates (leetspeak), or for nothing (a separator), and a
-character like its predecessor may be dropped (repetition). Viterbi decoding under a
-character trigram model, learnt from the plain words of all documents, picks the
-reading; every change has a fixed price. Results are remembered per word.
+Restoring: a word of letters without two alike in a row is itself, a number is no word. Any
+other word, of any length, and a run of three or more single characters set apart by blanks,
+is read as a lattice: each character may stand for itself, for the letters it imitates
+(leetspeak), or for nothing (a separator), a character like its predecessor may be dropped
+(repetition), and in a spaced run a word may end behind each letter. Viterbi decoding under a
+character trigram model, learnt from the plain words of all documents, picks the reading;
+every change has a fixed price. Results are remembered per word.
 
 Scoring: the restored words and their prefixes that go along with toxic or with clean
 training documents (by a z-value of their log odds) are the features of a logistic
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -26,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldspot.llm.common import (Sparse, class_weights, filter_texts, fit_logistic, fit_platt, labelled_texts, map_texts,
-                                 sigmoid, train_fold)
+from coldspot.llm.common import (Sparse, class_weights, filter_texts, fit_logistic, fit_platt, importable, labelled_texts,
+                                 map_texts, sigmoid, train_fold)
 
 PER_CLASS = 2500
 PREFIXES = (3, 4, 5, 6, 7)
@@ -38,7 +40,8 @@ LEAST_Z = 3.0
 LEAST_DOCUMENTS = 4
 CACHE_WORDS = 400_000
 L2 = 3e-5
-LONGEST_DECODED = 40  # characters; longer words are taken letter by letter
+CACHED_CHARS = 48  # readings of longer words are not remembered
+TABLE = 1 << 20  # places of the letter model's table of counts
 
 # Letters that digits and signs imitate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -48,45 +51,58 @@ PRICE_DROP = 6.0  # of a sign that may be a letter
 PRICE_EDGE = 2.0  # of such a sign behind or before all letters
 PRICE_REPEAT = 0.5  # in a run of three or more
 PRICE_DOUBLE = 4.0  # in a run of two
+PRICE_BREAK = 1.0  # of the end of a word within a spaced run
 
 _CUT = re.compile(r"[^\x20\x09-\x0D]+").findall
 _START, _STOP = "\x02", "\x03"
 
 
+def _grams(trigram: str) -> tuple[str, ...]:
+    """What a trigram counts for: itself, its last two letters and its last, and the contexts
+    of two letters and of one."""
+    return "3" + trigram, "2" + trigram[1:], "1" + trigram[2], "C" + trigram[:2], "c" + trigram[1]
+
+
+def _place(gram: str) -> int:
+    return zlib.crc32(gram.encode("utf-8")) % TABLE
+
+
 class LetterModel:
-    """Interpolated character trigram model: costs are negative log probabilities."""
+    """Interpolated character trigram model: costs are negative log probabilities. Counts lie
+    in a table of ``TABLE`` places by the crc32 of the gram, whatever the alphabets."""
 
-    def __init__(self, trigrams: Counter):
-        one, two, three, two_all, three_all = Counter(), Counter(), trigrams, Counter(), Counter()
-        for w, n in trigrams.items():
-            one[w[2]] += n
-            two[w[1:]] += n
-            two_all[w[1]] += n
-            three_all[w[:2]] += n
-        self.total = sum(one.values()) or 1.0
-        self.counts = (one, two, two_all, three, three_all)
+    def __init__(self, table: np.ndarray, total: int):
+        self.table, self.total = table, total or 1.0
         self.known: dict[str, float] = {}
 
+    @classmethod
+    def of(cls, trigrams: Counter) -> LetterModel:
+        table = np.zeros(TABLE, np.int64)
+        for w, n in trigrams.items():
+            for gram in _grams(w):
+                table[_place(gram)] += n
+        return cls(table, sum(trigrams.values()))
+
+    def _count(self, gram: str) -> int:
+        return int(self.table[_place(gram)])
+
     def cost(self, context: str, c: str) -> float:
         got = self.known.get(context + c)
         if got is None:
-            one, two, two_all, three, three_all = self.counts
-            p = (one[c] + 0.1) / (self.total + 100)
-            d = two_all[context[1]]
-            p = (two[context[1] + c] + 4 * p) / (d + 4)
-            d = three_all[context]
-            p = (three[context + c] + 4 * p) / (d + 4)
+            if len(self.known) > CACHE_WORDS:
+                self.known.clear()
+            three, two, one, three_all, two_all = map(self._count, _grams(context + c))
+            p = (one + 0.1) / (self.total + 100)
+            p = (two + 4 * p) / (two_all + 4)
+            p = min((three + 4 * p) / (three_all + 4), 1.0)  # places may be shared
             got = self.known[context + c] = -math.log(p)
         return got
 
 
-def trigrams_of(texts) -> Counter:
-    """Character trigrams of the plain words of texts; a word counts once a text."""
-    plain, found = Counter(), Counter()
-    for text in texts:
-        plain.update([w for w in (c.lower().strip(".,;:?\"'()") for c in set(_CUT(text)))
-                      if w.isalpha() and not _THREE_ALIKE(w)])
-    for word, n in plain.items():
+def trigrams_of(words) -> Counter:
+    """Character trigrams of (word, count) pairs, with a word's start and end."""
+    found = Counter()
+    for word, n in words:
         w = _START * 2 + word + _STOP
         for i in range(2, len(w)):
             found[w[i - 2:i + 1]] += n
@@ -94,19 +110,41 @@ def trigrams_of(texts) -> Counter:
 
 
 def letter_model(documents: DataFrame) -> LetterModel:
-    """Of the plain words of all documents; the table of trigrams reaches the driver."""
-    def count(part, texts):
-        found = trigrams_of(t for t in texts if t)
-        return {"w": list(found.keys()), "n": list(found.values())}
-
-    counted = map_texts(documents.select("text"), count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return LetterModel(Counter({r["w"]: r["n"] for r in counted.collect()}))
-
-
-def decode(word: str, model: LetterModel) -> str:
-    """The cheapest reading of a noisy word (lower case)."""
-    paths = {_START * 2: (0.0, "")}  # last two letters -> cost, letters so far
-    inner = [i for i, c in enumerate(word) if c.isalnum()] or [len(word)]
+    """Of the plain words of all documents; a word counts once a text. Words are counted by
+    Spark, then the trigrams of the distinct words; the driver gets the table of ``TABLE``
+    counts."""
+    importable(documents.sparkSession)
+    cut = F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))
+    plain = documents.select(F.explode(cut).alias("w")).select(
+        F.lower(F.btrim("w", F.lit(".,;:?\"'()"))).alias("w")).where(
+        F.col("w").rlike(r"^\p{L}+$") & ~F.col("w").rlike(r"(.)\1\1"))
+    words = plain.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+
+    def count(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 20_000):
+                batch = whole.slice(start, 20_000)
+                found = trigrams_of(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["w", "n"])
+
+    grams = words.mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    w = F.col("w")
+    each = F.array(F.concat(F.lit("3"), w), F.concat(F.lit("2"), F.substring(w, 2, 2)), F.concat(F.lit("1"), F.substring(w, 3, 1)),
+                   F.concat(F.lit("C"), F.substring(w, 1, 2)), F.concat(F.lit("c"), F.substring(w, 2, 1)))
+    places = grams.select(F.explode(each).alias("g"), "n").select(
+        (F.crc32(F.col("g").cast("binary")) % TABLE).alias("place"), F.when(F.col("g").startswith("3"), F.col("n")).otherwise(0).alias("t"), "n")
+    got = places.groupBy("place").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
+    table = np.zeros(TABLE, np.int64)
+    table[got.column("place").to_numpy()] = got.column("n").to_numpy()
+    return LetterModel(table, int(got.column("t").to_numpy().sum()))
+
+
+def decode(word: str, model: LetterModel, spaced: bool = False) -> str:
+    """The cheapest reading of a noisy word (lower case). With ``spaced``, words may end behind
+    any letter; they are set apart by blanks in the reading. Time and memory are linear in the
+    word."""
+    paths = {_START * 2: (0.0, None)}  # last two letters -> cost, letters so far (last, rest)
+    inner = [i for i, c in enumerate(word) if c.isalnum()] or [0, len(word)]
     for i, c in enumerate(word):
         again = i > 0 and word[i - 1] == c
         if again:
@@ -121,19 +159,29 @@ def decode(word: str, model: LetterModel) -> str:
         else:
             drop = PRICE_DROP * (2 if c.isdigit() else 1) if inner[0] <= i <= inner[-1] else PRICE_EDGE
             drop = min(drop, repeat) if again else drop
-        new: dict[str, tuple[float, str]] = {}
+        new: dict[str, tuple[float, tuple | None]] = {}
         for context, (cost, text) in paths.items():
             for x, price in letters:
                 value = cost + price + model.cost(context, x)
                 key = context[1] + x
                 if key not in new or value < new[key][0]:
-                    new[key] = (value, text + x)
+                    new[key] = (value, (x, text))
             if drop is not None:
                 value = cost + drop
                 if context not in new or value < new[context][0]:
                     new[context] = (value, text)
+        if spaced and i + 1 < len(word):
+            value, text = min(((cost + model.cost(context, _STOP) + PRICE_BREAK, text) for context, (cost, text) in new.items()),
+                              key=lambda end: end[0])
+            if _START * 2 not in new or value < new[_START * 2][0]:
+                new[_START * 2] = (value, (" ", text))
         paths = new
-    return min((cost + model.cost(context, _STOP), text) for context, (cost, text) in paths.items())[1]
+    _, text = min(((cost + model.cost(context, _STOP), text) for context, (cost, text) in paths.items()), key=lambda end: end[0])
+    read = []
+    while text is not None:
+        read.append(text[0])
+        text = text[1]
+    return "".join(reversed(read))
 
 
 class Restorer(dict):
@@ -144,33 +192,31 @@ class Restorer(dict):
         self.model = model
 
     def __missing__(self, word: str) -> str:
-        plain = word.lower()
-        core = plain.strip(".,;:?\"'`´()[]{}#%&*-_~")
-        if core.isalpha() and not _THREE_ALIKE(core):
+        core = word.lower().strip(".,;:?\"'`´()[]{}#%&*-_~")
+        if core.isalpha() and not _TWO_ALIKE(core):
             read = core
-        elif not any(c.isalpha() or c in LEET for c in core):
-            read = ""
-        elif len(core) > LONGEST_DECODED or not any(c.isalpha() for c in core):
-            read = "".join(c for c in core if c.isalpha())
+        elif not any(c.isalpha() or c in LEET for c in core) or not any(
+                c.isalpha() for c in core) and any(c.isdigit() for c in core):
+            read = ""  # signs that imitate nothing, and numbers
         else:
             read = decode(core, self.model)
-        self[word] = read
+        if len(word) <= CACHED_CHARS:
+            self[word] = read
         return read
 
     def words(self, text: str) -> list[str]:
         if len(self) > CACHE_WORDS:
             self.clear()
-        cut = _CUT(text)
-        read = list(map(self.__getitem__, cut))
-        # Letters set apart by blanks: three or more single characters in a row are one word.
-        run: list[str] = []
-        for word in _SPACED(text):
-            run.append(self["".join(_CUT(word))])
-        return read + run if run else read
+        read = list(map(self.__getitem__, _CUT(text)))
+        # Single characters set apart by blanks, three or more in a row, are words in pieces.
+        for run in _SPACED(text):
+            whole = "".join(_CUT(run)).lower()
+            read += [decode(whole, self.model), *decode(whole, self.model, spaced=True).split()]
+        return read
 
 
-_THREE_ALIKE = re.compile(r"(.)\1\1").search
-_SPACED = re.compile(r"(?<![^\s])(?:[^\W_]|[@$!|+(<€£¡])(?:\s(?:[^\W_]|[@$!|+(<€£¡])){2,}(?![^\s])").findall
+_TWO_ALIKE = re.compile(r"(.)\1").search
+_SPACED = re.compile(r"(?<![^\s])(?:[^\W_]|[@$!|+(<€£¡])(?:\s+(?:[^\W_]|[@$!|+(<€£¡])){2,}(?![^\s])").findall
 
 
 def features(words) -> set[str]:
@@ -305,7 +351,9 @@ def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
 
 
 def filtered(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not predicted toxic."""
+    """The rows of ``docs``, all columns, that are not predicted toxic. Null and empty texts are
+    scored like a text without words; repeated rows are kept or go alike; null doc_ids and
+    columns of any name pass; without a model, as of an empty table, every row stays."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(texts):

@@ -1,6 +1,7 @@
 """Quality, language and toxicity: exact columns by brute force, models on held-out rows."""
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -173,29 +174,67 @@ def test_spaced_letters_and_scores(toxic_model):
     assert clean < 0.1 and hidden > 0.5
 
 
-def test_decode_is_the_cheapest_reading(toxic_model):
-    """Viterbi against all readings of short words (without repetition and separators)."""
+@pytest.mark.parametrize("word", ["l0s", "t4$h", "1d1", "m0r0n!", "$cu|", "a.b"])
+def test_decode_is_the_cheapest_reading(toxic_model, word):
+    """Viterbi against all readings of short words without repetition, dropped signs included."""
     import itertools
 
     model = toxic_model.letters
-    for word in ("l0s", "t4$h", "1d1"):
-        readings = []
-        for pick in itertools.product(*[[(c, 0.0)] * c.isalpha() + [(x, toxicity.PRICE_LEET) for x in toxicity.LEET.get(c, "")]
-                                        for c in word]):
-            text = "".join(x for x, _ in pick)
-            padded = "\x02\x02" + text + "\x03"
-            cost = sum(p for _, p in pick) + sum(model.cost(padded[i - 2:i], padded[i]) for i in range(2, len(padded)))
-            readings.append((cost, text))
-        best = toxicity.decode(word, model)
-        assert best == min(readings)[1] or len(best) < len(word)
+    inner = [i for i, c in enumerate(word) if c.isalnum()]
+
+    def choices(i, c):
+        made = [(c, 0.0)] * c.isalpha() + [(x, toxicity.PRICE_LEET) for x in toxicity.LEET.get(c, "")]
+        if not made:
+            return [("", 0.0)]
+        if not c.isalpha():
+            inside = inner[0] <= i <= inner[-1]
+            made.append(("", toxicity.PRICE_DROP * (2 if c.isdigit() else 1) if inside else toxicity.PRICE_EDGE))
+        return made
+
+    readings = []
+    for pick in itertools.product(*[choices(i, c) for i, c in enumerate(word)]):
+        text = "".join(x for x, _ in pick)
+        padded = "\x02\x02" + text + "\x03"
+        readings.append((sum(p for _, p in pick) + sum(model.cost(padded[i - 2:i], padded[i]) for i in range(2, len(padded))), text))
+    assert toxicity.decode(word, model) == min(readings)[1]
+
+
+def english_letters():
+    words = "you are an idiot the stupid and moron thing this better all see a fool loser of well letter too".split()
+    return toxicity.LetterModel.of(toxicity.trigrams_of((w, 1000) for w in words))
+
+
+def test_words_of_every_length_are_decoded():
+    restorer = toxicity.Restorer(english_letters())
+    long = "st00pid-and-m0r0n-and-1d1ot-and-5tup1d-th1ng"
+    assert len(long) > 40 and "idiot" in restorer[long] and "stupid" in restorer[long] and "thing" in restorer[long]
+    assert restorer["1d1ot"] == "idiot" and long in restorer
+    huge = "1d1ot" * 4000
+    assert restorer[huge].startswith("idiot") and huge not in restorer
+
+
+def test_doubled_letters_and_signs_only():
+    restorer = toxicity.Restorer(toxicity.LetterModel.of(toxicity.trigrams_of((w, 1000) for w in ("idiot", "ass", "better", "all"))))
+    assert restorer["iidiott"] == "idiot" and restorer["@$$"] == "ass"
+    assert restorer["better"] == "better" and restorer["all"] == "all"
+    assert restorer["2023"] == "" and restorer["$100"] == "" and restorer["---"] == ""
+
+
+def test_spaced_runs_are_words():
+    restorer = toxicity.Restorer(english_letters())
+    assert {"you", "are", "an", "idiot"} <= set(restorer.words("y o u a r e a n i d i o t"))
+    assert "idiot" in restorer.words("i  d  i  o  t") and "idiot" in restorer.words("1 d 1 0 t")
+    assert "idiot" in restorer.words("the i\td i o   t and")
 
 
 def test_letters_are_counted_over_all_documents(spark):
-    rows = [(i, f"zqx plain {'toxic' if i % 2 else 'clean'}", "en", "s") for i in range(40)] + [(99, "qqz, unlabelled", "en", "s"), (100, None, "en", "s")]
+    rows = [(i, f"zqx plain {'toxic' if i % 2 else 'clean'}", "en", "s") for i in range(40)] + [
+        (99, "qqz, unlabelled zqx zqx", "en", "s"), (100, None, "en", "s"), (101, "aaa 4zq b-c", "en", "s")]
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
-    model = toxicity.train(frame(spark, rows), labels, 5)
-    three = model.letters.counts[3]
-    assert three["zqx"] == 40 and three["qqz"] == 1
+    model = toxicity.train(frame(spark, rows), labels, 5).letters
+    words = Counter({"zqx": 41, "plain": 40, "toxic": 20, "clean": 20, "qqz": 1, "unlabelled": 1})  # qqz has two alike, but not three
+    want = toxicity.LetterModel.of(toxicity.trigrams_of(words.items()))
+    assert (model.table == want.table).all() and model.total == want.total
 
 
 def test_toxicity_edge_cases(spark, odd, empty, toxic_model, documents, labels):
