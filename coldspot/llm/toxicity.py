@@ -115,10 +115,10 @@ def letter_model(documents: DataFrame) -> LetterModel:
     counts."""
     importable(documents.sparkSession)
     cut = F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))
-    plain = documents.select(F.explode(cut).alias("w")).select(
-        F.lower(F.btrim("w", F.lit(".,;:?\"'()"))).alias("w")).where(
+    counted = documents.select(F.explode(cut).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # Distinct words are cleaned; counts of words that become equal add up in their trigrams.
+    words = counted.select(F.lower(F.btrim("w", F.lit(".,;:?\"'()"))).alias("w"), "n").where(
         F.col("w").rlike(r"^\p{L}+$") & ~F.col("w").rlike(r"(.)\1\1"))
-    words = plain.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
     def count(batches):
         for whole in batches:
