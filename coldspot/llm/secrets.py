@@ -46,21 +46,31 @@ FEATURES = ["f_length", "f_digits", "f_upper", "f_lower", "f_signs", "f_distinct
             "f_dictionary", "f_path", "f_address", "f_named", "f_assigned", "f_quoted", "f_example"]
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _text_key(text):
+    """A digest of the text: equal texts have equal candidates, and no other text has them."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", places: bool = False) -> DataFrame:
     """(row, doc_id, start, finding, before, after): every candidate of every text, with its
-    place (from 0, in characters) and the characters around it. ``row`` numbers the rows."""
+    place (from 0, in characters) and the characters around it. ``row`` numbers the rows.
+    ``places`` adds ``text_key``, a digest of the text, and ``k``, the candidate's number in
+    its text (from 0). Null and empty texts have none; repeated rows give their own."""
     text = F.col("_text")
     cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"),
                       F.monotonically_increasing_id().alias("row"))
+    ids = ["row", "doc_id"] + (["text_key"] if places else [])
+    if places:
+        cut = cut.withColumn("text_key", _text_key(text))
     # The parts between the candidates line up with the candidates.
-    cut = cut.select("row", "doc_id", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), "_text").where(F.size("c") > 0)
-    cut = cut.select("row", "doc_id", "c", F.split(text, CANDIDATE, -1).alias("p"))
-    found = cut.select("row", "doc_id", F.posexplode(F.transform("c", lambda c, i: F.struct(
+    cut = cut.select(*ids, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), "_text").where(F.size("c") > 0)
+    cut = cut.select(*ids, "c", F.split(text, CANDIDATE, -1).alias("p"))
+    found = cut.select(*ids, F.posexplode(F.transform("c", lambda c, i: F.struct(
         c.alias("finding"),
         F.right(F.get(F.col("p"), i), F.lit(BEFORE)).alias("left"),
         F.left(F.get(F.col("p"), i + 1), F.lit(AFTER)).alias("right"),
         F.length(F.get(F.col("p"), i)).alias("gap")))).alias("k", "f"))
-    found = found.select("row", "doc_id", "k", "f.*")
+    found = found.select(*ids, "k", "f.*")
     order = W.partitionBy("row").orderBy("k")
     # The context goes on through neighbouring candidates: of 6 characters or more each, so
     # these are enough.
@@ -70,7 +80,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "row", "doc_id", (F.sum(F.col("gap") + F.length("finding")).over(order.rowsBetween(W.unboundedPreceding, 0)) - F.length("finding"))
         .cast("long").alias("start"), "finding",
         F.right(F.concat(F.array_join(earlier, ""), "left"), F.lit(BEFORE)).alias("before"),
-        F.left(F.concat("right", F.array_join(later, "")), F.lit(AFTER)).alias("after"))
+        F.left(F.concat("right", F.array_join(later, "")), F.lit(AFTER)).alias("after"), *(["text_key", "k"] if places else []))
 
 
 def _classes(text):
@@ -138,12 +148,14 @@ def label_findings(found: DataFrame) -> DataFrame:
 
 
 def ordinary_words(docs: DataFrame, rows: int = PER_LABEL) -> DataFrame:
-    """Long words of a bounded sample of texts, as findings that are no secrets."""
+    """Long words of a bounded sample of texts, as findings that are no secrets: at most
+    ``rows``, taken by hash. Null and empty texts have none."""
     total = max(1, docs.count())
     sample = docs.where(F.col("text").isNotNull() & (unit_hash("doc_id", F.lit(7)) < min(1.0, rows / total)))
     words = sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array_distinct(
         F.regexp_extract_all("text", F.lit(r"[A-Za-z]{8,}"), F.lit(0)))).alias("finding"))
-    words = words.where(unit_hash("finding", F.lit(7)) < 0.05).orderBy("finding", "doc_id").limit(rows)
+    words = words.where(unit_hash("finding", F.lit(7)) < 0.05).orderBy(
+        unit_hash("finding", "doc_id", F.lit(8)), "finding", "doc_id").limit(rows)
     return words.select("doc_id", "finding", F.lit(" ").alias("before"), F.lit(" ").alias("after"), F.lit(0).alias("label"))
 
 
@@ -154,7 +166,7 @@ def example_findings(docs: DataFrame, rows: int = PER_LABEL // 2) -> DataFrame:
     (0)."""
     total = max(1, docs.count())
     ids = docs.where(F.col("doc_id").isNotNull() & (unit_hash("doc_id", F.lit(13)) < min(1.0, rows / total))).select(
-        F.col("doc_id").cast("long").alias("doc_id")).limit(2 * rows)
+        F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy(unit_hash("doc_id", F.lit(14)), "doc_id").limit(rows)
     digest = F.sha2(F.concat(F.lit("key:"), F.col("doc_id").cast("string")), 512)
     mixed = F.regexp_replace(F.base64(F.unhex(digest)), "[+/=\n\r]", "")
     ids = ids.select("doc_id", digest.alias("hex"), mixed.alias("mixed"), F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(30)).cast("int").alias("n"))
@@ -240,15 +252,30 @@ def scan(docs: DataFrame, language: Language, forest, secret_from: float = SECRE
         (F.col("score") >= secret_from).alias("is_secret"))
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def mask(docs: DataFrame, language: Language, forest, secret_from: float = SECRET_FROM) -> DataFrame:
-    """The rows of ``docs`` (all columns kept) with every secret in ``text`` replaced by
-    ``MASK``; texts without one stay as they are. Rows are matched by doc_id; equal texts of
-    a repeated doc_id are masked alike."""
-    found = scored(candidates(docs), language, forest).where(F.col("score") >= secret_from)
-    # A secret inside another one must not go first.
-    secrets = found.groupBy("doc_id").agg(F.collect_set("finding").alias("_set")).select(
-        F.col("doc_id").alias("_doc"), F.sort_array(F.transform("_set", lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))),
-                                                    asc=False).alias("_found"))
-    joined = docs.join(secrets, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left")
-    masked = F.aggregate("_found", F.col("text"), lambda t, f: F.replace(t, f["s"], F.lit(MASK)))
-    return joined.withColumn("text", F.when(F.col("_found").isNotNull(), masked).otherwise(F.col("text"))).select(docs.columns)
+    """The rows of ``docs`` (all columns kept, whatever their names) with every secret in
+    ``text`` replaced by ``MASK``, just where it was found: the same characters elsewhere in
+    the text stay. A text's secrets depend on the text alone, so rows are matched by it and
+    not by doc_id: null and repeated doc_ids are rows like others, equal texts are masked
+    alike. Null texts, empty ones and texts without a secret stay as they are."""
+    key, flags = _unused(docs, "_text_key"), _unused(docs, "_secrets")
+    found = scored(candidates(docs, places=True), language, forest)
+    secret = F.col("score") >= secret_from
+    # One row for each text with a secret: whether its k-th candidate is one, by k.
+    secrets = found.groupBy(F.col("text_key").alias(key)).agg(
+        F.sort_array(F.collect_set(F.struct("k", secret.alias("secret")))).alias(flags), F.max(secret).alias("any")).where("any").drop("any")
+    # Rows without a text match nothing; their own keys keep them apart.
+    own = F.coalesce(_text_key(F.col("text")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    joined = docs.withColumn(key, own).join(secrets, key, "left")
+    parts, hits = F.split("text", CANDIDATE, -1), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
+    shown = F.transform(hits, lambda c, i: F.when(F.get(F.col(flags), i)["secret"], F.lit(MASK)).otherwise(c))
+    masked = F.array_join(F.zip_with(parts, shown, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
+    return joined.withColumn("text", F.when(F.col(flags).isNotNull(), masked).otherwise(F.col("text"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from coldspot.llm import neardup, queries, secrets, sharding, topk
 
@@ -410,6 +411,49 @@ def test_assigned_values_of_names_in_any_case(spark):
     assert all(re.search(secrets.ASSIGNED, r["before"]) for r in rows)
 
 
+def test_mask_replaces_the_found_span_only(spark, trained):
+    key, other = "b7db7aa4a5fcc78305", "q7Zk2mP9xL1vB4"
+    texts = [
+        (1, f"password={key} and https://cdn.pages.net/assets/{key}.js the end", f"password=[SECRET] and https://cdn.pages.net/assets/{key}.js the end"),
+        # two texts of one doc_id, and null doc_ids, each with secrets of its own
+        (2, f"password={key} first", "password=[SECRET] first"), (2, f"token: '{other}' second", "token: '[SECRET]' second"),
+        (None, f"password={key} third", "password=[SECRET] third"), (None, f"ordinary {other[:6]} text", f"ordinary {other[:6]} text"),
+        (None, None, None), (None, "", ""),
+        # the mark itself as text, and a secret next to another one
+        (3, f"[SECRET] password={key} token='{other}' SECRET", "[SECRET] password=[SECRET] token='[SECRET]' SECRET"),
+        (4, f"password={key} first", "password=[SECRET] first"), (4, f"password={key} first", "password=[SECRET] first"),
+    ]
+    docs = frame(spark, [(i, t, "en", "s") for i, t, _ in texts])
+    names = {"score": "_Text_Key", "key": "_secrets", "kept": "k", "_b": "any"}
+    docs = docs.withColumnsRenamed(names).withColumn("a.b", F.lit(1))
+    out = secrets.mask(docs, *trained)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got) == sorted((str(i), str(t)) for i, _, t in texts)
+    assert all((r["_Text_Key"], r["_secrets"], r["k"], r["any"]) == ("x", "y", "z", "w") for r in got)
+
+
+def test_forest_finds_secrets_of_names_it_was_not_trained_on(spark, trained):
+    """Labelled findings of two names are held out as a whole. The features hold that a value
+    is assigned and that some name stands before it, not which one."""
+    docs, language = spark.read.parquet(f"{DATA}/documents.parquet"), trained[0]
+    rows = secrets.example_findings(docs).cache()
+    held = F.col("before").rlike("secret|api_key")
+    forest = secrets.train(rows.where(~held).unionAll(secrets.ordinary_words(docs).select(rows.columns)), language)
+    counts = {(r["label"], r["hit"]): r["n"] for r in secrets.scored(rows.where(held), language, forest).groupBy(
+        "label", (F.col("score") >= secrets.SECRET_FROM).alias("hit")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    right, missed, wrong = (counts.get(k, 0) for k in ((1, True), (1, False), (0, True)))
+    print(f"held-out names: precision {right / max(1, right + wrong):.4f}, recall {right / max(1, right + missed):.4f}, {counts}")
+    assert right + missed > 100 and right >= 0.95 * (right + missed) and right >= 0.95 * (right + wrong)
+
+
+def test_samples_of_words_do_not_follow_the_alphabet(spark):
+    docs = spark.range(400).selectExpr(
+        "id as doc_id", "concat_ws(' ', transform(sequence(0, 400), i -> translate(concat('word', 100000 + id * 401 + i), '0123456789', 'abcdefghij'))) as text")
+    picked = [r["finding"] for r in secrets.ordinary_words(docs, rows=100).collect()]
+    assert len(picked) == 100 and len({w[:6] for w in picked}) > 10
+
+
 def test_words_and_pairs_are_counted_over_all_documents(spark):
     docs = spark.range(9000).selectExpr("id as doc_id", "if(id % 2 = 0, 'common words', 'zqzq') as text")
     language = secrets.Language(docs)
