@@ -28,6 +28,7 @@ PER_LABEL = 2000
 DICTIONARY_WORDS = 300
 SECRET_FROM = 0.5
 MASK = "[SECRET]"
+_CUT = "\uf0f1"  # of the private use area
 
 # Character class of keys, names of secrets, vendor formats, example words.
 _KEY = r"[A-Za-z0-9+/_\-]"
@@ -51,6 +52,15 @@ def _text_key(text):
     return F.unhex(F.sha2(text, 256))
 
 
+def _cut(text):
+    """The text cut around its candidates: text, candidate, text, ..., text. Candidates are
+    marked by a character that a text hardly holds; a text that does is cut by the pattern."""
+    marked = F.split(F.regexp_replace(text, CANDIDATE, f"{_CUT}$0{_CUT}"), _CUT, -1)
+    found = F.concat(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.array(F.lit(None).cast("string")))
+    by_pattern = F.flatten(F.zip_with(F.split(text, CANDIDATE, -1), found, lambda p, c: F.array(p, c)))
+    return F.when(F.contains(text, F.lit(_CUT)), F.slice(by_pattern, F.lit(1), F.size(by_pattern) - 1)).otherwise(marked)
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", places: bool = False) -> DataFrame:
     """(row, doc_id, start, finding, before, after): every candidate of every text, with its
     place (from 0, in characters) and the characters around it. ``row`` numbers the rows.
@@ -62,14 +72,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids = ["row", "doc_id"] + (["text_key"] if places else [])
     if places:
         cut = cut.withColumn("text_key", _text_key(text))
-    # The parts between the candidates line up with the candidates.
-    cut = cut.select(*ids, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("c"), "_text").where(F.size("c") > 0)
-    cut = cut.select(*ids, "c", F.split(text, CANDIDATE, -1).alias("p"))
-    found = cut.select(*ids, F.posexplode(F.transform("c", lambda c, i: F.struct(
-        c.alias("finding"),
-        F.right(F.get(F.col("p"), i), F.lit(BEFORE)).alias("left"),
-        F.left(F.get(F.col("p"), i + 1), F.lit(AFTER)).alias("right"),
-        F.length(F.get(F.col("p"), i)).alias("gap")))).alias("k", "f"))
+    # Text, candidate, text, ..., text: the pattern runs once over a text.
+    cut, p = cut.select(*ids, _cut(text).alias("p")), F.col("p")
+    numbers = F.when(F.size(p) > 1, F.sequence(F.lit(0), (F.size(p) - 3).cast("int"), F.lit(2)))
+    found = cut.select(*ids, F.posexplode(F.transform(numbers, lambda i: F.struct(
+        F.get(p, i + 1).alias("finding"),
+        F.right(F.get(p, i), F.lit(BEFORE)).alias("left"),
+        F.left(F.get(p, i + 2), F.lit(AFTER)).alias("right"),
+        F.length(F.get(p, i)).alias("gap")))).alias("k", "f"))
     found = found.select(*ids, "k", "f.*")
     order = W.partitionBy("row").orderBy("k")
     # The context goes on through neighbouring candidates: of 6 characters or more each, so
@@ -274,8 +284,8 @@ def mask(docs: DataFrame, language: Language, forest, secret_from: float = SECRE
     # Rows without a text match nothing; their own keys keep them apart.
     own = F.coalesce(_text_key(F.col("text")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     joined = docs.withColumn(key, own).join(secrets, key, "left")
-    parts, hits = F.split("text", CANDIDATE, -1), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    shown = F.transform(hits, lambda c, i: F.when(F.get(F.col(flags), i)["secret"], F.lit(MASK)).otherwise(c))
-    masked = F.array_join(F.zip_with(parts, shown, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
+    # Part 2k + 1 is candidate k.
+    masked = F.array_join(F.transform(_cut(F.col("text")), lambda p, i: F.when(
+        (i % 2 == 1) & F.get(F.col(flags), F.floor(i / 2).cast("int"))["secret"], F.lit(MASK)).otherwise(p)), "")
     return joined.withColumn("text", F.when(F.col(flags).isNotNull(), masked).otherwise(F.col("text"))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -393,6 +393,8 @@ def test_secret_edge_cases(spark, trained, odd, empty):
 def test_context_goes_on_through_other_candidates(spark):
     texts = ["oauth2_token=b7db7aa4a5fcc78305 s3_secret: 'q7Zk2mP9xL1vB4' a1b2c3d4e5 f6a7b8c9d0 the end",
              " ".join(f"id{i:06d}" for i in range(40)), "s3_secret: 'q7Zk2mP9xL1vB4'"]
+    # the character that marks candidates, in the text and inside a candidate
+    texts += [f"\uf0f1{texts[0]}\uf0f1", "password=b7db\uf0f17aa4\uf0f1 and id000001", "\uf0f1", "😀 id000001 😀"]
     docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
     rows = secrets.candidates(docs).collect()
     assert len(rows) > 40
@@ -421,6 +423,7 @@ def test_mask_replaces_the_found_span_only(spark, trained):
         (None, None, None), (None, "", ""),
         # the mark itself as text, and a secret next to another one
         (3, f"[SECRET] password={key} token='{other}' SECRET", "[SECRET] password=[SECRET] token='[SECRET]' SECRET"),
+        (5, f"\uf0f1 password={key} \uf0f1", "\uf0f1 password=[SECRET] \uf0f1"),
         (4, f"password={key} first", "password=[SECRET] first"), (4, f"password={key} first", "password=[SECRET] first"),
     ]
     docs = frame(spark, [(i, t, "en", "s") for i, t, _ in texts])
