@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from coldspot import schemas as S
 from coldspot.functions.columns import day_of_epoch, is_read_event, starts_with_any
-from coldspot.operators.skew import hot_keys, salted_join
+from coldspot.operators.skew import ROWS_PER_SALT, hot_keys, measured_join, salted_join
 
 
 def valid_traces(traces: DataFrame) -> DataFrame:
@@ -64,7 +64,8 @@ def build_sessions(traces: DataFrame, contents: DataFrame,
                    scope_prefixes: Sequence[str] = S.DEFAULT_SCOPE_PREFIXES,
                    sort: bool = False, by_day: bool = False, pre_aggregate: bool = False,
                    salt_buckets: int = 0, hot_file_rows: int | None = None,
-                   hot_files: DataFrame | None = None) -> DataFrame:
+                   hot_files: DataFrame | None = None, file_sizes: DataFrame | None = None,
+                   rows_per_salt: int = ROWS_PER_SALT, copartitioned: bool = False) -> DataFrame:
     """Sessions ``scope, name, uuid, fileops, timeentryunix`` (W1: A1 over J1).
 
     ``by_day=True`` adds ``trace_date`` (UTC day of the event) to the session
@@ -79,6 +80,10 @@ def build_sessions(traces: DataFrame, contents: DataFrame,
     hot files are ``hot_files`` (first column; repeats and nulls are harmless,
     e.g. from the previous day) or, with ``hot_file_rows``, every file with at
     least that many rows (found by an extra aggregation over the log).
+    ``file_sizes`` (``skew.key_sizes`` of this or earlier logs) gives each hot
+    file salts by its own size instead; ``copartitioned=True`` says that
+    ``contents`` is stored in buckets of the file name
+    (``bucketed.write_bucketed``), so only its hot files are exchanged.
     Results are equal.
     """
     day_key = [S.TRACE_DATE] if by_day else []
@@ -93,8 +98,11 @@ def build_sessions(traces: DataFrame, contents: DataFrame,
     if salt_buckets > 1:
         hot = hot_files if hot_files is not None else (
             hot_keys(events, S.FILENAME, hot_file_rows) if hot_file_rows else None)
-    joined = salted_join(events, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets,
-                         (S.UUID, S.TIMEENTRYUNIX))
+    spread = (S.UUID, S.TIMEENTRYUNIX)
+    if file_sizes is not None:
+        joined = measured_join(events, files, S.FILENAME, S.CHILD_NAME, file_sizes, spread, rows_per_salt, copartitioned)
+    else:
+        joined = salted_join(events, files, S.FILENAME, S.CHILD_NAME, hot, salt_buckets, spread)
     operations = F.sum("_n") if pre_aggregate else F.count(F.lit(1))
     sessions = (joined.groupBy(*day_key, S.SCOPE, S.NAME, S.UUID)
                 .agg(operations.alias(S.FILEOPS), F.max(S.TIMEENTRYUNIX).alias(S.TIMEENTRYUNIX)))

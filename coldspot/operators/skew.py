@@ -22,6 +22,11 @@ SALT = "_salt"
 HOT = "_hot"
 # A list of hot keys up to this many rows is broadcast to mark the hot rows.
 BROADCAST_KEYS = 100_000
+ROWS = "_rows"
+SALTS = "_salts"
+# Keys that the sketch of key sizes follows, and rows of a hot key that one salt takes.
+KEYS_TRACKED = 10_000
+ROWS_PER_SALT = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
@@ -61,3 +66,50 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
         s = small.withColumn(SALT + "_s", F.explode(salts))
     return (b.join(s, (b[big_key] == s[small_key]) & (b[SALT] == s[SALT + "_s"]))
             .drop(SALT, SALT + "_s"))
+
+
+def key_sizes(df: DataFrame, key: str, min_rows: int, tracked: int = KEYS_TRACKED) -> DataFrame:
+    """Large keys of ``df`` and their rows, ``_hot, _rows``, from a frequent-items sketch:
+    each task keeps at most ``tracked`` keys, and only these sketches are merged, so no row of
+    ``df`` is exchanged and one column of it is read. Sizes are estimates (off by a few rows in
+    ``tracked``), which is enough to place rows; null is no key."""
+    top = df.filter(F.col(key).isNotNull()).agg(
+        F.call_function("approx_top_k", F.col(key), F.lit(max(1, tracked // 10)), F.lit(tracked)).alias("top"))
+    return (top.select(F.inline("top")).filter(F.col("count") >= min_rows)
+            .select(F.col("item").alias(HOT), F.col("count").alias(ROWS)))
+
+
+def merged_sizes(*sizes: DataFrame) -> DataFrame:
+    """Key sizes of several loads added up."""
+    out = sizes[0].select(HOT, ROWS)
+    for more in sizes[1:]:
+        out = out.unionAll(more.select(HOT, ROWS))
+    return out.groupBy(HOT).agg(F.sum(ROWS).alias(ROWS))
+
+
+def measured_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, sizes: DataFrame,
+                  spread_by: Sequence[str], rows_per_salt: int = ROWS_PER_SALT, copartitioned: bool = False) -> DataFrame:
+    """Inner join ``big.big_key = small.small_key`` where each hot key has as many salts as its
+    size asks for: ``ceil(rows / rows_per_salt)``, so a key of 100 times the rows is split 100
+    times as finely, and its rows of ``small`` are copied no more often than that. ``sizes`` are
+    ``_hot, _rows`` (``key_sizes``); wrong, repeated, missing or null keys in it change where
+    rows go, never the result. Of a longer list the ``BROADCAST_KEYS`` largest keys count.
+
+    ``copartitioned``: ``small`` is stored in buckets of ``small_key``. Only the hot keys' rows
+    of it are then copied and exchanged; all other keys meet it in its buckets, and ``big`` is
+    read once for each of the two."""
+    marks = (sizes.filter(F.col(HOT).isNotNull()).groupBy(HOT).agg(F.max(ROWS).alias(ROWS))
+             .select(HOT, F.ceil(F.col(ROWS) / F.lit(rows_per_salt)).cast("int").alias(SALTS), ROWS)
+             .filter(F.col(SALTS) > 1).orderBy(F.desc(ROWS), HOT).limit(BROADCAST_KEYS).select(HOT, SALTS))
+    marks = F.broadcast(marks)  # limited above
+    how = "inner" if copartitioned else "left"
+    salts = F.coalesce(SALTS, F.lit(1))
+    b = (big.join(marks, big[big_key] == marks[HOT], how)
+         .withColumn(SALT, F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop(HOT, SALTS))
+    s = (small.join(marks, small[small_key] == marks[HOT], how)
+         .withColumn(SALT + "_s", F.explode(F.sequence(F.lit(0), salts - 1))).drop(HOT, SALTS))
+    joined = b.join(s, (b[big_key] == s[small_key]) & (b[SALT] == s[SALT + "_s"])).drop(SALT, SALT + "_s")
+    if not copartitioned:
+        return joined
+    rest = big.join(marks, big[big_key] == marks[HOT], "left_anti")
+    return rest.join(small, rest[big_key] == small[small_key]).unionByName(joined)

@@ -34,6 +34,21 @@ def unused_list(volume_alltime: DataFrame, report_date: str | _dt.date,
     return out.orderBy(S.SCOPE, S.NAME) if sort else out
 
 
+def list_changes(older: DataFrame, newer: DataFrame) -> DataFrame:
+    """What changed between the never-used lists of two dates: ``scope, name, change,
+    bytes_before, bytes_now`` with ``change`` one of ``entered`` (only on the newer list),
+    ``left`` (only on the older one) and ``still``. Names are unique on a list; rows without
+    scope or name equal no other row.
+
+    Lists stored in equal buckets of (scope, name) (``bucketed.write_bucketed``) are merged
+    bucket by bucket, without an exchange."""
+    key = [S.SCOPE, S.NAME]
+    o = older.select(*key, F.col(S.BYTES).alias("bytes_before"), F.lit(True).alias("_before"))
+    n = newer.select(*key, F.col(S.BYTES).alias("bytes_now"), F.lit(True).alias("_now"))
+    change = F.when(F.col("_before").isNull(), "entered").when(F.col("_now").isNull(), "left").otherwise("still")
+    return o.join(n, key, "full").select(*key, change.alias("change"), "bytes_before", "bytes_now")
+
+
 def unused_cube(unused: DataFrame, malformed: str = "unknown") -> DataFrame:
     """Count and size of never-used datasets by ``project, datatype,
     created_day`` (A9; size of a missing ``bytes`` is 0)."""
