@@ -24,6 +24,7 @@ from coldspot.llm.common import map_texts
 # Pieces and token pairs a worker remembers; beyond it starts afresh (results are equal).
 CACHE_PIECES = 500_000
 CACHE_PAIRS = 1_000_000
+CACHED_CHARS = 48  # longer pieces are not remembered
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -136,7 +137,8 @@ class TextEncoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         packed = np.asarray(self.encoder.encode(piece.encode("utf-8")), "<u4").tobytes()
-        self[piece] = packed
+        if len(piece) <= CACHED_CHARS:
+            self[piece] = packed
         return packed
 
     def packed(self, text: str) -> bytes:

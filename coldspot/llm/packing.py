@@ -38,6 +38,7 @@ WINDOW = 4096
 UNIT = 16
 BLOCK_TOKENS = 8 << 20
 CACHE_WORDS = 600_000
+CACHED_CHARS = 48  # longer words are remembered for one call only
 ID_BYTES = 4
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -59,7 +60,7 @@ def pack_ids(*ids: int) -> bytes:
 
 
 class WordIds:
-    """Text to packed ids; remembers the ids of words met before."""
+    """Text to packed ids; remembers the ids of words met before, but of very long ones."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -101,7 +102,11 @@ class WordIds:
         self._learn_chunks(list(chunks))
         self._learn_words(words)
         get = known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        packed = [b"".join(map(get, words)) for words in cut]
+        for word in words | chunks:
+            if len(word) > CACHED_CHARS:
+                del known[word]
+        return packed
 
 
 @lru_cache(maxsize=2)

@@ -6,7 +6,8 @@ best path. Tie rule of the unigram tokenizers: starts are tried from left to rig
 path is replaced only by a strictly better one, so the longest last piece wins a tie. A
 character that is no piece itself may be taken as unknown (least score minus 10) and counts
 one token per UTF-8 byte (byte fallback). Words are split at blanks (the blank becomes
-U+2581 in front of its word), and the counts of words are remembered.
+U+2581 in front of its word), and the counts of words are remembered
+(not of very long ones, so that what a worker holds is bounded in bytes).
 
 The vocabulary (pieces and scores) is read from a sentencepiece model file; tokenizers are
 never trained.
@@ -24,6 +25,7 @@ from coldspot.llm.common import map_texts
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 500_000
+CACHED_CHARS = 48  # the counts of longer words are not remembered
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -76,7 +78,8 @@ class UnigramCounter(dict):
         while done < n:
             done += 1
             unknown_at(done)
-        self[word] = count[n]
+        if n <= CACHED_CHARS:
+            self[word] = count[n]
         return count[n]
 
     def count(self, text: str) -> int:

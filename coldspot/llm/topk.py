@@ -6,12 +6,16 @@ scatters query weight times posting into a dense array of scores. Partition sele
 each query's scores to the k best of the batch, ties to the smaller id; the batches' best
 are merged by a window over query_id.
 
-Every query meets every candidate. Queries are taken in blocks of ``BLOCK`` rows, so what
-is broadcast has a fixed size; there is one pass over the candidates per block.
+Every query meets every candidate once, in a grid of cells: queries and candidates are dealt
+into blocks by hash, each side is copied to the blocks of the other, and a cell is one group
+of a cogrouped shuffle. The blocks are counted so that a cell holds about ``QUERY_TERMS`` and
+``CANDIDATE_TERMS`` numbers, whatever the size of the table or of its vectors; nothing but two
+counts reaches the driver and nothing is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -22,8 +26,11 @@ from pyspark.sql import functions as F
 
 from coldspot.llm.common import importable
 
-BLOCK = 4096
-CANDIDATES = 4096  # of a batch
+QUERY_TERMS = 1 << 20  # numbers of a block of queries, about
+CANDIDATE_TERMS = 1 << 22  # numbers of a block of candidates, about
+SMALLEST_BLOCK = 512  # candidates; more blocks than memory asks for are made for idle cores
+MOST_TASKS = 20_000  # a task takes several cells beyond
+CANDIDATES = 4096  # scored at once
 TILE = 32  # queries scored at once: their dense scores stay in the processor's cache
 
 
@@ -90,21 +97,46 @@ def accumulate(block: list[QueryTile], ids: np.ndarray, flat: np.ndarray, ends:
     return tuple(np.concatenate(c) for c in zip(*made))
 
 
-def _candidates(vectors: DataFrame, block: list[QueryTile], k: int) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast(block)  # at most BLOCK queries
-
-    def run(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, CANDIDATES):
-                part = batch.slice(start, CANDIDATES)
-                lists = part.column(1)
-                ends = np.asarray(lists.offsets).astype(np.int64)
-                flat = lists.values.to_numpy(zero_copy_only=False)
-                query, other, score = accumulate(shared.value, part.column(0).to_numpy(), flat, ends, k)
-                yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(other, pa.int64()),
-                                                  pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
-
-    return vectors.mapInArrow(run, "query_id long, vec_id long, score long")
+def merged(parts: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """The k best rows of each query among arrays (query_id, vec_id, score)."""
+    query, other, score = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((other, -score, query))
+    query, other, score = query[order], other[order], score[order]
+    first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.zeros(0, np.int64)
+    place = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)]))
+    return query[place < k], other[place < k], score[place < k]
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a column of lists."""
+    lists = column.combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks)
+    return lists.values.to_numpy(zero_copy_only=False), np.asarray(lists.offsets).astype(np.int64)
+
+
+def _cell(queries: pa.Table, vectors: pa.Table, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Scores one block of queries against one block of candidates."""
+    if not queries.num_rows or not vectors.num_rows:
+        return
+    block = tiles(queries["vec_id"].to_pylist(), queries["terms"].to_pylist())
+    flat, offsets = _lists(vectors["terms"])
+    ids = vectors["vec_id"].to_numpy()
+    kept: list[tuple[np.ndarray, ...]] = []
+    for start in range(0, len(ids), CANDIDATES):
+        part = slice(start, start + CANDIDATES)
+        found = accumulate(block, ids[part], flat, offsets[start:start + CANDIDATES + 1], k)
+        kept = [merged([*kept, found], k)]
+    yield from kept
+
+
+def _sides(queries: DataFrame, vectors: DataFrame) -> tuple[int, int]:
+    """Blocks of queries and of candidates."""
+    size = F.sum(F.size("terms").cast("long"))
+    of = lambda side: side.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    (_, asked), (rows, held) = of(queries), of(vectors)
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, ceil(asked / QUERY_TERMS))
+    return blocks, max(1, ceil(held / CANDIDATE_TERMS), min(ceil(cores / blocks), ceil(rows / SMALLEST_BLOCK)))
 
 
 def search(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
@@ -114,20 +146,32 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     A vector with the query's id is its own row and no candidate. A vec_id that repeats
     among the queries counts once, with the vector that sorts first; repeated candidates
     are candidates each. Vectors of different lengths meet in the terms both have. Fewer
-    than k candidates give fewer rows; no queries or candidates give none."""
-    spark = vectors.sparkSession
-    importable(spark)
+    than k candidates give fewer rows; no queries or candidates give none.
+
+    Equal rows are counted before they are dealt and at most k of each go on, since no more
+    can be among the k best; so no block grows with them."""
+    importable(vectors.sparkSession)
+    across, down = _sides(queries, vectors)
     queries = queries.groupBy("vec_id").agg(F.min("terms").alias("terms"))
-    count = queries.count()
-    blocks = max(1, ceil(count / (BLOCK * 0.8)))  # hashed, so a block stays below BLOCK
-    found = None
-    for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").collect()
-        if rows:
-            own = _candidates(vectors, tiles([r["vec_id"] for r in rows], [r["terms"] for r in rows]), k)
-            found = own if found is None else found.unionAll(own)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    vectors = vectors.groupBy("vec_id", "terms").agg(F.count(F.lit(1)).alias("_n"))
+    vectors = vectors.withColumn("_n", F.explode(F.sequence(F.lit(1), F.least("_n", F.lit(k)).cast("int")))).drop("_n")
+
+    def dealt(side: DataFrame, key: list[str], own: str, blocks: int, other: str, copies: int) -> DataFrame:
+        return side.select(
+            F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other), "vec_id", "terms"
+        ).repartition(min(across * down, MOST_TASKS), "_q", "_c")
+
+    asked = dealt(queries, ["vec_id"], "_q", across, "_c", down)
+    held = dealt(vectors, ["vec_id", "terms"], "_c", down, "_q", across)
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        names = ["query_id", "vec_id", "score"]
+        parts = list(_cell(asked, held, k)) or [(np.zeros(0, np.int64),) * 3]
+        return pa.table([pa.array(c, pa.int64()) for c in parts[0]], names)
+
+    found = asked.groupBy("_q", "_c").cogroup(held.groupBy("_q", "_c")).applyInArrow(
+        run, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

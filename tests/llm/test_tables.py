@@ -91,11 +91,30 @@ def test_topk_against_brute_force(spark):
 def test_topk_blocks_of_queries(spark, monkeypatch):
     rows = [(i, [((i * 7 + j) % 13) / 13 for j in range(4)]) for i in range(300)]
     df = topk.quantise(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
-    monkeypatch.setattr(topk, "BLOCK", 2)
+    monkeypatch.setattr(topk, "QUERY_TERMS", 8)
+    monkeypatch.setattr(topk, "CANDIDATE_TERMS", 200)
     monkeypatch.setattr(topk, "CANDIDATES", 7)
     monkeypatch.setattr(topk, "TILE", 1)
-    got = {tuple(r) for r in topk.search(df.where("vec_id % 50 = 0"), df).collect()}
-    assert got == brute_topk(rows)
+    assert topk._sides(df.where("vec_id % 50 = 0"), df) == (3, 6)
+    found = topk.search(df.where("vec_id % 50 = 0"), df)
+    assert {tuple(r) for r in found.collect()} == brute_topk(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "Cartesian" not in plan
+
+
+def test_topk_repeated_rows(spark):
+    """A third of all rows is one row: at most k copies are candidates, as in the full ranking."""
+    rows = [(i, [float(i % 7), 1.0]) for i in range(60)] + [(33, [6.0, 2.0])] * 40 + [(50, [1.0, 1.0])] * 9
+    df = topk.quantise(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
+    got = sorted(tuple(r) for r in topk.search(df.where("vec_id % 50 = 0"), df).collect())
+    whole = [(i, [256 * int(x) for x in v]) for i, v in rows]
+    want = []
+    for q in (0, 50):
+        a = min(v for i, v in whole if i == q)
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in whole if c != q)[:5]
+        want += [(q, rank, c, -s) for rank, (s, c) in enumerate(scored, 1)]
+    assert got == want
+    assert all(c == 33 for q, _, c, _ in got if q == 50)
 
 
 def test_topk_few_and_none(spark):
