@@ -7,8 +7,9 @@ and cutting that order into equal runs gives shards whose row counts differ by a
 
 Neither ranking nor ordering gathers a source or the table in one task: rows are dealt into
 buckets by leading digits (of the hash, then of the fraction, both uniform by construction),
-numbered inside their bucket, and moved up by the number of rows in earlier buckets. Only
-ids and numbers are shuffled, never texts. The number of buckets grows with the rows.
+numbered inside their bucket, and moved up by the number of rows in earlier buckets. Fully equal
+rows, which share a hash, are counted first and take a run of numbers each, so that a bucket
+holds different rows only. Only ids and numbers are shuffled, never texts. The number of buckets grows with the rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ SHARDS = 16
 SEED = "17"
 BUCKET_ROWS = 2048
 LAW = "rows"
+RUN_ROWS = 4096  # equal rows written out by one step
 
 
 def _bucket_rows(rows: int) -> int:
@@ -51,6 +53,18 @@ def _before(rows: DataFrame, groups: list[str], bucket: str) -> DataFrame:
         F.sum("_n").over(whole).alias("_all"))
 
 
+def _written_out(counted: DataFrame) -> DataFrame:
+    """``_n`` rows for each row, numbered in ``_i`` from ``_i`` + 1 on. Runs of ``RUN_ROWS`` are
+    dealt over the tasks before they become rows."""
+    last = F.col("_n") - 1
+    single = counted.where("_n <= %d" % RUN_ROWS).withColumn("_run", F.lit(0).cast("long"))
+    many = counted.where("_n > %d" % RUN_ROWS).withColumn(
+        "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / RUN_ROWS)))).repartition("_h", "_run")
+    first = F.col("_run") * RUN_ROWS
+    step = F.sequence(first + 1, F.least(first + RUN_ROWS, F.col("_n")))
+    return single.unionByName(many).withColumn("_k", F.explode(step)).withColumn("_i", F.col("_i") + F.col("_k")).drop("_k", "_run", "_n")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, source) per document row.
 
@@ -74,8 +88,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     # Rank within the source. Null sources compare as a value of their own.
     rows = rows.withColumn("_s", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))).withColumn(
         "_b", F.substring("_h", 1, digits))
-    inside = F.row_number().over(W.partitionBy("_s", "_b").orderBy("_h", "doc_id", "text_crc32", "size"))
-    ranked = (rows.withColumn("_i", inside).join(_before(rows, ["_s"], "_b"), ["_s", "_b"])
+    different = rows.groupBy("_s", "_b", "_h", "doc_id", "text_crc32", "size", "source").agg(F.count(F.lit(1)).alias("_n"))
+    until = F.sum("_n").over(W.partitionBy("_s", "_b").orderBy("_h", "doc_id", "text_crc32", "size")
+                             .rowsBetween(W.unboundedPreceding, 0))
+    ranked = (_written_out(different.withColumn("_i", until - F.col("_n"))).join(_before(rows, ["_s"], "_b"), ["_s", "_b"])
               .withColumn("_f", (2 * (F.col("_before") + F.col("_i")) - 1) / (2 * F.col("_all")))
               .drop("_b", "_i", "_before", "_all"))
 

@@ -1,4 +1,5 @@
 """Sharding, top-k search, near-duplicates, secrets and the pipeline against brute force."""
+import hashlib
 import random
 import re
 import zlib
@@ -64,6 +65,26 @@ def test_sharding_edge_cases(odd, empty):
     assert "grown_shard" in sharding.shard(empty).columns
 
 
+def test_sharding_equal_rows(spark, monkeypatch):
+    """A third of the rows is one row, another third has no doc_id: the interleaving in plain Python."""
+    rows = [(7, "same", "a")] * 60 + [(None, None, None)] * 55 + [(i, f"text {i}", "ab"[i % 2]) for i in range(60)]
+    monkeypatch.setattr(sharding, "RUN_ROWS", 8)
+    monkeypatch.setattr(sharding, "_bucket_rows", lambda rows: 16)
+    got = sorted((r["shard"], r["slot"], r["doc_id"] or -1, r["text_crc32"], r["source"] or "") for r in
+                 sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    made = []
+    for source in {s for _, _, s in rows}:
+        own = sorted((hashlib.md5(f"17:{'' if d is None else d}:{t or ''}".encode()).hexdigest(), d or -1, zlib.crc32((t or "").encode()))
+                     for d, t, s in rows if s == source)
+        made += [((2 * r - 1) / (2 * len(own)), "" if source is None else "s" + source, *row, source or "") for r, row in enumerate(own, 1)]
+    starts = [-(-shard * len(rows) // 16) for shard in range(17)]
+    want = []
+    for p, (_, _, _, doc, crc, source) in enumerate(sorted(made)):
+        shard = p * 16 // len(rows)
+        want.append((shard, p - starts[shard], doc, crc, source))
+    assert got == sorted(want)
+
+
 # ---- top-k search
 
 def brute_topk(vectors, k=5):

@@ -117,6 +117,18 @@ def test_word_ids_equal_tokenizer(words, text):
     assert np.frombuffer(words.packed([text])[0], "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_long_words_are_not_remembered(words, counter, reference, unigram):
+    """Texts without blanks: the results stay equal, and what a worker holds does not grow."""
+    texts = ["語" * 300 + "a1" * 200 + str(i) for i in range(20)] + ["q" * 500, "é" * 400]
+    packed = words.packed(texts)
+    for text, ids in zip(texts, packed):
+        assert np.frombuffer(ids, "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ENCODER.packed(text), "<u4").tolist() == reference.encode_ordinary(text)
+        assert counter.count(text) == len(unigram.encode(text, add_special_tokens=False).ids)
+    for held in (words.known, ENCODER, counter):
+        assert max(map(len, held)) <= 48
+
+
 def check_packing(rows, texts, tokenizer, window=4096):
     """Every id of every document in exactly one piece; sequences gapless."""
     want = defaultdict(list)
