@@ -22,6 +22,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldspot.llm.common import (Sparse, class_weights, filter_texts, fit_logistic, fit_platt, importable, labelled_texts,
-                                 map_texts, sigmoid, train_fold)
+                                 map_texts, sigmoid, text_slices, train_fold)
 
 PER_CLASS = 2500
 PREFIXES = (3, 4, 5, 6, 7)
@@ -39,8 +40,11 @@ ANY_TELLING = "*"  # feature: at least one telling feature is present
 LEAST_Z = 3.0
 LEAST_DOCUMENTS = 4
 CACHE_WORDS = 400_000
+HIT_WORDS = 600_000  # words with few or no features each
 L2 = 3e-5
 CACHED_CHARS = 48  # readings of longer words are not remembered
+COUNTED_WORDS = 200_000  # distinct words that a task counts before it passes them on,
+COUNTED_CHARS = 32 << 20  # and characters of the texts they are from
 TABLE = 1 << 20  # places of the letter model's table of counts
 
 # Letters that digits and signs imitate.
@@ -109,13 +113,34 @@ def trigrams_of(words) -> Counter:
     return found
 
 
+def count_words(batches, most: int = COUNTED_WORDS, most_chars: int = COUNTED_CHARS):
+    """Batches of (word, texts with it), counted within the task; a word is passed on more than
+    once if the task meets more than ``most`` distinct ones or ``most_chars`` of text."""
+    found, chars = Counter(), 0
+
+    def passed_on():
+        made = pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["w", "n"])
+        found.clear()
+        return made
+
+    for _, texts in text_slices(batches):
+        for text in texts:
+            if text:
+                found.update(set(_CUT(text)))
+                chars += len(text)
+                if len(found) > most or chars > most_chars:
+                    yield passed_on()
+                    chars = 0
+    if found:
+        yield passed_on()
+
+
 def letter_model(documents: DataFrame) -> LetterModel:
-    """Of the plain words of all documents; a word counts once a text. Words are counted by
-    Spark, then the trigrams of the distinct words; the driver gets the table of ``TABLE``
+    """Of the plain words of all documents; a word counts once a text. Words are counted
+    within the tasks and summed by Spark, then the trigrams of the distinct words; the driver gets the table of ``TABLE``
     counts."""
     importable(documents.sparkSession)
-    cut = F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))
-    counted = documents.select(F.explode(cut).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counted = documents.select("text").mapInArrow(count_words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
     # Distinct words are cleaned; counts of words that become equal add up in their trigrams.
     words = counted.select(F.lower(F.btrim("w", F.lit(".,;:?\"'()"))).alias("w"), "n").where(
         F.col("w").rlike(r"^\p{L}+$") & ~F.col("w").rlike(r"(.)\1\1"))
@@ -192,23 +217,28 @@ class Restorer(dict):
         self.model = model
 
     def __missing__(self, word: str) -> str:
-        core = word.lower().strip(".,;:?\"'`´()[]{}#%&*-_~")
-        if core.isalpha() and not _TWO_ALIKE(core):
-            read = core
-        elif not any(c.isalpha() or c in LEET for c in core) or not any(
-                c.isalpha() for c in core) and any(c.isdigit() for c in core):
-            read = ""  # signs that imitate nothing, and numbers
-        else:
-            read = decode(core, self.model)
+        read = self.read(word)
         if len(word) <= CACHED_CHARS:
             self[word] = read
         return read
 
+    def read(self, word: str) -> str:
+        core = word.lower().strip(".,;:?\"'`´()[]{}#%&*-_~")
+        if core.isalpha() and not _TWO_ALIKE(core):
+            return core
+        if not any(c.isalpha() or c in LEET for c in core) or not any(
+                c.isalpha() for c in core) and any(c.isdigit() for c in core):
+            return ""  # signs that imitate nothing, and numbers
+        return decode(core, self.model)
+
     def words(self, text: str) -> list[str]:
         if len(self) > CACHE_WORDS:
             self.clear()
-        read = list(map(self.__getitem__, _CUT(text)))
-        # Single characters set apart by blanks, three or more in a row, are words in pieces.
+        return list(map(self.__getitem__, _CUT(text))) + self.runs(text)
+
+    def runs(self, text: str) -> list[str]:
+        """Single characters set apart by blanks, three or more in a row, are words in pieces."""
+        read = []
         for run in _SPACED(text):
             whole = "".join(_CUT(run)).lower()
             read += [decode(whole, self.model), *decode(whole, self.model, spaced=True).split()]
@@ -227,6 +257,33 @@ def features(words) -> set[str]:
     return found
 
 
+class Hits(dict):
+    """Words as they are written to the chosen features of their readings; the dict holds those
+    of words met before."""
+
+    def __init__(self, restorer: Restorer, weights: dict[str, float]):
+        super().__init__()
+        self.restorer, self.weights = restorer, weights
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        own = self.of_reading(self.restorer.read(word))
+        if len(word) <= CACHED_CHARS:
+            self[word] = own
+        return own
+
+    def of_reading(self, read: str) -> tuple[str, ...]:
+        """``features([read])`` that are chosen, without making the others."""
+        prefixes = [read[:size] + "*" for size in PREFIXES if len(read) > size]
+        return tuple([f for f in [read, *prefixes] if f and f in self.weights])
+
+    def of(self, text: str) -> set[str]:
+        if len(self) > HIT_WORDS:
+            self.clear()
+        found = set(chain.from_iterable(map(self.__getitem__, set(_CUT(text)))))
+        found.update(chain.from_iterable(map(self.of_reading, self.restorer.runs(text))))
+        return found
+
+
 @dataclass
 class ToxicityModel:
     letters: LetterModel
@@ -235,25 +292,15 @@ class ToxicityModel:
     bias: float
     slope: float
     intercept: float
-    restorer: Restorer | None = field(default=None, repr=False)
-    known: dict[str, float] = field(default_factory=dict, repr=False)
+    known: Hits | None = field(default=None, repr=False)
 
     def score(self, text: str) -> float:
-        if self.restorer is None:
-            self.restorer = Restorer(self.letters)
-        own, weights = self.known, self.weights
-        if len(own) > CACHE_WORDS:
-            own.clear()
-        hits: set[str] = set()
-        for word in set(self.restorer.words(text)):
-            of_word = own.get(word)
-            if of_word is None:
-                of_word = own[word] = tuple([f for f in features([word]) if f in weights])
-            if of_word:
-                hits.update(of_word)
+        if self.known is None:
+            self.known = Hits(Restorer(self.letters), self.weights)
+        hits = self.known.of(text)
         if not self.telling.isdisjoint(hits):
             hits.add(ANY_TELLING)
-        z = self.bias + sum([weights[f] for f in sorted(hits)])
+        z = self.bias + sum([self.weights[f] for f in sorted(hits)])
         return float(sigmoid(self.slope * z + self.intercept))
 
 
