@@ -91,12 +91,12 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch, list], dict], schema:
     return df.mapInArrow(run, schema)
 
 
-def filter_texts(docs: DataFrame, keep: Callable[[list], np.ndarray]) -> DataFrame:
+def filter_texts(docs: DataFrame, keep: Callable[[list], np.ndarray], max_chars: int = BATCH_CHARS) -> DataFrame:
     """The rows, with all their columns, for which ``keep(texts)`` is true."""
     importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, max_chars=max_chars):
             yield part.filter(pa.array(np.asarray(keep(texts), bool)))
 
     return docs.mapInArrow(run, docs.schema)

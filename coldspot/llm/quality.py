@@ -29,6 +29,10 @@ CHAR_GRAMS = (1, 2, 3)
 SCALE = 20.0  # n-gram shares are small numbers
 PER_CLASS = 1500
 KEEP_FROM = 0.5  # least probability of good quality
+# Characters of a slice: every n-gram takes some 100 bytes while a slice is scored, and twice
+# that while its distinct buckets are counted for training.
+SCORE_CHARS = 1 << 19
+TRAIN_CHARS = 1 << 18
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -161,7 +165,7 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
                 "val": pa.ListArray.from_arrays(edges, pa.array(sums))}
 
     rows = map_texts(sample.select("doc_id", "y", "text"), features,
-                     "doc_id long, y int, idx array<int>, val array<float>").toArrow()
+                     "doc_id long, y int, idx array<int>, val array<float>", TRAIN_CHARS).toArrow()
     if not rows.num_rows:
         return None
     # One row per document id, in a fixed order, so that the fit does not depend on the
@@ -207,7 +211,7 @@ def assess(docs: DataFrame, model: QualityModel | None, keep_from: float = KEEP_
         quality = own.probability(texts, words) if own else np.ones(len(texts))
         return out | {"doc_id": part.column(0), "quality": quality, "kept": ~out["base_failed"] & (quality >= keep_from)}
 
-    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCHEMA)
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCHEMA, SCORE_CHARS)
 
 
 def filtered(docs: DataFrame, model: QualityModel | None, keep_from: float = KEEP_FROM) -> DataFrame:
@@ -222,4 +226,4 @@ def filtered(docs: DataFrame, model: QualityModel | None, keep_from: float = KEE
         quality = own.probability(texts, words) if own else np.ones(len(texts))
         return ~base_columns(texts, words)["base_failed"] & (quality >= keep_from)
 
-    return filter_texts(docs, keep)
+    return filter_texts(docs, keep, SCORE_CHARS)

@@ -251,3 +251,52 @@ def test_toxicity_query(spark, documents):
     rows = queries.op6_toxicity(spark, DATA).collect()
     assert len(rows) == documents.count()
     assert all(r["held_out"] == held_out(r["doc_id"]) for r in rows)
+
+
+def test_training_and_scoring_slices_are_small(spark, documents, labels, monkeypatch):
+    """A slice of 2 MB takes over 700 MB of a Python worker while its n-grams are counted."""
+    seen = []
+    map_texts, filter_texts = quality.map_texts, quality.filter_texts
+    monkeypatch.setattr(quality, "map_texts", lambda df, fn, schema, max_chars=common.BATCH_CHARS:
+                        seen.append(max_chars) or map_texts(df, fn, schema, max_chars))
+    monkeypatch.setattr(quality, "filter_texts", lambda df, keep, max_chars=common.BATCH_CHARS:
+                        seen.append(max_chars) or filter_texts(df, keep, max_chars))
+    model = quality.train(documents, labels, per_class=20)
+    quality.assess(documents, model)
+    quality.filtered(documents, model)
+    assert len(seen) == 3 and max(seen) <= 1 << 19 and seen[0] <= 1 << 18
+
+
+def test_quality_does_not_depend_on_the_slices(documents):
+    texts = [r.text or "" for r in documents.limit(60).collect()]
+    whole = quality.Words(texts)
+    weights = np.random.default_rng(1).normal(size=quality.WORD_BUCKETS + quality.CHAR_BUCKETS)
+    model = quality.QualityModel(weights, 0.1, 1.5, -0.2)
+    each = [model.probability([t], quality.Words([t]))[0] for t in texts]
+    assert model.probability(texts, whole).tolist() == each
+
+
+def test_words_are_counted_within_the_tasks(spark):
+    """Once a text, whatever the bounds; no row per word and text is made."""
+    import pyarrow as pa
+    texts = ["a b a\tc", None, "", "b\x0bb d", "\x1c e a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    want = Counter(w for t in texts if t for w in set(WORDS.findall(t)))
+    for most, chars in ((1, 100), (100, 3), (100, 100)):
+        got = Counter()
+        for made in toxicity.count_words(iter([batch]), most, chars):
+            got.update(dict(zip(made.column(0).to_pylist(), made.column(1).to_pylist())))
+        assert got == want
+
+
+def test_hits_are_the_features_of_all_restored_words(toxic_model, monkeypatch):
+    """A word is looked up once a text, by what is written; the cache's bounds do not matter."""
+    own = toxicity.ToxicityModel(toxic_model.letters, toxic_model.weights, toxic_model.telling, toxic_model.bias,
+                                 toxic_model.slope, toxic_model.intercept)
+    texts = [t or "" for _, t, *_ in ODD_TEXTS] + ["an 1d10t and a m o r o n i d i o t here", "st-u-pid " * 5, "x" * 60 + " f00ls"]
+    for most in (0, 400_000):
+        monkeypatch.setattr(toxicity, "HIT_WORDS", most)
+        for t in texts:
+            own.score(t)
+            words = set(toxicity.Restorer(toxic_model.letters).words(t))
+            assert own.known.of(t) == toxicity.features(words) & toxic_model.weights.keys()
