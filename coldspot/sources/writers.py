@@ -99,6 +99,7 @@ def write_load(df: DataFrame, path: str, load: str, partition_col: str = S.TRACE
     """The rows of one load (a day's log, a run, a micro-batch) in the folder
     ``load=<load>``, partitioned by ``partition_col`` below it (S13). A rerun
     of the load replaces exactly that load's rows; rows that other loads hold
-    of the same day stay."""
-    (df.write.format(fmt).partitionBy(partition_col).option("partitionOverwriteMode", "static")
+    of the same day stay. Rows are dealt by ``partition_col`` first: a day is
+    one file, or a few if it is large, whatever the number of tasks."""
+    (df.hint("rebalance", partition_col).write.format(fmt).partitionBy(partition_col).option("partitionOverwriteMode", "static")
      .mode("overwrite").save(f"{path.rstrip('/')}/{S.LOAD}={load}"))

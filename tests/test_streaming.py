@@ -52,3 +52,16 @@ def test_a_replayed_batch_replaces_its_load(spark, tmp_dir):
     for _ in range(2):
         WR.write_load(SE.build_sessions(log, contents, by_day=True), os.path.join(tmp_dir, "out"), "stream-0")
     assert rows(RD.read_session_loads(spark, os.path.join(tmp_dir, "out")), "fileops") == [(1,)]
+
+
+def test_a_day_of_a_load_is_one_file(spark, tmp_dir):
+    """Not one per task: 40 tasks with rows of all of 3 days."""
+    from coldspot.sources import writers as WR
+    rows_ = [(d * DAY + i, "f1", "get", f"u{i}") for d in range(3) for i in range(80)]
+    log = spark.createDataFrame(rows_, "timeentryunix double, filename string, eventtype string, uuid string")
+    days = log.selectExpr("'s' scope", "'n' name", "uuid", "1L fileops", "timeentryunix",
+                          "date_from_unix_date(int(timeentryunix / 86400)) trace_date").repartition(40)
+    WR.write_load(days, os.path.join(tmp_dir, "out"), "a")
+    files = [f for _, _, names in os.walk(os.path.join(tmp_dir, "out")) for f in names if f.endswith(".parquet")]
+    assert len(files) == 3
+    assert RD.read_session_loads(spark, os.path.join(tmp_dir, "out")).count() == 240
