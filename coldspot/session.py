@@ -47,6 +47,21 @@ def size_shuffles(spark: SparkSession, largest_shuffle_bytes: int,
     return n
 
 
+TASK_BYTES = 16 << 20
+
+
+def bound_tasks(spark: SparkSession, largest_shuffle_bytes: int, task_bytes: int = TASK_BYTES) -> int:
+    """Keep what one task sorts and groups at about ``task_bytes`` of shuffled data at any input
+    size (in memory that is some twenty times as much): raises the shuffle partition count as
+    needed, never lowers it, and AQE coalesces, splits and deals skewed keys to that size.
+    Returns the count."""
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(largest_shuffle_bytes) // int(task_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(2 * task_bytes))
+    return n
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "coldspot", event_log_dir: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off)."""
@@ -133,5 +148,5 @@ def fingerprint(spark: SparkSession, path: str) -> int:
     return hash(tuple(sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))))
 
 
-__all__ = ["tune", "size_shuffles", "local_session", "checkpoint_dir", "scratch_path",
+__all__ = ["tune", "size_shuffles", "bound_tasks", "TASK_BYTES", "local_session", "checkpoint_dir", "scratch_path",
            "clear_scratch", "input_bytes", "fingerprint", "RECOMMENDED_CONF"]

@@ -63,16 +63,22 @@ TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
 
+TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+# Bytes that a line item or event takes, at most, when it is shuffled (compressed).
+ROW_BYTES = 32
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str, spread: int | None = None) -> DataFrame:
-    """A driver table. ``spread`` deals its rows round-robin over that many
-    partitions first: each driver table is one file of one row group, so
-    without it the derivation of a table runs in a single task."""
+    """A driver table. ``spread`` deals its rows over that many partitions by
+    key first: each driver table is one file of one row group, so without it the
+    derivation of a table runs in a single task. Joins on the key then take the
+    rows as they lie; a round-robin deal would sort all rows of the reading task
+    and be followed by another exchange."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = TABLE_SCHEMAS.get(table)
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.parquet(path)
-    return df.repartition(spread) if spread else df
+    return df.repartition(spread, TABLE_KEYS[table]) if spread else df
 
 
 def _scope(priority: F.Column) -> F.Column:
@@ -184,7 +190,7 @@ def traces(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataF
     )
 
 
-_CATALOGUES: dict[tuple, tuple[SparkSession, Catalogue]] = {}
+_CATALOGUES: dict[tuple, tuple[SparkSession, Catalogue, int]] = {}
 
 
 def derived(spark: SparkSession, sf_dir: str, spread: int | None = None) -> Catalogue:
@@ -198,6 +204,11 @@ def derived(spark: SparkSession, sf_dir: str, spread: int | None = None) -> Cata
     )
 
 
+def shuffle_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Expected bytes of the largest shuffles: row counts come from the files' footers."""
+    return ROW_BYTES * sum(_read(spark, sf_dir, t).count() for t in ("lineitem", "events"))
+
+
 def materialise(spark: SparkSession, cat: Catalogue) -> Catalogue:
     """Write every table once to parquet below the shared checkpoint folder
     and read it back, as the catalogue dumps exist in production: the reports
@@ -217,18 +228,23 @@ def materialise(spark: SparkSession, cat: Catalogue) -> Catalogue:
 def catalogue(spark: SparkSession, sf_dir: str, written: bool = True) -> Catalogue:
     """The five tables derived from ``sf_dir``; with ``written`` (default)
     as parquet tables written once per session and folder, as long as the
-    folder's files stay the same."""
-    from coldspot.session import fingerprint
+    folder's files stay the same; the session's shuffles are bounded by their size."""
+    from coldspot.session import bound_tasks, fingerprint
 
     key = (id(spark), sf_dir.rstrip("/"), written, fingerprint(spark, sf_dir))
     hit = _CATALOGUES.get(key)
     if hit is not None and hit[0] is spark:
+        if written:
+            bound_tasks(spark, hit[2])
         return hit[1]
+    expected = 0
     if written:
-        cat = materialise(spark, derived(spark, sf_dir, spark.sparkContext.defaultParallelism))
+        expected = shuffle_bytes(spark, sf_dir)
+        parts = bound_tasks(spark, expected)
+        cat = materialise(spark, derived(spark, sf_dir, max(parts, spark.sparkContext.defaultParallelism)))
     else:
         cat = derived(spark, sf_dir)
-    _CATALOGUES[key] = (spark, cat)
+    _CATALOGUES[key] = (spark, cat, expected)
     return cat
 
 

@@ -48,3 +48,16 @@ def test_daily_run_matches_the_reports(spark, tmp_dir):
     assert wide.columns[:2] == ["Created at", "Age (days)"] and wide.columns[-1] == "other"
     # The session settings are as before.
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_daily_run_bounds_its_tasks(spark, tmp_dir, monkeypatch):
+    """Shuffles are dealt into partitions of 16 MB while it runs, and as before behind it."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    seen = []
+    monkeypatch.setattr(D, "_run", lambda s, *rest: seen.extend(s.conf.get(k) for k in keys) or {})
+    monkeypatch.setattr(D, "input_bytes", lambda s, *paths: 300 * (16 << 20))
+    D.run_daily(spark, "t", {"contents": "c"}, tmp_dir, TB.REPORT_DATE, fmt="parquet")
+    assert seen[0] == "300" and seen[1].rstrip("b") == str(16 << 20)
+    assert [spark.conf.get(k) for k in keys] == before

@@ -180,3 +180,54 @@ def test_size_shuffles(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
+
+
+BOUNDED = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+
+
+def test_bound_tasks_follows_the_input_and_never_lowers(spark):
+    from coldspot.session import TASK_BYTES, bound_tasks
+    old = {k: spark.conf.get(k) for k in BOUNDED}
+    try:
+        assert bound_tasks(spark, 1) == int(old[BOUNDED[0]])
+        assert bound_tasks(spark, 500 * TASK_BYTES) == 500 == bound_tasks(spark, 1)
+        assert spark.conf.get(BOUNDED[1]).rstrip("b") == str(TASK_BYTES)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_catalogue_bounds_the_shuffles(spark, tmp_dir, monkeypatch):
+    """Shuffle partitions follow the rows of the tables, also when the catalogue is kept."""
+    import shutil
+
+    for t in ("orders", "lineitem", "supplier", "events"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", f"{tmp_dir}/{t}.parquet")
+    old = {k: spark.conf.get(k) for k in BOUNDED}
+    monkeypatch.setattr(TB, "ROW_BYTES", 1 << 16)
+    try:
+        n = spark.read.parquet(f"{tmp_dir}/lineitem.parquet").count() + spark.read.parquet(f"{tmp_dir}/events.parquet").count()
+        want = -(-n * (1 << 16) // (16 << 20))
+        assert want > int(old[BOUNDED[0]])
+        for _ in range(2):
+            TB.catalogue(spark, tmp_dir)
+            assert spark.conf.get(BOUNDED[0]) == str(want)
+            spark.conf.set(BOUNDED[0], old[BOUNDED[0]])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_derivation_deals_rows_by_key(spark):
+    """No round-robin deal (which sorts the rows of the reading task), and line items are
+    exchanged once."""
+    for df in TB.derived(spark, SF_SMALL, 5).__dict__.values():
+        assert "RoundRobin" not in df._jdf.queryExecution().executedPlan().toString()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = TB.contents(spark, SF_SMALL, 5)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
