@@ -231,3 +231,25 @@ def test_derivation_deals_rows_by_key(spark):
         assert plan.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_reports_are_dealt_into_the_bounded_partitions(spark, tmp_dir, monkeypatch):
+    """The exchanges of the reports take the partition count that follows the rows."""
+    import re
+    import shutil
+
+    from coldspot import registry as R
+
+    for t in ("orders", "lineitem", "supplier", "events"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", f"{tmp_dir}/{t}.parquet")
+    old = {k: spark.conf.get(k) for k in BOUNDED}
+    monkeypatch.setattr(TB, "ROW_BYTES", 1 << 16)
+    try:
+        for q in (R.q_sessions, R.q_unused_cube, R.q_unused_list, R.q_popularity_union, R.q_popularity_bins,
+                  R.q_dataset_volume_alltime):
+            plan = q(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+            dealt = set(re.findall(r"Exchange hashpartitioning\([^)]*, (\d+)\)", plan))
+            assert dealt == {spark.conf.get(BOUNDED[0])} and int(*dealt) > int(old[BOUNDED[0]])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
