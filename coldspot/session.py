@@ -48,17 +48,23 @@ def size_shuffles(spark: SparkSession, largest_shuffle_bytes: int,
 
 
 TASK_BYTES = 16 << 20
+# What AQE joins small partitions up to in the reports: a task that joins and groups the replicas
+# takes some forty times as much memory (its sorts and hash tables).
+JOINED_BYTES = 8 << 20
 
 
-def bound_tasks(spark: SparkSession, largest_shuffle_bytes: int, task_bytes: int = TASK_BYTES) -> int:
+def bound_tasks(spark: SparkSession, largest_shuffle_bytes: int, task_bytes: int = TASK_BYTES,
+                joined_bytes: int | None = None) -> int:
     """Keep what one task sorts and groups at about ``task_bytes`` of shuffled data at any input
-    size (in memory that is some twenty times as much): raises the shuffle partition count as
-    needed, never lowers it, and AQE coalesces, splits and deals skewed keys to that size.
-    Returns the count."""
+    size (in memory that is some forty times as much): raises the shuffle partition count as
+    needed, never lowers it, and AQE coalesces, splits and deals skewed keys to that size, or to
+    ``joined_bytes`` if given: the count comes from the most that the rows can take, so partitions
+    turn out smaller and need not be joined again up to ``task_bytes``. Returns the count."""
+    joined_bytes = joined_bytes or task_bytes
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(largest_shuffle_bytes) // int(task_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes))
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(2 * task_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(joined_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(2 * joined_bytes))
     return n
 
 
@@ -148,5 +154,5 @@ def fingerprint(spark: SparkSession, path: str) -> int:
     return hash(tuple(sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))))
 
 
-__all__ = ["tune", "size_shuffles", "bound_tasks", "TASK_BYTES", "local_session", "checkpoint_dir", "scratch_path",
+__all__ = ["tune", "size_shuffles", "bound_tasks", "TASK_BYTES", "JOINED_BYTES", "local_session", "checkpoint_dir", "scratch_path",
            "clear_scratch", "input_bytes", "fingerprint", "RECOMMENDED_CONF"]

@@ -229,18 +229,18 @@ def catalogue(spark: SparkSession, sf_dir: str, written: bool = True) -> Catalog
     """The five tables derived from ``sf_dir``; with ``written`` (default)
     as parquet tables written once per session and folder, as long as the
     folder's files stay the same; the session's shuffles are bounded by their size."""
-    from coldspot.session import bound_tasks, fingerprint
+    from coldspot.session import JOINED_BYTES, bound_tasks, fingerprint
 
     key = (id(spark), sf_dir.rstrip("/"), written, fingerprint(spark, sf_dir))
     hit = _CATALOGUES.get(key)
     if hit is not None and hit[0] is spark:
         if written:
-            bound_tasks(spark, hit[2])
+            bound_tasks(spark, hit[2], joined_bytes=JOINED_BYTES)
         return hit[1]
     expected = 0
     if written:
         expected = shuffle_bytes(spark, sf_dir)
-        parts = bound_tasks(spark, expected)
+        parts = bound_tasks(spark, expected, joined_bytes=JOINED_BYTES)
         cat = materialise(spark, derived(spark, sf_dir, max(parts, spark.sparkContext.defaultParallelism)))
     else:
         cat = derived(spark, sf_dir)

@@ -253,3 +253,21 @@ def test_reports_are_dealt_into_the_bounded_partitions(spark, tmp_dir, monkeypat
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_reports_join_partitions_to_less_than_they_are_dealt_into(spark):
+    """The count comes from the most that rows can take; what AQE joins stays at half of it, also
+    when the catalogue is kept."""
+    from coldspot.session import JOINED_BYTES, TASK_BYTES, bound_tasks
+    old = {k: spark.conf.get(k) for k in BOUNDED}
+    try:
+        assert 2 * JOINED_BYTES <= TASK_BYTES
+        assert bound_tasks(spark, 500 * TASK_BYTES, joined_bytes=JOINED_BYTES) == 500
+        for _ in range(2):
+            spark.conf.set(BOUNDED[1], "64m")
+            TB.catalogue(spark, SF_SMALL)
+            assert spark.conf.get(BOUNDED[1]).rstrip("b") == str(JOINED_BYTES)
+            assert spark.conf.get(BOUNDED[2]).rstrip("b") == str(2 * JOINED_BYTES)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
