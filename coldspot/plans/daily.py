@@ -35,7 +35,7 @@ from coldspot.operators import sqlreports as Q
 from coldspot.operators import unused as U
 from coldspot.plans import reports as R
 from coldspot.plans import state as ST
-from coldspot.session import TASK_BYTES, bound_tasks, input_bytes, tune
+from coldspot.session import SPLIT_BYTES, TASK_BYTES, bound_tasks, input_bytes, tune
 from coldspot.sources import readers as RD
 from coldspot.sources import writers as WR
 from coldspot.sources.catalogue import Catalogue
@@ -80,7 +80,7 @@ def run_daily(spark: SparkSession, traces_path: str | Sequence[str], dumps: Mapp
     tune(spark)
     kept = {k: spark.conf.get(k, None) for k in
             ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", SPLIT_BYTES)}
     bound_tasks(spark, max(input_bytes(spark, p) for p in (
         traces_path, *dumps.values(), f"{out_root.rstrip('/')}/sessions")), TASK_BYTES)
     try:

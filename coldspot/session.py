@@ -51,6 +51,7 @@ TASK_BYTES = 16 << 20
 # What AQE joins small partitions up to in the reports: a task that joins and groups the replicas
 # takes some forty times as much memory (its sorts and hash tables).
 JOINED_BYTES = 8 << 20
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def bound_tasks(spark: SparkSession, largest_shuffle_bytes: int, task_bytes: int = TASK_BYTES,
@@ -59,12 +60,17 @@ def bound_tasks(spark: SparkSession, largest_shuffle_bytes: int, task_bytes: int
     size (in memory that is some forty times as much): raises the shuffle partition count as
     needed, never lowers it, and AQE coalesces, splits and deals skewed keys to that size, or to
     ``joined_bytes`` if given: the count comes from the most that the rows can take, so partitions
-    turn out smaller and need not be joined again up to ``task_bytes``. Returns the count."""
+    turn out smaller and need not be joined again up to ``task_bytes``. Scans are split to
+    ``task_bytes`` as well (never to more than is set): above
+    ``spark.shuffle.sort.bypassMergeThreshold`` partitions a task holds the rows that it deals
+    until they are written. Returns the count."""
     joined_bytes = joined_bytes or task_bytes
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(largest_shuffle_bytes) // int(task_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(joined_bytes))
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(2 * joined_bytes))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(SPLIT_BYTES))
+    spark.conf.set(SPLIT_BYTES, str(min(split, int(task_bytes))))
     return n
 
 
@@ -154,5 +160,5 @@ def fingerprint(spark: SparkSession, path: str) -> int:
     return hash(tuple(sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))))
 
 
-__all__ = ["tune", "size_shuffles", "bound_tasks", "TASK_BYTES", "JOINED_BYTES", "local_session", "checkpoint_dir", "scratch_path",
+__all__ = ["tune", "size_shuffles", "bound_tasks", "TASK_BYTES", "JOINED_BYTES", "SPLIT_BYTES", "local_session", "checkpoint_dir", "scratch_path",
            "clear_scratch", "input_bytes", "fingerprint", "RECOMMENDED_CONF"]

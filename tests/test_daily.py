@@ -61,3 +61,20 @@ def test_daily_run_bounds_its_tasks(spark, tmp_dir, monkeypatch):
     D.run_daily(spark, "t", {"contents": "c"}, tmp_dir, TB.REPORT_DATE, fmt="parquet")
     assert seen[0] == "300" and seen[1].rstrip("b") == str(16 << 20)
     assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_daily_run_splits_its_scans(spark, tmp_dir, monkeypatch):
+    """What a task reads is bounded while it runs, and as before behind it."""
+    key = "spark.sql.files.maxPartitionBytes"
+    kept = spark.conf.get(key, None)
+    seen = []
+    monkeypatch.setattr(D, "_run", lambda s, *rest: seen.append(s.conf.get(key)) or {})
+    monkeypatch.setattr(D, "input_bytes", lambda s, *paths: 1)
+    try:
+        for before in (None, "64MB"):
+            spark.conf.set(key, before) if before else spark.conf.unset(key)
+            D.run_daily(spark, "t", {"contents": "c"}, tmp_dir, TB.REPORT_DATE, fmt="parquet")
+            assert spark.conf.get(key, None) == before
+        assert seen == [str(16 << 20)] * 2
+    finally:
+        spark.conf.set(key, kept) if kept else spark.conf.unset(key)

@@ -271,3 +271,41 @@ def test_reports_join_partitions_to_less_than_they_are_dealt_into(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+SCANS = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+
+
+def test_bound_tasks_splits_scans(spark, tmp_dir):
+    """A task that deals rows to many partitions holds what it reads, so what a task reads is
+    bounded as well, also when the catalogue is kept; a smaller setting stays."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from coldspot.session import TASK_BYTES, bound_tasks
+
+    old = {k: spark.conf.get(k, None) for k in BOUNDED + SCANS}
+    path = f"{tmp_dir}/rows.parquet"
+    pq.write_table(pa.table({"k": list(range(100_000))}), path, row_group_size=5_000)
+    try:
+        for k, v in zip(SCANS, ("128MB", "1", "0")):
+            spark.conf.set(k, v)
+        assert spark.read.parquet(path).rdd.getNumPartitions() == 1
+        bound_tasks(spark, 1, task_bytes=1 << 16)
+        split = spark.read.parquet(path)
+        assert split.rdd.getNumPartitions() == -(-os.path.getsize(path) // (1 << 16)) > 1
+        assert split.distinct().count() == 100_000
+        bound_tasks(spark, 1)
+        assert spark.conf.get(SCANS[0]) == str(1 << 16)
+        for _ in range(2):
+            spark.conf.set(SCANS[0], "128MB")
+            TB.catalogue(spark, SF_SMALL)
+            assert spark.conf.get(SCANS[0]) == str(TASK_BYTES)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
